@@ -1,5 +1,5 @@
 """All checks by key."""
 
-from checks import descriptive, prepare, sources
+from checks import descriptive, features, prepare, ranking, sources
 
-CHECKS = {**descriptive.CHECKS, **prepare.CHECKS, **sources.CHECKS}
+CHECKS = {**descriptive.CHECKS, **prepare.CHECKS, **sources.CHECKS, **features.CHECKS, **ranking.CHECKS}

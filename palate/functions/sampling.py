@@ -24,34 +24,35 @@ def hash_int(key: Column) -> Column:
 def hash_sample(df: DataFrame, key: str, size: int | Column, seed: int | str) -> DataFrame:
     """The `size` rows with the smallest seeded hash of `key` (unique); all rows if there are fewer.
 
-    A histogram of hash cells locates the cell the sample ends in. Rows in earlier cells pass a plain
-    filter, and only that one cell (1/65,536 of the table) is ranked.
+    Two small jobs find the largest hash that still belongs to the sample: a histogram of hash cells
+    locates the cell the sample ends in, and only that cell (1/65,536 of the keys) is ranked. The sample
+    itself is then a plain filter on the scan, with nothing to shuffle. `size` may be a scalar subquery.
     """
     quota = size if isinstance(size, Column) else F.lit(size)
-    keyed = (
-        df.withColumn("_hash", seeded_hash(F.col(key), seed))
-        .withColumn("_cell", F.substring("_hash", 1, SAMPLE_DIGITS))
-    )
-    running = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = (
-        keyed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
+    hashes = df.select(seeded_hash(F.col(key), seed).alias("hash")).withColumn(
+        "cell", F.substring("hash", 1, SAMPLE_DIGITS)
     )
+    running = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = (
-        cells.where(F.col("_upto") > quota)
-        .agg(F.min(F.struct("_cell", (F.col("_upto") - F.col("_n")).alias("_before"))).alias("edge"))
-        .scalar()
+        hashes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(running))
+        .where(F.col("upto") > quota)
+        .agg(F.min(F.struct("cell", (quota - F.col("upto") + F.col("n")).alias("take"))).alias("edge"))
+        .first().edge
     )
-    # no cell passes the quota when the table is small enough: keep everything
-    inside = keyed.where(F.col("_cell") < F.coalesce(edge["_cell"], F.lit("~")))
-    in_cell = Window.partitionBy("_cell").orderBy("_hash", key)
-    boundary = (
-        keyed.where(F.col("_cell") == edge["_cell"])
-        .withColumn("_place", F.row_number().over(in_cell))
-        .where(F.col("_place") <= quota - edge["_before"])
-        .drop("_place")
+    if edge is None:
+        return df  # small enough to keep whole
+    if edge.take <= 0:
+        # the cells before this one fill the sample exactly
+        return df.where(seeded_hash(F.col(key), seed) < F.lit(edge.cell))
+    place = Window.partitionBy("cell").orderBy("hash")
+    last = (
+        hashes.where(F.col("cell") == edge.cell)
+        .withColumn("place", F.row_number().over(place))
+        .where(F.col("place") == edge.take)
+        .first().hash
     )
-    return inside.unionByName(boundary).drop("_hash", "_cell")
+    return df.where(seeded_hash(F.col(key), seed) <= F.lit(last))
 
 
 def dense_index(df: DataFrame, key: str, out: str, groups: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from palate.operators.candidates import as_candidates, confidence_matrix, id_index, seen_pairs
 from palate.operators.topk import topk_inner_product
-from palate.session import shared_dir
+from palate.session import cut_lineage, shared_dir
 
 # A visit without gain still counts as observed: its rating must stay above zero.
 SMALLEST_RATING = 1e-6
@@ -57,10 +57,14 @@ def als_fit(
     model = als.fit(indexed)
     named_users = users.join(model.userFactors, users["ix"] == model.userFactors["id"])
     named_items = items.join(model.itemFactors, items["ix"] == model.itemFactors["id"])
-    return AlsFactors(
-        named_users.select("user_id", F.col("features").alias("vec")),
-        named_items.select("business_id", F.col("features").alias("vec")),
+    # read by candidates and by pair scores: keep them once, without the training lineage
+    fitted = AlsFactors(
+        cut_lineage(named_users.select("user_id", F.col("features").alias("vec"))),
+        cut_lineage(named_items.select("business_id", F.col("features").alias("vec"))),
     )
+    users.unpersist()
+    items.unpersist()
+    return fitted
 
 
 def als_candidates(

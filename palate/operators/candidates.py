@@ -8,6 +8,7 @@ from palate.config import STAR_TO_GAIN
 from palate.functions.sampling import dense_index, hash_sample
 from palate.operators.features import cross_features
 from palate.operators.topk import topk_inner_product
+from palate.session import cut_lineage
 
 
 def star_gain(stars: Column) -> Column:
@@ -46,7 +47,7 @@ def relevance(labels: DataFrame, users: DataFrame) -> DataFrame:
 def target_users(labels: DataFrame, history: DataFrame, size: int, seed: int = 42) -> DataFrame:
     """Seeded sample of known users with a positive in the label window."""
     known = history.select("user_id").distinct()
-    pool = relevance(labels, known).select("user_id").distinct()
+    pool = cut_lineage(relevance(labels, known).select("user_id").distinct())
     return hash_sample(pool, "user_id", size, seed)
 
 

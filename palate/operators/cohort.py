@@ -90,19 +90,27 @@ def kcore(interactions: DataFrame, min_user: int = 5, min_item: int = 10) -> Dat
     )
 
 
+def split_cuts(
+    interactions: DataFrame, train_frac: float = 0.70, valid_frac: float = 0.15
+) -> tuple[float | None, float | None]:
+    """The two cut instants in microseconds: exact global date quantiles."""
+    instant = micros(F.col("date"))
+    row = exact_quantiles(interactions, instant, (train_frac, train_frac + valid_frac), HOUR_MICROS).first()
+    return row.q0, row.q1
+
+
 def temporal_split(
     interactions: DataFrame, train_frac: float = 0.70, valid_frac: float = 0.15
 ) -> DataFrame:
-    """Tag rows train / valid / test by exact global date quantiles; null dates count as test."""
+    """Tag rows train / valid / test by date; null dates count as test.
+
+    The cuts are found first and enter the plan as literals, so the split adds no shuffle.
+    """
+    train_end, valid_end = split_cuts(interactions, train_frac, valid_frac)
     instant = micros(F.col("date"))
-    cuts = (
-        exact_quantiles(interactions, instant, (train_frac, train_frac + valid_frac), HOUR_MICROS)
-        .select(F.struct("q0", "q1").alias("cuts"))
-        .scalar()
-    )
     split = (
-        F.when(instant <= cuts["q0"], "train")
-        .when((instant > cuts["q0"]) & (instant <= cuts["q1"]), "valid")
+        F.when(instant <= F.lit(train_end), "train")
+        .when(instant <= F.lit(valid_end), "valid")
         .otherwise("test")
     )
     return interactions.withColumn("split", split)
