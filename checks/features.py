@@ -104,12 +104,12 @@ def split_windows(spark, sf_dir, source="interactions"):
     return rows.where(F.col("split").isin("train", "valid")), rows.where(F.col("split") == "test")
 
 
-def tables(spark, sf_dir, history):
+def tables(spark, sf_dir, history, targets=None):
     places = f.enrich_businesses(view(spark, sf_dir, "businesses"))
     users = f.cohort_users(view(spark, sf_dir, "users"), history)
     stamps = f.checkin_stats(view(spark, sf_dir, "checkins"))
     tips = f.tip_counts(view(spark, sf_dir, "tips"))
-    return f.user_features(history, places, users), f.business_features(history, places, stamps, tips)
+    return f.user_features(history, places, users, only=targets), f.business_features(history, places, stamps, tips)
 
 
 def _features(which, source):

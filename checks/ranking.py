@@ -70,7 +70,7 @@ def _scene(spark, sf_dir):
 def _frame(spark, sf_dir):
     history, test, targets = _scene(spark, sf_dir)
     found = cut_lineage(c.popularity_candidates(targets, history, 100))
-    return c.ranking_frame(found, test, *tables(spark, sf_dir, history)), c.relevance(test, targets)
+    return c.ranking_frame(found, test, *tables(spark, sf_dir, history, targets)), c.relevance(test, targets)
 
 
 def star_gain(spark, sf_dir):

@@ -66,6 +66,11 @@ def _corpus(spark, sf_dir, **how):
     return c.build_corpus(view(spark, sf_dir, "reviews"), **how)
 
 
+def _kept_corpus(spark, sf_dir):
+    """Ids of the corpus, kept the way the corpus step keeps its output."""
+    return cut_lineage(_corpus(spark, sf_dir).select("review_id", "business_id"))
+
+
 def _digest(df):
     return canonical(df.withColumn("text", F.md5("text")))
 
@@ -79,17 +84,18 @@ def whole_corpus(spark, sf_dir):
 
 
 def retrieval_split(spark, sf_dir):
-    return canonical(c.retrieval_split(_corpus(spark, sf_dir)))
+    return canonical(c.retrieval_split(_kept_corpus(spark, sf_dir)))
 
 
 def eval_queries(spark, sf_dir):
-    corpus = _corpus(spark, sf_dir).select("review_id", "business_id")
+    corpus = _kept_corpus(spark, sf_dir)
     return canonical(c.eval_query_ids(corpus, c.retrieval_split(corpus)))
 
 
 def mine_pairs(spark, sf_dir):
-    corpus = _corpus(spark, sf_dir)
-    return canonical(c.mine_pairs(corpus, c.retrieval_split(corpus).where(F.col("role") == "train")))
+    corpus = _kept_corpus(spark, sf_dir)
+    split = cut_lineage(c.retrieval_split(corpus))
+    return canonical(c.mine_pairs(corpus, split.where(F.col("role") == "train")))
 
 
 def _vectors(spark, sf_dir):

@@ -22,9 +22,9 @@ def strip(value: Column) -> Column:
 
 
 def words(value: Column) -> Column:
-    """Lower-case, delete everything but a-z and whitespace, split on whitespace."""
-    cleaned = F.regexp_replace(F.lower(value), f"[^a-z{WHITESPACE_CLASS}]", "")
-    return F.filter(F.split(cleaned, f"[{WHITESPACE_CLASS}]+"), lambda w: w != "")
+    """Lower-case, delete everything but a-z and whitespace, split on whitespace; may hold empty strings."""
+    spaced = F.regexp_replace(F.lower(value), r"(?U)[\s\x1c-\x1f]", " ")
+    return F.split(F.regexp_replace(spaced, "[^a-z ]+", ""), " ")
 
 
 def comma_parts(value: Column) -> Column:

@@ -11,6 +11,9 @@ from palate.functions.numbers import micros, to_number
 from palate.functions.quantiles import HOUR_MICROS, exact_quantiles
 from palate.session import cut_lineage
 
+# Dropped ids of one k-core step are broadcast up to this count (tens of megabytes).
+BROADCAST_IDS = 1_000_000
+
 
 def is_dining(categories: Column, labels: Sequence[str] = DINING_CATEGORIES) -> Column:
     """Case-sensitive substring test; null or empty categories never match."""
@@ -59,35 +62,43 @@ def cohort_reviews(reviews: DataFrame, businesses: DataFrame) -> DataFrame:
     return narrow.join(businesses.select("business_id"), "business_id", "left_semi").select(*narrow.columns)
 
 
+def _degrees_after(degrees: DataFrame, key: str, lost: DataFrame) -> DataFrame:
+    """Row counts per vertex minus the rows lost with the other side's dropped vertices."""
+    losses = lost.groupBy(key).agg(F.count(F.lit(1)).alias("lost"))
+    return cut_lineage(
+        degrees.join(losses, key, "left").select(key, (F.col("n") - F.coalesce("lost", F.lit(0))).alias("n"))
+    )
+
+
 def kcore(interactions: DataFrame, min_user: int = 5, min_item: int = 10) -> DataFrame:
     """Largest subset in which every user has >= min_user rows and every business >= min_item rows.
 
-    Only vertices are ever removed, so the loop runs on (user, business, row count) and the full rows
-    are filtered once at the end by the surviving ids. Each pass drops whole users, then whole
-    businesses, by an anti join with the ids below the threshold: that list shrinks pass by pass, so
-    adaptive execution soon broadcasts it and the pairs stop moving.
+    Peeling: row counts per vertex are aggregated once and then only corrected. Each step takes the rows
+    of the vertices that have just fallen below their threshold and subtracts them on the other side, so
+    the table of edges is scanned but never regrouped; while the list of fallen vertices is short (its
+    length is known) it is broadcast and the edges do not move. Full rows are filtered once, at the end.
     """
-    pairs = cut_lineage(
-        interactions.groupBy("user_id", "business_id").agg(F.count(F.lit(1)).alias("n"))
-    )
-    size = pairs.count()
-    while size:
-        few_rows = pairs.groupBy("user_id").agg(F.sum("n").alias("rows")).where(F.col("rows") < min_user)
-        kept = pairs.join(few_rows, "user_id", "left_anti").select("user_id", "business_id", "n")
-        rare = kept.groupBy("business_id").agg(F.sum("n").alias("rows")).where(F.col("rows") < min_item)
-        kept = kept.join(rare, "business_id", "left_anti").select("user_id", "business_id", "n")
-        pairs = cut_lineage(kept)
-        remaining = pairs.count()
-        if remaining == size:
-            break
-        size = remaining
-    users = pairs.select("user_id").distinct()
-    items = pairs.select("business_id").distinct()
-    return (
-        interactions.join(users, "user_id", "left_semi")
-        .join(items, "business_id", "left_semi")
-        .select(*interactions.columns)
-    )
+    edges = cut_lineage(interactions.select("user_id", "business_id"))
+    sides = [("user_id", min_user), ("business_id", min_item)]
+    degrees = {
+        key: cut_lineage(edges.groupBy(key).agg(F.count(F.lit(1)).alias("n"))) for key, _ in sides
+    }
+    idle = 0
+    while idle < len(sides):
+        for (key, least), (other, _) in (sides, sides[::-1]):
+            fallen = degrees[key].where(F.col("n") < least).select(key)
+            n_fallen = fallen.count()
+            idle = idle + 1 if n_fallen == 0 else 0
+            if n_fallen:
+                ids = F.broadcast(fallen) if n_fallen <= BROADCAST_IDS else fallen
+                degrees[other] = _degrees_after(degrees[other], other, edges.join(ids, key, "left_semi"))
+                degrees[key] = degrees[key].where(F.col("n") >= least)
+            if idle >= len(sides):
+                break
+    kept = interactions
+    for key, _ in sides:
+        kept = kept.join(degrees[key].select(key), key, "left_semi")
+    return kept.select(*interactions.columns)
 
 
 def split_cuts(

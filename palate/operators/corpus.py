@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from palate.functions.sampling import dense_index, hash_int, hash_sample, seeded_hash
 from palate.functions.text import strip
+from palate.session import cut_lineage
+
+# A sample of at most this many review ids is broadcast to the texts.
+BROADCAST_IDS = 500_000
 
 
 def build_corpus(
@@ -29,15 +33,23 @@ def build_corpus(
         rows = rows.join(businesses.select("business_id"), "business_id", "left_semi")
     if max_chars is not None:
         rows = rows.withColumn("text", F.substring("text", 1, max_chars))
+    if per_business is None and size is None:
+        return rows
+    # choose by ids alone: texts are only read again for the chosen reviews and never shuffled
+    ids = rows.select("review_id", "business_id")
     if per_business is not None:
         by_hash = Window.partitionBy("business_id").orderBy("_hash", "review_id")
-        rows = (
-            rows.withColumn("_hash", seeded_hash(F.col("review_id"), seed))
+        ids = (
+            ids.withColumn("_hash", seeded_hash(F.col("review_id"), seed))
             .withColumn("_place", F.row_number().over(by_hash))
             .where(F.col("_place") <= per_business)
         )
-    rows = rows.select("review_id", "business_id", "stars", "text")
-    return rows if size is None else hash_sample(rows, "review_id", size, seed)
+    ids = cut_lineage(ids.select("review_id"))
+    if size is not None:
+        ids = hash_sample(ids, "review_id", size, seed)
+        if size <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+    return rows.join(ids, "review_id", "left_semi").select("review_id", "business_id", "stars", "text")
 
 
 def retrieval_split(corpus: DataFrame, share: float = 0.15, seed: int = 42) -> DataFrame:
@@ -68,10 +80,10 @@ def mine_pairs(corpus: DataFrame, train: DataFrame, n: int = 25_000, seed: int =
     Draw p takes a business by hash, then two different positions inside it. Positions come from
     `dense_index`, so each draw is two equi joins on (business, position), hot business or not.
     """
-    reviews = dense_index(
+    reviews = cut_lineage(dense_index(
         corpus.select("review_id", "business_id").join(train.select("business_id"), "business_id", "left_semi"),
         "review_id", "place", ("business_id",),
-    )
+    ))
     groups = dense_index(
         reviews.groupBy("business_id").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= 2),
         "business_id", "ix",

@@ -104,9 +104,16 @@ def _window_end(history: DataFrame) -> Column:
 
 
 def user_features(
-    history: DataFrame, businesses: DataFrame, users: DataFrame, positive: float = 4.0
+    history: DataFrame,
+    businesses: DataFrame,
+    users: DataFrame,
+    positive: float = 4.0,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user of the history window; `businesses` enriched, `users` from cohort_users."""
+    """One row per user of the history window; `businesses` enriched, `users` from cohort_users.
+
+    `only` (user_id) limits the rows to those users; the typical price is still taken over all users.
+    """
     places = businesses.select(
         "business_id",
         F.col("review_count").alias("biz_rc"), F.col("stars").alias("biz_gs"),
@@ -114,8 +121,12 @@ def user_features(
         F.col("city").alias("biz_city"), F.col("primary_category").alias("biz_cat"),
     )
     visits = history.join(places, "business_id", "left")
+    own, own_visits = history, visits
+    if only is not None:
+        own = history.join(only.select("user_id"), "user_id", "left_semi")
+        own_visits = own.join(places, "business_id", "left")
     activity = (
-        visits.groupBy("user_id")
+        own_visits.groupBy("user_id")
         .agg(
             F.count(F.lit(1)).alias("u_n_reviews"),
             F.avg("stars").alias("u_avg_stars"),
@@ -133,7 +144,7 @@ def user_features(
     )
     # counted on its own: a distinct next to the mode buffers would carry those per (user, business)
     breadth = (
-        history.select("user_id", "business_id").distinct()
+        own.select("user_id", "business_id").distinct()
         .groupBy("user_id").agg(F.count("business_id").alias("u_n_distinct_biz"))
     )
     typical_price = (

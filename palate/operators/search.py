@@ -10,6 +10,8 @@ from palate.functions.numbers import percent_lift
 from palate.operators.topk import topk_inner_product
 
 ELLIPSIS = "…"
+# Hit lists (queries * k short rows) are broadcast up to this count, so the corpus is joined in place.
+BROADCAST_HITS = 1_000_000
 
 
 def _normalised(vector: Column) -> Column:
@@ -37,6 +39,10 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, **how) -> Da
     ).withColumnRenamed("item_id", "review_id")
 
 
+def _beside_corpus(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    return F.broadcast(hits) if queries.count() * k <= BROADCAST_HITS else hits
+
+
 def search_reviews(
     queries: DataFrame, corpus: DataFrame, businesses: DataFrame, k: int = 10
 ) -> DataFrame:
@@ -45,7 +51,7 @@ def search_reviews(
     places = businesses.select("business_id", "name", "city", "stars")
     texts = corpus.select("review_id", "business_id", F.col("stars").alias("review_stars"), "text")
     return (
-        hits.join(texts, "review_id").join(places, "business_id", "left")
+        _beside_corpus(hits, queries, k).join(texts, "review_id").join(places, "business_id", "left")
         .select("query_id", "rank", "review_id", "business_id", "name", "city", "stars", "review_stars", "score", "text")
     )
 
@@ -62,8 +68,8 @@ def search_businesses(
 
     Pooling runs on (query, business, score, review) only; texts are fetched for the k winners.
     """
-    hits = vector_topk(queries, corpus, pool).join(corpus.select("review_id", "business_id"), "review_id")
-    pooled = hits.groupBy("query_id", "business_id").agg(
+    hits = _beside_corpus(vector_topk(queries, corpus, pool), queries, pool)
+    pooled = hits.join(corpus.select("review_id", "business_id"), "review_id").groupBy("query_id", "business_id").agg(
         F.max("score").alias("match"),
         F.count(F.lit(1)).alias("n_hits"),
         F.min(F.struct("rank", "review_id")).alias("best"),
@@ -76,7 +82,7 @@ def search_businesses(
     places = businesses.select("business_id", "name", "city", "stars", "categories")
     snippet = F.concat(F.substring("text", 1, snippet_chars), F.lit(ELLIPSIS))
     return (
-        winners.join(corpus.select("review_id", "text"), "review_id")
+        _beside_corpus(winners, queries, k).join(corpus.select("review_id", "text"), "review_id")
         .join(places, "business_id", "left")
         .select("query_id", "place", "business_id", "name", "city", "stars", "categories", "match", "n_hits",
                 snippet.alias("snippet"))
@@ -93,8 +99,10 @@ def retrieval_ranks(corpus: DataFrame, query_ids: DataFrame, k: int = 10) -> Dat
     others = (
         found.where(F.col("review_id") != F.col("query_id"))
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-        .join(owners, "review_id")
-        .join(owners.select(F.col("review_id").alias("query_id"), F.col("business_id").alias("own")), "query_id")
+    )
+    others = (
+        _beside_corpus(others, query_ids, k).join(owners, "review_id")
+        .join(queries.select(F.col("review_id").alias("query_id"), F.col("business_id").alias("own")), "query_id")
     )
     first = others.where(F.col("business_id") == F.col("own")).groupBy("query_id").agg(F.min("place").alias("first_hit"))
     return (

@@ -14,6 +14,7 @@ Scores are rounded to SCORE_DIGITS decimals; equal scores are ordered by corpus
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,24 +23,28 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SCORE_DIGITS = 9
 BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 2048
+# A cell holds at most about QUERY_BLOCK x ITEM_BLOCK scores, computed CHUNK queries at a time.
+QUERY_BLOCK = 2048
+ITEM_BLOCK = 16384
+CHUNK = 256
+MAX_TASKS = 50_000
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64)
 
 
-def _best(scores: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Per row, the columns of its k best scores; columns are in id order, so early ties win."""
-    for row in range(scores.shape[0]):
-        line = scores[row]
-        allowed = np.flatnonzero(np.isfinite(line))
-        if len(allowed) > k:
-            kth = np.partition(line[allowed], len(allowed) - k)[len(allowed) - k]
-            above = allowed[line[allowed] > kth]
-            tied = allowed[line[allowed] == kth][: k - len(above)]
-            allowed = np.concatenate([above, tied])
-        yield row, allowed
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of every row's k best finite scores; columns are in id order, so early ties win."""
+    keep = np.isfinite(scores)
+    width = scores.shape[1]
+    if width > k:
+        kth = np.partition(scores, width - k, axis=1)[:, width - k, None]
+        above = scores > kth
+        tied = scores == kth
+        wanted = k - above.sum(axis=1, keepdims=True)
+        keep &= above | (tied & (np.cumsum(tied, axis=1) <= wanted))
+    return np.nonzero(keep)
 
 
 def _cut(hits: DataFrame, k: int) -> DataFrame:
@@ -72,11 +77,7 @@ def _broadcast_topk(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
             batch = batch.sort_values("item_id", kind="stable")
             scores = np.round(matrix @ _matrix(batch["vec"]).T, SCORE_DIGITS)
             item_ids = batch["item_id"].to_numpy()
-            rows, cols = [], []
-            for row, best in _best(scores, k):
-                rows.append(np.full(len(best), row))
-                cols.append(best)
-            r, c = np.concatenate(rows), np.concatenate(cols)
+            r, c = _best(scores, k)
             found = pd.DataFrame({"q": r, "item_id": item_ids[c], "score": scores[r, c]})
             merged = found if kept is None else pd.concat([kept, found])
             # a task never holds more than k rows per query
@@ -100,27 +101,40 @@ def _cell_topk(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         items = cell[cell["kind"] == 1].sort_values("item_id")
         if queries.empty or items.empty:
             return pd.DataFrame({"query_id": queries["query_id"][:0], "item_id": items["item_id"][:0], "score": []})
-        scores = np.round(_matrix(queries["vec"]) @ _matrix(items["vec"]).T, SCORE_DIGITS)
         left_out = cell[cell["kind"] == 2]
-        if len(left_out):
-            at_row = pd.Index(queries["query_id"]).get_indexer(left_out["query_id"])
-            at_col = pd.Index(items["item_id"]).get_indexer(left_out["item_id"])
-            both = (at_row >= 0) & (at_col >= 0)
-            scores[at_row[both], at_col[both]] = -np.inf
-        query_ids, item_ids = queries["query_id"].to_numpy(), items["item_id"].to_numpy()
-        parts = [
-            pd.DataFrame({"query_id": query_ids[row], "item_id": item_ids[best], "score": scores[row, best]})
-            for row, best in _best(scores, k)
-        ]
-        return pd.concat(parts)
+        at_row = pd.Index(queries["query_id"]).get_indexer(left_out["query_id"])
+        at_col = pd.Index(items["item_id"]).get_indexer(left_out["item_id"])
+        both = (at_row >= 0) & (at_col >= 0)
+        order = np.argsort(at_row[both], kind="stable")
+        at_row, at_col = at_row[both][order], at_col[both][order]
+        query_matrix, item_matrix = _matrix(queries["vec"]), _matrix(items["vec"]).T
+        found_rows, found_cols, found_scores = [], [], []
+        for start in range(0, len(queries), CHUNK):
+            scores = np.round(query_matrix[start:start + CHUNK] @ item_matrix, SCORE_DIGITS)
+            lo, hi = np.searchsorted(at_row, [start, start + CHUNK])
+            scores[at_row[lo:hi] - start, at_col[lo:hi]] = -np.inf
+            r, c = _best(scores, k)
+            found_rows.append(r + start)
+            found_cols.append(c)
+            found_scores.append(scores[r, c])
+        return pd.DataFrame({
+            "query_id": queries["query_id"].to_numpy()[np.concatenate(found_rows)],
+            "item_id": items["item_id"].to_numpy()[np.concatenate(found_cols)],
+            "score": np.concatenate(found_scores),
+        })
 
     return solve
 
 
 def _blocked_topk(
-    queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None, n_queries: int, n_items: int, block: int
+    queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None, n_queries: int, n_items: int,
+    block: int | None,
 ) -> DataFrame:
-    query_blocks, item_blocks = max(1, -(-n_queries // block)), max(1, -(-n_items // block))
+    item_blocks = max(1, math.ceil(n_items / (block or ITEM_BLOCK)))
+    query_blocks = max(1, math.ceil(n_queries / (block or QUERY_BLOCK)))
+    # few items: cut the queries finer, so that every core has a cell
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    query_blocks = max(query_blocks, min(math.ceil(cores / item_blocks), math.ceil(n_queries / CHUNK)))
     schema = _output_schema(queries, items)
     no_vec = F.lit(None).cast(items.schema["vec"].dataType)
     # placeholders rather than nulls: a null would turn integer ids into floats inside the task
@@ -143,7 +157,9 @@ def _blocked_topk(
             _block("item_id", item_blocks).alias("ib"),
             F.lit(2).alias("kind"), "query_id", "item_id", no_vec.alias("vec"),
         ))
-    return _cut(cells.groupBy("qb", "ib").applyInPandas(_cell_topk(k), schema), k)
+    # cells are heavy in work, not in bytes: fix their number of tasks instead of letting them coalesce
+    spread = cells.repartition(min(query_blocks * item_blocks, MAX_TASKS), "qb", "ib")
+    return _cut(spread.groupBy("qb", "ib").applyInPandas(_cell_topk(k), schema), k)
 
 
 def topk_inner_product(
@@ -152,7 +168,7 @@ def topk_inner_product(
     k: int,
     exclude: DataFrame | None = None,
     strategy: str = "auto",
-    block: int = BLOCK_ROWS,
+    block: int | None = None,
 ) -> DataFrame:
     """For every query the k items with the largest inner product: query_id, item_id, score, rank.
 

@@ -44,11 +44,14 @@ class StaticTables:
     tips: DataFrame
 
 
-def feature_tables(history: DataFrame, static: StaticTables) -> tuple[DataFrame, DataFrame]:
+def feature_tables(
+    history: DataFrame, static: StaticTables, targets: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """User features (of the targets, if given) and features of every business in the window."""
     businesses = enrich_businesses(static.businesses)
-    users = cohort_users(static.users, history)
+    users = cohort_users(static.users, history if targets is None else targets)
     return (
-        user_features(history, businesses, users),
+        user_features(history, businesses, users, only=targets),
         business_features(history, businesses, checkin_stats(static.checkins), tip_counts(static.tips)),
     )
 
@@ -66,7 +69,7 @@ def als_frame(
         candidates = cut_lineage(candidates)
         positives = als_score_pairs(factors, relevance(labels, targets))
         candidates = inject_positives(candidates, positives, settings.n_candidates)
-    return ranking_frame(candidates, labels, *feature_tables(history, static))
+    return ranking_frame(candidates, labels, *feature_tables(history, static, targets))
 
 
 def fit_ranker(train: DataFrame, valid: DataFrame, static: StaticTables, settings: Settings) -> RankerModel:
