@@ -70,7 +70,14 @@ def _scene(spark, sf_dir):
 def _frame(spark, sf_dir):
     history, test, targets = _scene(spark, sf_dir)
     found = cut_lineage(c.popularity_candidates(targets, history, 100))
-    return c.ranking_frame(found, test, *tables(spark, sf_dir, history, targets)), c.relevance(test, targets)
+    frame = c.ranking_frame(found, test, *tables(spark, sf_dir, history, targets))
+    return frame, c.relevance(test, targets)
+
+
+def _kept_frame(spark, sf_dir):
+    """The frame's scoring columns, kept the way the training run keeps its test frame."""
+    frame, relevant = _frame(spark, sf_dir)
+    return cut_lineage(frame.select("user_id", "business_id", "als_score", "b_global_review_count", "b_avg_stars")), relevant
 
 
 def star_gain(spark, sf_dir):
@@ -118,20 +125,19 @@ def rank_popularity(spark, sf_dir):
 
 def _metric(name):
     def run(spark, sf_dir):
-        frame, relevant = _frame(spark, sf_dir)
+        frame, relevant = _kept_frame(spark, sf_dir)
         return canonical(e.user_metrics(c.rank_popularity(frame), relevant, 10).select("user_id", name))
 
     return run
 
 
 def evaluate_rankings(spark, sf_dir):
-    frame, relevant = _frame(spark, sf_dir)
+    frame, relevant = _kept_frame(spark, sf_dir)
     return canonical(e.evaluate_rankings(c.rank_popularity(frame), relevant))
 
 
 def _results(spark, sf_dir):
-    frame, relevant = _frame(spark, sf_dir)
-    frame = frame.select("user_id", "business_id", "als_score", "b_global_review_count", "b_avg_stars").persist()
+    frame, relevant = _kept_frame(spark, sf_dir)
     return {
         "review count": e.evaluate_rankings(c.rank_popularity(frame), relevant),
         "score": e.evaluate_rankings(c.rank_als(frame), relevant),
@@ -148,7 +154,7 @@ def method_lift(spark, sf_dir):
 
 
 def _demo(spark, sf_dir):
-    frame, relevant = _frame(spark, sf_dir)
+    frame, relevant = _kept_frame(spark, sf_dir)
     return c.demo_recs(c.rank_popularity(frame), relevant, view(spark, sf_dir, "businesses"))
 
 

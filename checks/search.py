@@ -127,7 +127,8 @@ def search_businesses(spark, sf_dir):
 
 def eval_retrieval(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    return canonical(s.eval_retrieval(vectors, c.eval_query_ids(vectors, c.retrieval_split(vectors))))
+    split = cut_lineage(c.retrieval_split(vectors))
+    return canonical(s.eval_retrieval(vectors, cut_lineage(c.eval_query_ids(vectors, split))))
 
 
 def encode_corpus(spark, sf_dir):
@@ -150,7 +151,8 @@ def adapt_embeddings(spark, sf_dir):
 
 def retrieval_lift(spark, sf_dir):
     vectors, split, adapted = _adapted(spark, sf_dir)
-    queries = c.eval_query_ids(vectors, split)
+    adapted = cut_lineage(adapted)
+    queries = cut_lineage(c.eval_query_ids(vectors, split))
     return canonical(s.retrieval_lift(s.eval_retrieval(vectors, queries), s.eval_retrieval(adapted, queries)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from palate.functions.numbers import to_number, whole_days
 from palate.functions.quantiles import exact_quantiles
 from palate.functions.text import comma_parts, price_level, strip
+from palate.session import cut_lineage
 from palate.sources.jsonl import is_elite
 from palate.sources.schemas import COMPLIMENT_COLUMNS
 
@@ -147,12 +148,12 @@ def user_features(
         own.select("user_id", "business_id").distinct()
         .groupBy("user_id").agg(F.count("business_id").alias("u_n_distinct_biz"))
     )
-    typical_price = (
-        exact_quantiles(
-            visits.groupBy("user_id").agg(F.avg("biz_price").alias("own_price")),
-            F.col("own_price"), (0.5,), PRICE_CELL,
-        ).scalar()
-    )
+    if only is None:
+        # one row per user, read again for the typical price: cheaper kept than regrouped
+        prices = activity = cut_lineage(activity)
+    else:
+        prices = visits.groupBy("user_id").agg(F.avg("biz_price").alias("own_price"))
+    typical_price = exact_quantiles(prices, F.col("own_price"), (0.5,), PRICE_CELL).scalar()
     age = F.greatest(whole_days(_window_end(history), F.col("signup_date")), F.lit(0))
     return (
         activity.join(breadth, "user_id")

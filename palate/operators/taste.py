@@ -8,6 +8,7 @@ from palate.functions.numbers import round_half_even
 from palate.functions.text import comma_parts, price_level
 from palate.operators.search import mean_unit_vectors
 from palate.operators.topk import topk_inner_product
+from palate.session import cut_lineage
 
 # Labels too generic to describe a taste.
 GENERIC_CATEGORIES = ("Restaurants", "Food", "Nightlife", "Bars", "Event Planning & Services")
@@ -62,11 +63,11 @@ def recommend_by_taste(
 
 
 def _top_values(rows: DataFrame, value: str, n: int, out: str) -> DataFrame:
-    """The n most frequent values per user, in order, as an array."""
-    order = Window.partitionBy("user_id").orderBy(F.desc("n"), value)
+    """The n values with the largest total weight per user, in order, as an array."""
+    order = Window.partitionBy("user_id").orderBy(F.desc("total"), value)
     return (
         rows.where(F.col(value).isNotNull())
-        .groupBy("user_id", value).agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("user_id", value).agg(F.sum("weight").alias("total"))
         .withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
         .groupBy("user_id")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", value))), lambda s: s[value]).alias(out))
@@ -74,26 +75,40 @@ def _top_values(rows: DataFrame, value: str, n: int, out: str) -> DataFrame:
 
 
 def profile_stats(interactions: DataFrame, businesses: DataFrame, positive: float = 4.0) -> DataFrame:
-    """Per user: activity over all rows, and categories, price, cities and favourites over liked rows."""
+    """Per user: activity over all rows, and categories, price, cities and favourites over liked rows.
+
+    The interactions are read once and combined to one row per (user, business); a liked visit counts
+    with its multiplicity from then on.
+    """
+    is_liked = F.coalesce(F.col("stars") >= positive, F.lit(False))
+    pairs = cut_lineage(interactions.groupBy("user_id", "business_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(is_liked.cast("long")).alias("n_liked"),
+        F.max("stars").alias("best"),
+        F.sum("stars").alias("star_sum"),
+        F.count("stars").alias("n_stars"),
+    ))
+    activity = pairs.groupBy("user_id").agg(
+        F.sum("n").alias("n_reviews"),
+        round_half_even(F.try_divide(F.sum("star_sum"), F.sum("n_stars")), 2).alias("avg_stars"),
+        F.sum("n_liked").alias("n_likes"),
+    )
+    weight = F.when(F.col("n_likes") > 0, F.col("n_liked")).otherwise(F.col("n"))
     details = businesses.where(F.col("name").isNotNull()).select(
         "business_id", "name", "city", "categories",
         price_level(F.col("attributes")["RestaurantsPriceRange2"]).alias("price"),
     )
-    likes = liked(interactions, positive)
-    visits = likes.select("user_id", "business_id", "stars").join(details, "business_id")
-
-    activity = interactions.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_reviews"),
-        round_half_even(F.avg("stars"), 2).alias("avg_stars"),
+    weighed = (
+        pairs.join(activity.select("user_id", "n_likes"), "user_id")
+        .select("user_id", "business_id", "best", weight.alias("weight")).where(F.col("weight") > 0)
     )
-    labels = visits.select("user_id", F.explode(comma_parts(F.col("categories"))).alias("category")).where(
+    visits = weighed.join(details, "business_id")
+    labels = visits.select("user_id", "weight", F.explode(comma_parts(F.col("categories"))).alias("category")).where(
         ~F.col("category").isin(*GENERIC_CATEGORIES) & (F.col("category") != "")
     )
-    price = visits.groupBy("user_id").agg(F.mode("price", True).alias("price"))
-    best = Window.partitionBy("user_id").orderBy(F.desc_nulls_last("stars"), "business_id")
+    best = Window.partitionBy("user_id").orderBy(F.desc_nulls_last("best"), "business_id")
     favourites = (
-        likes.groupBy("user_id", "business_id").agg(F.max("stars").alias("stars"))
-        .withColumn("place", F.row_number().over(best)).where(F.col("place") <= 5)
+        weighed.withColumn("place", F.row_number().over(best)).where(F.col("place") <= 5)
         .join(details.select("business_id", "name"), "business_id")
         .groupBy("user_id")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "name"))), lambda s: s["name"]).alias("favorites"))
@@ -101,13 +116,13 @@ def profile_stats(interactions: DataFrame, businesses: DataFrame, positive: floa
     nothing = F.array().cast("array<string>")
     return (
         activity.join(_top_values(labels, "category", 5, "top_categories"), "user_id", "left")
-        .join(price, "user_id", "left")
+        .join(_top_values(visits, "price", 1, "prices"), "user_id", "left")
         .join(_top_values(visits, "city", 3, "top_cities"), "user_id", "left")
         .join(favourites, "user_id", "left")
         .select(
             "user_id", "n_reviews", "avg_stars",
             F.coalesce("top_categories", nothing).alias("top_categories"),
-            F.coalesce(F.expr("repeat('$', price)"), F.lit("n/a")).alias("price_pref"),
+            F.coalesce(F.expr("repeat('$', prices[0])"), F.lit("n/a")).alias("price_pref"),
             F.coalesce("top_cities", nothing).alias("top_cities"),
             F.coalesce("favorites", nothing).alias("favorites"),
         )

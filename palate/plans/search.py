@@ -29,7 +29,7 @@ def build_search(corpus: DataFrame, settings: Settings = Settings(), vectors_pat
         corpus = encoder.encode(corpus)
     base = cut_lineage(corpus.select("review_id", "business_id", "embedding"))
     split = cut_lineage(retrieval_split(base, settings.eval_share, settings.seed))
-    queries = eval_query_ids(base, split, settings.eval_queries, settings.seed)
+    queries = cut_lineage(eval_query_ids(base, split, settings.eval_queries, settings.seed))
     pairs = mine_pairs(base, split.where(F.col("role") == "train"), settings.n_pairs, settings.seed)
     adapted = adapt_embeddings(base, pairs)
     if vectors_path is None:
