@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palate.llm import bpe, jaccard_join, language_id, license_scan, sharding
-from palate.llm.common import table
+from palate.llm import bpe, jaccard_join, language_id, license_scan, pii, secrets, sharding
+from palate.llm.common import joined_spans, table
 
 
 def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,27 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits")
 
 
+def count_of(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id", *map(count_of, pii.KINDS),
+        F.sha2(joined_spans(F.filter("spans", lambda s: s["order"] < len(pii.KINDS))), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"))
+
+
+def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"), ["doc_id"])
+    kinds = [rule.kind for rule in secrets.RULES[:3]]
+    return found.select(
+        "doc_id", *map(count_of, kinds),
+        F.sha2(joined_spans(F.filter("spans", lambda s: s["order"] < len(kinds))), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"))
+
+
 def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -38,6 +59,8 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": license_query,
     "op3_language_id": language_query,
+    "op4_pii": pii_query,
+    "op7_secrets": secrets_query,
     "op8_jaccard_join": jaccard_query,
     "op9_byte_bpe": bpe_query,
     "op10_feistel_shards": sharding_query,
