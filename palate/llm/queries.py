@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palate.llm import bpe, jaccard_join, language_id, license_scan, pii, secrets, sharding
+from palate.llm import ann_hnsw, bpe, jaccard_join, language_id, license_scan, pii, secrets, sharding
 from palate.llm.common import joined_spans, table
 
 
@@ -12,6 +12,11 @@ def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def nearest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann_hnsw.nearest_neighbours(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     texts = language_id.training_texts(docs)
@@ -58,6 +63,7 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": license_query,
+    "op2_hnsw": nearest_query,
     "op3_language_id": language_query,
     "op4_pii": pii_query,
     "op7_secrets": secrets_query,
