@@ -7,6 +7,7 @@ import hashlib
 import re
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -118,7 +119,8 @@ class Encoder(dict):
         self.find = regex.compile(pattern).findall
         self.beyond_latin = re.compile(BEYOND_LATIN).search if pattern == PATTERN else None
         self.find_latin = re.compile(LATIN_PATTERN).findall
-        self.decoded = Decoded(self.tokens)
+        self.decoded = Remembered(self.tokens.__getitem__)
+        self.packed = Remembered(lambda i: i.to_bytes(4, "little"))
 
     def __missing__(self, piece: str) -> str:
         data = piece.encode("utf-8")
@@ -135,14 +137,14 @@ class Encoder(dict):
         return [self[piece] for piece in (self.find_latin if latin else self.find)(text)]
 
 
-class Decoded(dict):
-    """Decimal ids of a pre-token -> their bytes; short ones are remembered."""
+class Remembered(dict):
+    """Decimal ids of a pre-token -> the joined bytes that a function gives for each id; short results are remembered."""
 
-    def __init__(self, tokens: dict[int, bytes]):
-        self.tokens = tokens
+    def __init__(self, values):
+        self.values_of = values
 
     def __missing__(self, ids: str) -> bytes:
-        data = b"".join([self.tokens[int(i)] for i in ids.split(" ")])
+        data = b"".join([self.values_of(int(i)) for i in ids.split(" ")])
         if len(data) <= CACHE_BYTES:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
@@ -167,7 +169,8 @@ def shared_ranks(spark: SparkSession, path: str):
 def encode_documents(
     docs: DataFrame, path: str, pattern: str, columns: list[str], text: str = "text", digests: bool = False,
 ) -> DataFrame:
-    """`columns` of every row plus n_tokens and either ids (array<int>) or ids_sha256 and decoded_sha256.
+    """`columns` of every row plus n_tokens and either ids (array<int>) and round_trip (whether they decode to the text's
+    bytes) or, with `digests`, ids_sha256 and decoded_sha256.
 
     `path` is a rank file, `pattern` splits text into pre-tokens, each of which is
     encoded on its own without special tokens; decoded_sha256 is of the bytes decoded from the ids.
@@ -175,7 +178,7 @@ def encode_documents(
     """
     kept = [docs.schema[c] for c in columns]
     ranks = shared_ranks(docs.sparkSession, path)
-    types = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>"
+    types = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, round_trip boolean"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), types])
 
     def run(batches):
@@ -191,10 +194,16 @@ def encode_documents(
                     first.append(hashlib.sha256(ids.encode()).hexdigest())
                     second.append(hashlib.sha256(b"".join([encoder.decoded[i] for i in pieces])).hexdigest())
                 else:
-                    first.append([int(i) for i in ids.split(" ")] if ids else [])
+                    first.append(b"".join([encoder.packed[i] for i in pieces]))
+                    second.append(b"".join([encoder.decoded[i] for i in pieces]) == (value.as_py() or "").encode())
             made = [pa.array(counts, pa.int64())]
-            made += [pa.array(first, pa.string()), pa.array(second, pa.string())] if digests else [pa.array(first, pa.list_(pa.int32()))]
-            names = [f.name for f in kept] + ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids"])]
+            if digests:
+                made += [pa.array(first, pa.string()), pa.array(second, pa.string())]
+            else:
+                ids = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(np.frombuffer(b"".join(first), "<i4")))
+                made += [ids, pa.array(second, pa.bool_())]
+            names = [f.name for f in kept] + ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "round_trip"])]
             yield pa.RecordBatch.from_arrays([*arrays, *made], names=names)
 
     return docs.select(*[docs[c] for c in columns], docs[text].alias("_text")).mapInArrow(run, schema)

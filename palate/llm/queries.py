@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palate.llm import ann_hnsw, bpe, decontaminate, jaccard_join, language_id, license_scan, pii, secrets, sharding
+from palate.llm import ann_hnsw, bpe, decontaminate, importance, jaccard_join, language_id, license_scan, pii, secrets, sharding
 from palate.llm.common import joined_spans, table
 
 
@@ -28,6 +28,10 @@ def leaks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def count_of(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_language_id": language_query,
     "op4_pii": pii_query,
     "op5_decontamination": leaks_query,
+    "op6_importance_resampling": importance_query,
     "op7_secrets": secrets_query,
     "op8_jaccard_join": jaccard_query,
     "op9_byte_bpe": bpe_query,
