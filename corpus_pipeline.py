@@ -1,10 +1,76 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over `documents`, each written as Parquet and read again as the next one's input."""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from palate.llm import bpe, decontaminate, jaccard_join, language_id, secrets
+from palate.llm.common import sized_broadcast, table, written
+
+# SQL has neither automata nor a rank queue; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def row_hash(docs: DataFrame) -> Column:
+    """Tells rows apart by all their values; equal rows share it."""
+    return F.xxhash64(*[docs[c] for c in sorted(docs.columns)])
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter and those that fit none of the languages learnt from the labelled ones."""
+    predicted = language_id.predict_languages(docs, language_id.training_texts(docs), docs.columns)
+    return predicted.where((F.col("lang_pred") != language_id.UNDECIDED) & ~F.col("foreign")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each component of the 5-word Jaccard join at 0.8: that of the smallest (doc_id, row hash)."""
+    keyed = docs.withColumn("_key", F.struct(docs["doc_id"], row_hash(docs).alias("row")))
+    joined = written(jaccard_join.jaccard_components(keyed, key="_key"), "components")
+    kept = joined.where("_key = component_id").groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
+    once = kept.where("copies = 1").select(F.col("_key.row").alias("_row"))
+    more = kept.where("copies > 1").select(F.col("_key.row").alias("_row"))
+    marked = docs.withColumn("_row", row_hash(docs))
+    single = marked.join(sized_broadcast(once), "_row", "left_semi")
+    if more.isEmpty():
+        return single.drop("_row")
+    return single.union(marked.join(sized_broadcast(more), "_row", "left_semi").dropDuplicates(["_row"])).drop("_row")
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item or a paraphrase of one."""
+    marked = docs.withColumn("_row", row_hash(docs))
+    leaks = decontaminate.find_leaks(marked, table(spark, sf_dir, "benchmark"), key="_row")
+    return marked.join(sized_broadcast(written(leaks.select("_row").distinct(), "leaks")), "_row", "left_anti").drop("_row")
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret in the texts by its kind; all documents stay, n_chars follows the text."""
+    scanned = secrets.scan_secrets(docs, docs.columns)
+    found = F.size("spans") > 0
+    text = F.when(found, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    out = {"text": text, **({"n_chars": F.when(found, F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})}
+    return scanned.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and whether they decode to its text."""
+    columns = [c for c in docs.columns if c != "text"]
+    return bpe.encode_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, columns)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_join", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("secret_scan", redact_secrets),
+    ("byte_bpe", encode_tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

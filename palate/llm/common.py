@@ -26,6 +26,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Up to this many rows of a few numbers may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, a narrow table cheap to count, broadcast if it has `limit` rows at most; otherwise joins shuffle."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker, for models that every task of it needs."""
     return sys.modules.setdefault("_palate_worker", types.ModuleType("_palate_worker")).__dict__

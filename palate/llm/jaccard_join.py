@@ -7,15 +7,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from palate.llm.common import BASE, LOWER, VISIBLE, mix, text_slices, word_bounds, word_hashes, written
+from palate.llm.common import BASE, LOWER, VISIBLE, mix, sized_broadcast, text_slices, word_bounds, word_hashes, written
 
 # Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (32 MB).
 CELL_BITS = 28
 RANGES = 1024
 # Only so many cells, the fullest, travel with their counts (12 bytes each) to order shingles.
 FULL_CELLS = 1 << 20
-# Up to this many text keys (8 bytes each) may be broadcast; beyond, the join shuffles.
-BROADCAST_KEYS = 1_000_000
 
 
 def shingle_sets(raw: np.ndarray, bounds: np.ndarray, width: int) -> list[np.ndarray]:
@@ -164,8 +162,6 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
 
 def set_table(docs: DataFrame, keys: DataFrame, text: str, width: int) -> DataFrame:
     """uid and sorted shingle hashes of the texts whose key (xxhash64) is in `keys`."""
-    small = keys.count() <= BROADCAST_KEYS
-
     def run(batches):
         for batch in batches:
             uids, sets = [], []
@@ -178,7 +174,7 @@ def set_table(docs: DataFrame, keys: DataFrame, text: str, width: int) -> DataFr
                 [pa.array(uids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["uid", "shingles"])
 
     texts = docs.select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("tk"))
-    chosen = texts.join(F.broadcast(keys) if small else keys, "tk", "left_semi").select("_text")
+    chosen = texts.join(sized_broadcast(keys), "tk", "left_semi").select("_text")
     return chosen.mapInArrow(run, "uid long, shingles array<long>").groupBy("uid").agg(F.first("shingles").alias("shingles"))
 
 

@@ -19,6 +19,8 @@ TRAIN_BYTES = 48_000
 # Texts are parsed in pieces of this many bytes, all pieces of a batch side by side.
 PIECE = 512
 UNDECIDED = "und"
+# A text of at least FOREIGN_BYTES of letters that costs more bits a byte than this is in none of the learnt languages.
+FOREIGN_BITS, FOREIGN_BYTES = 6.0, 100
 
 
 def letters(text: Column) -> Column:
@@ -168,25 +170,27 @@ def cross_entropies(raw: np.ndarray, bounds: np.ndarray, parsers: list[tuple[str
 
 
 def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[str], text: str = "text") -> DataFrame:
-    """`columns` of every row plus lang_pred, score (0 to 1: margin over the runner-up) and bits (the winner's estimate).
+    """`columns` of every row plus lang_pred, score (0 to 1: margin over the runner-up), bits (the winner's estimate) and
+    foreign (whether no learnt language fits).
 
     Only the text decides. Whole texts are parsed; PIECE bytes at a time start a phrase of their own, the same for every
     language. Null texts and texts without a letter, or nothing to learn from, give 'und' with score 0 and bits null; ties
     go to the first language by name. Repeated rows stay, an empty table gives no rows, other columns are ignored.
     """
     kept = [docs.schema[c] for c in columns]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits double"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits double, foreign boolean"])
 
     def run(batches):
         parsers = worker_parsers(texts)
         for batch in batches:
-            names, scores, bits = [], [], []
+            names, scores, bits, foreign = [], [], [], []
             for _, _, raw, bounds in text_slices(batch.column(len(kept))):
                 found = np.diff(bounds) > 0
                 if not parsers or not found.any():
                     names += [UNDECIDED] * len(found)
                     scores += [0.0] * len(found)
                     bits += [None] * len(found)
+                    foreign += [False] * len(found)
                     continue
                 values = cross_entropies(raw, bounds, parsers)
                 best = values.argmin(axis=1)
@@ -196,9 +200,10 @@ def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[st
                 names += [parsers[b][0] if f else UNDECIDED for b, f in zip(best, found)]
                 scores += np.where(found, margin, 0.0).tolist()
                 bits += [v if f else None for v, f in zip(ranked[:, 0].tolist(), found)]
+                foreign += (found & (ranked[:, 0] > FOREIGN_BITS) & (np.diff(bounds) >= FOREIGN_BYTES)).tolist()
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(kept))), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(bits, pa.float64())],
-                names=[f.name for f in kept] + ["lang_pred", "score", "bits"])
+                 pa.array(bits, pa.float64()), pa.array(foreign, pa.bool_())],
+                names=[f.name for f in kept] + ["lang_pred", "score", "bits", "foreign"])
 
     return docs.select(*[docs[c] for c in columns], letters(docs[text]).alias("_letters")).mapInArrow(run, schema)

@@ -37,3 +37,17 @@ def spans_of(text: Column, kind: str, order: int, pattern: str, keep=None, group
 
 def no_spans() -> Column:
     return F.expr("cast(array() as array<struct<start:int,order:int,kind:string,end:int,found:string>>)")
+
+
+def replaced(text: Column, spans: Column, instead) -> Column:
+    """The text with every span replaced by `instead(span, found text)`; of overlapping spans the first one stands for all."""
+    def step(state, span):
+        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
+        found = F.substring(text, span["start"] + 1, span["end"] - span["start"])
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(span["start"] < state["at"], state["out"]).otherwise(F.concat(state["out"], gap, instead(span, found))).alias("out"))
+
+    return F.aggregate(
+        F.array_sort(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from palate.llm.common import written
-from palate.llm.patterns import matches, no_spans, spans_of
+from palate.llm.common import sized_broadcast, written
+from palate.llm.patterns import matches, no_spans, replaced, spans_of
 
 # Kinds in their listed order (fixed values); a pattern starts only where a match can start, so runs are read once.
 KINDS = ("email", "ip", "card", "phone")
@@ -25,7 +25,6 @@ CONTEXT = 120
 DISCLOSURE = 0.8
 # estimated from at least so many different texts.
 SUPPORT = 2
-BROADCAST_TERMS = 500_000
 
 
 def digits(found: Column) -> Column:
@@ -96,10 +95,9 @@ def disclosing(units: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     )
     pairs = written(pairs, "pairs")
     wanted = written(pairs.select("term").distinct(), "terms")
-    small = wanted.count() <= BROADCAST_TERMS
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)))
     terms = (
-        docs.select(F.explode(words).alias("term")).join(F.broadcast(wanted) if small else wanted, "term", "left_semi")
+        docs.select(F.explode(words).alias("term")).join(sized_broadcast(wanted), "term", "left_semi")
         .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     )
     own = F.log(F.lit(float(total)) / F.col("n_e"))
@@ -139,19 +137,9 @@ def find_personal_data(docs: DataFrame, columns: list[str], text: str = "text")
 def sanitised(text: Column, spans: Column) -> Column:
     """The text with entities replaced by their kind, capitalised terms generalised to [NAME], terms with digits to
     [CODE], and other terms removed."""
-    ordered = F.array_sort(spans)
-
-    def step(state, span):
-        raw = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-        instead = (
+    def instead(span, found):
+        return (
             F.when(span["kind"] != "term", F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
-            .when(raw.rlike("[0-9]"), F.lit("[CODE]")).when(raw.rlike(r"^\p{Lu}"), F.lit("[NAME]")).otherwise(F.lit("")))
-        piece = F.concat(F.substring(text, state["at"] + 1, span["start"] - state["at"]), instead)
-        inside = span["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(inside, state["out"]).otherwise(F.concat(state["out"], piece)).alias("out"))
-
-    return F.aggregate(
-        ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
+            .when(found.rlike("[0-9]"), F.lit("[CODE]")).when(found.rlike(r"^\p{Lu}"), F.lit("[NAME]")).otherwise(F.lit("")))
+
+    return replaced(text, spans, instead)

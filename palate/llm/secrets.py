@@ -12,11 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from palate.llm.common import written
-from palate.llm.patterns import no_spans, spans_of
+from palate.llm.common import sized_broadcast, written
+from palate.llm.patterns import no_spans, replaced, spans_of
 
-# Up to this many candidate rows (a row key and rule numbers) may be broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 500_000
 # Sets of literal strings and Boolean queries stay this small while a pattern is read.
 MOST_STRINGS, MOST_CLAUSES = 64, 64
 
@@ -173,10 +171,14 @@ def scan_secrets(docs: DataFrame, columns: list[str], text: str = "text", rules:
     rows = docs.select(
         *[docs[c] for c in columns], F.coalesce(docs[text], F.lit("")).alias("_text")).withColumn("_row", F.xxhash64("_text"))
     found = written(candidates(postings(rows, "_row", "_text", vocabulary), "_row", rules), "candidates")
-    small = found.count() <= BROADCAST_ROWS
-    joined = rows.join(F.broadcast(found) if small else found, "_row", "left")
+    joined = rows.join(sized_broadcast(found), "_row", "left")
     arrays = []
     for number, (rule, query) in enumerate(zip(rules, queries)):
         spans = spans_of(F.col("_text"), rule.kind, number, rule.pattern, rule.keep, rule.group)
         arrays.append(spans if query == ANY else F.when(F.array_contains("rules", number), spans).otherwise(no_spans()))
     return joined.select(*[F.col(c) for c in columns], F.array_sort(F.concat(*arrays)).alias("spans"))
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with every secret replaced by [SECRET:kind]."""
+    return replaced(text, spans, lambda span, found: F.concat(F.lit("[SECRET:"), span["kind"], F.lit("]")))
