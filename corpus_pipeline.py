@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.llm import bpe, decontaminate, jaccard_join, language_id, secrets
 from palate.llm.common import sized_broadcast, table, written
@@ -12,52 +12,56 @@ from palate.llm.common import sized_broadcast, table, written
 ORACLE_SQL = None
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """Tells rows apart by all their values; equal rows share it."""
-    return F.xxhash64(*[docs[c] for c in sorted(docs.columns)])
+def carried(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the whole row as _doc, so that no column of it can clash, and _row, a hash equal rows share."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"), F.xxhash64(*sorted(docs.columns)).alias("_row"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those that fit none of the languages learnt from the labelled ones."""
-    predicted = language_id.predict_languages(docs, language_id.training_texts(docs), docs.columns)
-    return predicted.where((F.col("lang_pred") != language_id.UNDECIDED) & ~F.col("foreign")).select(*docs.columns)
+    predicted = language_id.predict_languages(carried(docs), language_id.training_texts(docs), ["_doc"])
+    return predicted.where((F.col("lang_pred") != language_id.UNDECIDED) & ~F.col("foreign")).select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of the 5-word Jaccard join at 0.8: that of the smallest (doc_id, row hash)."""
-    keyed = docs.withColumn("_key", F.struct(docs["doc_id"], row_hash(docs).alias("row")))
+    marked = carried(docs)
+    keyed = marked.select("text", F.struct("doc_id", F.col("_row").alias("row")).alias("_key"))
     joined = written(jaccard_join.jaccard_components(keyed, key="_key"), "components")
     kept = joined.where("_key = component_id").groupBy("_key").agg(F.count(F.lit(1)).alias("copies"))
     once = kept.where("copies = 1").select(F.col("_key.row").alias("_row"))
     more = kept.where("copies > 1").select(F.col("_key.row").alias("_row"))
-    marked = docs.withColumn("_row", row_hash(docs))
     single = marked.join(sized_broadcast(once), "_row", "left_semi")
-    if more.isEmpty():
-        return single.drop("_row")
-    return single.union(marked.join(sized_broadcast(more), "_row", "left_semi").dropDuplicates(["_row"])).drop("_row")
+    if not more.isEmpty():
+        single = single.union(marked.join(sized_broadcast(more), "_row", "left_semi").dropDuplicates(["_row"]))
+    return single.select("_doc.*")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item or a paraphrase of one."""
-    marked = docs.withColumn("_row", row_hash(docs))
+    marked = carried(docs)
     leaks = decontaminate.find_leaks(marked, table(spark, sf_dir, "benchmark"), key="_row")
-    return marked.join(sized_broadcast(written(leaks.select("_row").distinct(), "leaks")), "_row", "left_anti").drop("_row")
+    return marked.join(sized_broadcast(written(leaks.select("_row").distinct(), "leaks")), "_row", "left_anti").select("_doc.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret in the texts by its kind; all documents stay, n_chars follows the text."""
-    scanned = secrets.scan_secrets(docs, docs.columns)
+    scanned = secrets.scan_secrets(carried(docs), ["_doc"])
     found = F.size("spans") > 0
-    text = F.when(found, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    out = {"text": text, **({"n_chars": F.when(found, F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})}
-    return scanned.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+    text = F.when(found, secrets.redacted(F.col("_doc.text"), F.col("spans"))).otherwise(F.col("_doc.text"))
+    marked = scanned.select("_doc", found.alias("found"), text.alias("text"))
+    size = F.when(F.col("found"), F.length("text").cast("long")).otherwise(F.col("_doc.n_chars"))
+    return marked.select(*[
+        F.col("text") if c == "text" else size.alias(c) if c == "n_chars" else F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids, and whether they decode to its text."""
-    columns = [c for c in docs.columns if c != "text"]
-    return bpe.encode_documents(
-        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, columns)
+    """Every document's token ids, and whether they decode to its text; columns of those names are replaced."""
+    columns = [c for c in docs.columns if c not in ("text", "n_tokens", "ids", "round_trip")]
+    encoded = bpe.encode_documents(
+        docs.select("text", F.struct(*columns).alias("_doc")), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN, ["_doc"])
+    return encoded.select("_doc.*", "n_tokens", "ids", "round_trip")
 
 
 STAGES = [

@@ -141,7 +141,7 @@ def usable(vector):
 
 def partitions(shards: int) -> int:
     """Enough partitions that few hold two shards; adaptive execution would put small ones together."""
-    return min(4 * shards, shards + 5_000)
+    return max(1, min(4 * shards, shards + 5_000))
 
 
 def build_index(rows: DataFrame, key: str, vector: str, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:

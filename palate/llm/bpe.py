@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from palate.llm.common import worker_cache
+from palate.llm.common import fields_and, worker_cache
 
 # The pre-token pattern of the byte-level rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -179,7 +179,7 @@ def encode_documents(
     kept = [docs.schema[c] for c in columns]
     ranks = shared_ranks(docs.sparkSession, path)
     types = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, round_trip boolean"
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), types])
+    schema = fields_and(kept, types)
 
     def run(batches):
         encoder = worker_encoder(ranks.value, pattern)
@@ -213,7 +213,7 @@ def decode_documents(encoded: DataFrame, path: str, columns: list[str], ids: str
     """`columns` of every row plus the text its ids decode to; bytes that are no UTF-8 become U+FFFD, null ids ''."""
     kept = [encoded.schema[c] for c in columns]
     ranks = shared_ranks(encoded.sparkSession, path)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "decoded string"])
+    schema = fields_and(kept, "decoded string")
 
     def run(batches):
         tokens = worker_encoder(ranks.value, PATTERN).tokens

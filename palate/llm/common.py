@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from palate.session import scratch_path
 
@@ -40,10 +41,9 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_palate_worker", types.ModuleType("_palate_worker")).__dict__
 
 
-def row_key(*columns: str) -> Column:
-    """A key of the values of a row, nulls told apart from empty strings; equal rows share it."""
-    parts = [F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-")) for c in columns]
-    return F.sha2(F.concat_ws("\x1f", *parts), 256)
+def fields_and(fields: list[StructField], ddl: str) -> StructType:
+    """A schema of given fields, whatever their names, and those of a DDL string."""
+    return StructType([*fields, *DataType.fromDDL(ddl).fields])
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:

@@ -11,9 +11,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import DataType
+from pyspark.sql.types import StructField, StructType
 
-from palate.llm.common import ALNUM, text_slices, word_bounds, word_hashes
+from palate.llm.common import ALNUM, fields_and, text_slices, word_bounds, word_hashes
 
 # Documents are summed up in blocks of STEP words; LONG and SHORT passages are compared with runs of so many words.
 STEP, LONG, SHORT = 8, 32, 16
@@ -287,8 +287,9 @@ def find_leaks(
     """
     columns = [benchmark[item], benchmark[item_text], *([benchmark[answer]] if answer else [])]
     rows = docs.select(docs[key].alias("key"), F.lower(F.coalesce(docs[text], F.lit(""))).alias("_text"))
-    kind, item_kind = docs.schema[key].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
-    schema = f"key {kind}, item {item_kind}, cosine double, share double, answered boolean, first_word long, last_word long"
+    schema = fields_and(
+        [StructField("key", docs.schema[key].dataType), StructField("item", benchmark.schema[item].dataType)],
+        "cosine double, share double, answered boolean, first_word long, last_word long")
     total, out = None, docs.sparkSession.createDataFrame([], schema)
     held, block = [], 0
 
@@ -312,9 +313,9 @@ def find_leaks(
     return out.withColumnsRenamed({"key": key, "item": item})
 
 
-def search(rows: DataFrame, index: Index, schema: str) -> DataFrame:
+def search(rows: DataFrame, index: Index, schema: StructType) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(index)
-    kind = to_arrow_type(DataType.fromDDL(schema)["item"].dataType)
+    kind = to_arrow_type(schema["item"].dataType)
 
     def run(batches):
         index = shared.value

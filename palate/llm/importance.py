@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField
 
-from palate.llm.common import ALNUM, LOWER, mix, text_slices, word_bounds, word_hashes, written
+from palate.llm.common import ALNUM, LOWER, VISIBLE, fields_and, mix, text_slices, word_bounds, word_hashes, written
 
 # Buckets of the hashed unigrams and bigrams, and the count every bucket starts with.
 BUCKETS = 1 << 16
@@ -16,11 +17,16 @@ TARGET_ROWS = 20_000
 # Features of a typical text that a log ratio per feature is scaled to, so that length alone does not decide.
 TYPICAL = 64.0
 
+MARKS = VISIBLE & ~ALNUM  # what is neither white space nor part of a word
+
 
 def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every word and of every pair of neighbouring words in the rows."""
+    """(row, bucket) of every token and of every pair of neighbours in the rows; tokens are words and runs of marks."""
     raw = LOWER[raw]
-    starts, ends, firsts = word_bounds(raw, bounds, ALNUM)
+    starts, ends, _ = (np.concatenate(parts) for parts in zip(word_bounds(raw, bounds, ALNUM), word_bounds(raw, bounds, MARKS)))
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
+    firsts = np.searchsorted(starts, bounds)
     words = word_hashes(raw, starts, ends)
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(firsts))
     inner = np.flatnonzero(rows[1:] == rows[:-1])
@@ -74,7 +80,7 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 def importance_weights(docs: DataFrame, ratio: np.ndarray, key: str, text: str) -> DataFrame:
     """key, n_features, log_weight (sum of the ratios of the text's features) and mean_ratio per row."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    kind = docs.schema[key].dataType.simpleString()
+    schema = fields_and([StructField("key", docs.schema[key].dataType)], "n_features long, log_weight double, mean_ratio double")
 
     def run(batches):
         for batch in batches:
@@ -90,7 +96,7 @@ def importance_weights(docs: DataFrame, ratio: np.ndarray, key: str, text: str)
                  pa.array(sums / np.maximum(counts, 1), pa.float64())], names=["key", "n_features", "log_weight", "mean_ratio"])
 
     return docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("_text")).mapInArrow(
-        run, f"key {kind}, n_features long, log_weight double, mean_ratio double")
+        run, schema)
 
 
 def resample(
@@ -102,7 +108,7 @@ def resample(
     selected. Raw counts cover all documents; the target's are of at most about TARGET_ROWS labelled rows. The sample is
     the top k of mean ratio scaled to a typical length plus Gumbel noise, a draw without replacement by importance; the
     noise is a hash of key, text and seed. Its cut is found from counts, so k is met up to ties, which stay together.
-    Null and wordless texts have weight 0 and score 0.5, repeated rows share their draw, null keys match no
+    Null texts and those of white space have weight 0 and score 0.5, repeated rows share their draw, null keys match no
     label, without labelled rows the target is uniform, an empty table gives no rows; other columns are ignored.
     """
     body = F.coalesce(docs[text], F.lit(""))

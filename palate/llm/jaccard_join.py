@@ -6,8 +6,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField
 
-from palate.llm.common import BASE, LOWER, VISIBLE, mix, sized_broadcast, text_slices, word_bounds, word_hashes, written
+from palate.llm.common import BASE, LOWER, VISIBLE, fields_and, mix, sized_broadcast, text_slices, word_bounds, word_hashes, written
 
 # Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (32 MB).
 CELL_BITS = 28
@@ -155,9 +156,8 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
                  pa.array(tokens, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
                 names=["key", "tk", "n", "uid", "gid", "tokens", "places"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text")).mapInArrow(
-        run, f"key {kind}, tk long, n long, uid long, gid long, tokens array<long>, places array<int>")
+    schema = fields_and([StructField("key", docs.schema[key].dataType)], "tk long, n long, uid long, gid long, tokens array<long>, places array<int>")
+    return docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text")).mapInArrow(run, schema)
 
 
 def set_table(docs: DataFrame, keys: DataFrame, text: str, width: int) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from palate.llm.common import text_slices, worker_cache
+from palate.llm.common import fields_and, text_slices, worker_cache
 
 # Bounds of the training sample: this many documents of a language on average, the letters at the start of each, and
 # bytes of normalised text per language.
@@ -178,7 +178,7 @@ def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[st
     go to the first language by name. Repeated rows stay, an empty table gives no rows, other columns are ignored.
     """
     kept = [docs.schema[c] for c in columns]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, bits double, foreign boolean"])
+    schema = fields_and(kept, "lang_pred string, score double, bits double, foreign boolean")
 
     def run(batches):
         parsers = worker_parsers(texts)
@@ -196,7 +196,7 @@ def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[st
                 best = values.argmin(axis=1)
                 ranked = np.sort(values, axis=1)
                 second = ranked[:, 1] if values.shape[1] > 1 else np.full(len(found), np.inf)
-                margin = np.clip(1 - ranked[:, 0] / second, 0, 1)
+                margin = np.clip(1 - ranked[:, 0] / np.maximum(second, 1e-12), 0, 1)
                 names += [parsers[b][0] if f else UNDECIDED for b, f in zip(best, found)]
                 scores += np.where(found, margin, 0.0).tolist()
                 bits += [v if f else None for v, f in zip(ranked[:, 0].tolist(), found)]

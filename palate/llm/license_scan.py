@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from palate.llm.common import ALNUM, LOWER, text_slices, word_bounds, worker_cache
+from palate.llm.common import ALNUM, LOWER, fields_and, text_slices, word_bounds, worker_cache
 from palate.llm.license_rules import all_rules
 
 # Base phrases of consecutive words and their labels (fixed values).
@@ -79,9 +79,8 @@ def scan_licenses(docs: DataFrame, columns: list[str], text: str = "text", spans
     empty texts have no words and no labels; repeated rows stay; an empty table gives no rows.
     """
     kept = [docs.schema[c] for c in columns]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept),
-                        "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"])
-    schema += ", detections string" if spans else ""
+    schema = fields_and(kept, "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+                        + (", detections string" if spans else ""))
 
     def run(batches):
         phrases = phrase_patterns()
