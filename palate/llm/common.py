@@ -13,7 +13,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 from palate.session import scratch_path
 
 # Bytes of text that one numpy pass holds at a time; its temporaries are about 60 times as large.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql.types import StructField
 
 from palate.llm.common import BASE, LOWER, VISIBLE, fields_and, mix, sized_broadcast, text_slices, word_bounds, word_hashes, written
 
-# Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (32 MB).
-CELL_BITS = 28
+# Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (16 MB).
+CELL_BITS = 27
 RANGES = 1024
 # Only so many cells, the fullest, travel with their counts (12 bytes each) to order shingles.
-FULL_CELLS = 1 << 20
+FULL_CELLS = 1 << 19
 
 
 def shingle_sets(raw: np.ndarray, bounds: np.ndarray, width: int) -> list[np.ndarray]:
@@ -70,7 +70,7 @@ def cell_counts(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.
                 sets = shingle_sets(raw, bounds, width)
                 parts.append((np.concatenate(sets) >> shift).astype(np.int64))
                 held += len(parts[-1])
-                if held > 4_000_000:
+                if held > 2_000_000:
                     yield send(parts)
                     parts, held = [], 0
         if held:
@@ -127,7 +127,7 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
     def run(batches):
         seen, full, counts = model.value
         for batch in batches:
-            sizes, uids, gids, tokens, places = [], [], [], [], []
+            sizes, uids, gids, tokens, places, lengths = [], [], [], [], [], []
             for _, _, raw, bounds in text_slices(batch.column(2)):
                 for shingles in shingle_sets(raw, bounds, width):
                     n = len(shingles)
@@ -135,8 +135,7 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
                     if not n:
                         uids.append(None)
                         gids.append(None)
-                        tokens.append(None)
-                        places.append(None)
+                        lengths.append(0)
                         continue
                     cells = (shingles >> shift).astype(np.int64)
                     weights = np.zeros(n, np.int64)
@@ -149,29 +148,36 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
                     gids.append(int(mix(mix(prefix).sum(keepdims=True) * BASE + np.uint64(n)).view(np.int64)[0]))
                     cells = cells[order]
                     shared = np.flatnonzero(seen[cells >> 3] >> (7 - (cells & 7)) & 1)
-                    tokens.append((prefix[shared] >> bits).astype(np.int64).tolist())
-                    places.append(shared.tolist())
+                    tokens.append((prefix[shared] >> bits).astype(np.int64))
+                    places.append(shared.astype(np.int32))
+                    lengths.append(len(shared))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(uids, pa.int64()), pa.array(gids, pa.int64()),
-                 pa.array(tokens, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                 list_array(lengths, tokens, np.int64), list_array(lengths, places, np.int32)],
                 names=["key", "tk", "n", "uid", "gid", "tokens", "places"])
 
     schema = fields_and([StructField("key", docs.schema[key].dataType)], "tk long, n long, uid long, gid long, tokens array<long>, places array<int>")
     return docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text")).mapInArrow(run, schema)
 
 
+def list_array(lengths: list[int], parts: list[np.ndarray], kind) -> pa.ListArray:
+    """Arrow lists of these lengths from their concatenated parts."""
+    values = np.concatenate(parts) if parts else np.zeros(0, kind)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values.astype(kind)))
+
+
 def set_table(docs: DataFrame, keys: DataFrame, text: str, width: int) -> DataFrame:
     """uid and sorted shingle hashes of the texts whose key (xxhash64) is in `keys`."""
     def run(batches):
         for batch in batches:
-            uids, sets = [], []
+            uids, sets, lengths = [], [], []
             for _, _, raw, bounds in text_slices(batch.column(0)):
                 for shingles in shingle_sets(raw, bounds, width):
                     if len(shingles):
                         uids.append(int(mix(mix(shingles ^ BASE).sum(keepdims=True) + np.uint64(len(shingles))).view(np.int64)[0]))
                         sets.append(shingles.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(uids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["uid", "shingles"])
+                        lengths.append(len(shingles))
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), list_array(lengths, sets, np.int64)], names=["uid", "shingles"])
 
     texts = docs.select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("tk"))
     chosen = texts.join(sized_broadcast(keys), "tk", "left_semi").select("_text")
