@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palate.llm import ann_hnsw, bpe, decontaminate, importance, jaccard_join, language_id, license_scan, pii, secrets, sharding
+from palate.llm import ann_hnsw, bpe, decontaminate, importance, jaccard_join, language_id, license_scan, oracles, pii, secrets, sharding
 from palate.llm.common import joined_spans, table
 
 
@@ -82,21 +82,4 @@ QUERIES = {
     "op10_feistel_shards": sharding_query,
 }
 
-ORACLES: dict[str, str] = {
-    "op8_jaccard_join": """
-WITH RECURSIVE words AS (
-  SELECT rowid AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\\x20\\x09-\\x0D]+') AS w
-  FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
-sets AS MATERIALIZED (
-  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
-shingles AS MATERIALIZED (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
-pairs AS (
-  SELECT a.r AS x, b.r AS y FROM shingles a JOIN shingles b ON a.g = b.g AND a.r <> b.r
-  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-reach AS (SELECT x, y FROM pairs UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, min(t.doc_id)) AS component_id
-FROM sets s LEFT JOIN reach ON reach.x = s.r LEFT JOIN sets t ON t.r = reach.y GROUP BY s.r, s.doc_id, s.s
-""",
-}
+ORACLES = {"op4_pii": oracles.PERSONAL, "op7_secrets": oracles.SECRETS, "op8_jaccard_join": oracles.JACCARD}
