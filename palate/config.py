@@ -12,6 +12,8 @@ STAR_TO_GAIN = {1.0: 0, 2.0: 0, 3.0: 1, 4.0: 2, 5.0: 3}
 
 @dataclass(frozen=True)
 class Settings:
+    """Defaults are fixed values of the task; a sample size of None keeps every row."""
+
     seed: int = 42
 
     # cohort; cities=None picks the busiest metros from the data
@@ -34,7 +36,7 @@ class Settings:
     # reranking
     eval_k: int = 10
     rank_train_users: int = 20_000
-    rank_eval_users: int = 12_000
+    rank_eval_users: int | None = None
     fit_share: float = 0.85
     rank_rounds: int = 600
     rank_learning_rate: float = 0.05
@@ -44,18 +46,18 @@ class Settings:
     rank_column_share: float = 0.8
     rank_l2: float = 1.0
     rank_patience: int = 40
-    rank_truncation: int = 30
-    attribution_rows: int = 4_000
-    demo_users: int = 600
+    rank_truncation: int | None = 30
+    attribution_rows: int | None = None
+    demo_users: int | None = None
 
     # review corpus and vector search
     min_chars: int = 40
     max_chars: int | None = None  # whole texts; 1500 gives the short-text corpus
-    per_business_reviews: int = 40
-    corpus_reviews: int = 120_000
+    per_business_reviews: int | None = None
+    corpus_reviews: int | None = None
     n_pairs: int = 25_000
     eval_share: float = 0.15
-    eval_queries: int = 1_500
-    search_pool: int = 200
+    eval_queries: int | None = None
+    search_pool: int | None = None
     snippet_chars: int = 160
-    encoder_dim: int = 256
+    encoder_dim: int = 1024

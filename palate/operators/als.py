@@ -77,7 +77,6 @@ def als_candidates(
         model.items.select(F.col("business_id").alias("item_id"), "vec"),
         n,
         exclude=seen_pairs(history, targets),
-        strategy="blocks",
     )
     return as_candidates(found)
 

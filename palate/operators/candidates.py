@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from palate.config import STAR_TO_GAIN
 from palate.functions.sampling import dense_index, hash_sample
 from palate.operators.features import cross_features
-from palate.operators.topk import topk_inner_product
 from palate.session import cut_lineage
 
 
+# A cut to so many users is broadcast.
+BROADCAST_USERS = 100_000
+
+
 def star_gain(stars: Column) -> Column:
     """Graded relevance of a star value; unlisted values give 0."""
     gain = F.lit(0)
@@ -44,16 +47,17 @@ def relevance(labels: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def target_users(labels: DataFrame, history: DataFrame, size: int, seed: int = 42) -> DataFrame:
-    """Seeded sample of known users with a positive in the label window."""
+def target_users(labels: DataFrame, history: DataFrame, size: int | None = None, seed: int = 42) -> DataFrame:
+    """Known users with a positive in the label window, or a seeded sample of `size` of them."""
     known = history.select("user_id").distinct()
     pool = cut_lineage(relevance(labels, known).select("user_id").distinct())
-    return hash_sample(pool, "user_id", size, seed)
+    return pool if size is None else hash_sample(pool, "user_id", size, seed)
 
 
 def fit_stop_split(targets: DataFrame, share: float = 0.85, seed: int = 42) -> DataFrame:
     """Tag floor(share * n) targets 'fit' and the rest 'stop' (early stopping)."""
-    quota = targets.agg(F.floor(F.count(F.lit(1)) * F.lit(share)).cast("long")).scalar()
+    targets = cut_lineage(targets.select("user_id"))
+    quota = int(targets.count() * share)
     fit = hash_sample(targets.select("user_id"), "user_id", quota, seed).select("user_id")
     return targets.select("user_id").join(
         fit.withColumn("part", F.lit("fit")), "user_id", "left"
@@ -62,15 +66,24 @@ def fit_stop_split(targets: DataFrame, share: float = 0.85, seed: int = 42) -> D
 
 def popularity_candidates(targets: DataFrame, history: DataFrame, n: int = 100) -> DataFrame:
     """Top-n businesses by history volume that the user has not visited, shaped like ALS candidates."""
+    # one global order; a user reads it only as far as n places beyond what the user has seen
     volume = history.groupBy("business_id").agg(F.count(F.lit(1)).cast("double").alias("volume"))
-    found = topk_inner_product(
-        targets.select(F.col("user_id").alias("query_id"), F.array(F.lit(1.0)).alias("vec")),
-        volume.select(F.col("business_id").alias("item_id"), F.array("volume").alias("vec")),
-        n,
-        exclude=seen_pairs(history, targets),
-        strategy="blocks",
+    place = F.row_number().over(Window.orderBy(F.desc("volume"), "business_id"))
+    order = cut_lineage(volume.withColumn("place", place))  # one row per business
+    seen = cut_lineage(seen_pairs(history, targets).distinct())
+    ranked = seen.join(order.select(F.col("business_id").alias("item_id"), "place"), "item_id")
+    reach = (
+        targets.select(F.col("user_id").alias("query_id"))
+        .join(ranked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_seen")), "query_id", "left")
+        .select("query_id", F.explode(F.sequence(F.lit(1), F.coalesce("n_seen", F.lit(0)).cast("int") + n)).alias("place"))
+        .join(ranked.select("query_id", "place"), ["query_id", "place"], "left_anti")
     )
-    return as_candidates(found)
+    # places that no business holds fall out of the join
+    unseen = reach.join(order, "place")
+    best = Window.partitionBy("query_id").orderBy("place")
+    return unseen.select(
+        F.col("query_id").alias("user_id"), "business_id", F.col("volume").alias("als_score"),
+        (F.row_number().over(best) - 1).alias("cf_rank")).where(F.col("cf_rank") < n)
 
 
 def seen_pairs(history: DataFrame, targets: DataFrame) -> DataFrame:
@@ -132,16 +145,17 @@ def rank_als(frame: DataFrame) -> DataFrame:
 
 
 def demo_recs(
-    rankings: DataFrame, relevant: DataFrame, businesses: DataFrame, n_users: int = 600, k: int = 10
+    rankings: DataFrame, relevant: DataFrame, businesses: DataFrame, n_users: int | None = None, k: int = 10
 ) -> DataFrame:
-    """Top-k of the first n_users ranked users, with business details and a visited flag."""
-    shown = rankings.where(F.col("rank") == 1).select("user_id").orderBy("user_id").limit(n_users)
+    """Top-k of every ranked user, or of the first n_users by id, with business details and a visited flag."""
+    if n_users is not None:
+        shown = rankings.where(F.col("rank") == 1).select("user_id").orderBy("user_id").limit(n_users)
+        rankings = rankings.join(F.broadcast(shown) if n_users <= BROADCAST_USERS else shown, "user_id", "left_semi")
     visited = relevant.select("user_id", "business_id", F.lit(True).alias("hit"))
     details = businesses.select("business_id", "name", "city", "categories", F.lit(True).alias("known"))
     known = F.col("known").isNotNull()
     return (
         rankings.where(F.col("rank") <= k)
-        .join(F.broadcast(shown), "user_id", "left_semi")  # n_users ids
         .join(details, "business_id", "left")
         .join(visited, ["user_id", "business_id"], "left")
         .select(

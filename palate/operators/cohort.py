@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from palate.config import DINING_CATEGORIES
 from palate.functions.numbers import micros, to_number
 from palate.functions.quantiles import HOUR_MICROS, exact_quantiles
-from palate.session import cut_lineage
+from palate.session import cut_lineage, keep_table
 
 # Dropped ids of one k-core step are broadcast up to this count (tens of megabytes).
 BROADCAST_IDS = 1_000_000
@@ -75,10 +75,12 @@ def kcore(interactions: DataFrame, min_user: int = 5, min_item: int = 10) -> Dat
 
     Peeling: row counts per vertex are aggregated once and then only corrected. Each step takes the rows
     of the vertices that have just fallen below their threshold and subtracts them on the other side, so
-    the table of edges is scanned but never regrouped; while the list of fallen vertices is short (its
-    length is known) it is broadcast and the edges do not move. Full rows are filtered once, at the end.
+    the table of edges is scanned but never regrouped, and written anew whenever half of it has fallen; while
+    the list of fallen vertices is short (its length is known) it is broadcast and the edges do not move. Full rows
+    are filtered once, at the end.
     """
-    edges = cut_lineage(interactions.select("user_id", "business_id"))
+    edges = keep_table(interactions.select("user_id", "business_id"), "edges")
+    n_edges = n_written = edges.count()
     sides = [("user_id", min_user), ("business_id", min_item)]
     degrees = {
         key: cut_lineage(edges.groupBy(key).agg(F.count(F.lit(1)).alias("n"))) for key, _ in sides
@@ -91,8 +93,13 @@ def kcore(interactions: DataFrame, min_user: int = 5, min_item: int = 10) -> Dat
             idle = idle + 1 if n_fallen == 0 else 0
             if n_fallen:
                 ids = F.broadcast(fallen) if n_fallen <= BROADCAST_IDS else fallen
+                n_edges -= degrees[key].where(F.col("n") < least).agg(F.sum("n")).first()[0]
                 degrees[other] = _degrees_after(degrees[other], other, edges.join(ids, key, "left_semi"))
                 degrees[key] = degrees[key].where(F.col("n") >= least)
+                if n_edges * 2 <= n_written:  # the scan has become half empty: write what is left
+                    for side, _ in sides:
+                        edges = edges.join(degrees[side].select(side), side, "left_semi")
+                    edges, n_written = keep_table(edges, "edges"), n_edges
             if idle >= len(sides):
                 break
     kept = interactions

@@ -17,14 +17,14 @@ def build_corpus(
     businesses: DataFrame | None = None,
     min_chars: int = 40,
     max_chars: int | None = None,
-    per_business: int | None = 40,
-    size: int | None = 120_000,
+    per_business: int | None = None,
+    size: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Substantial reviews of the cohort: review_id, business_id, stars, text.
 
-    Texts stay whole unless `max_chars` asks for a cut; `per_business` and `size` are seeded samples and
-    None keeps every review. The per-business sample ranks hashes, and rank <= n is pushed into each
+    Texts stay whole and every review is kept. `max_chars` asks for a cut, `per_business` and `size` for seeded
+    samples. The per-business sample ranks hashes, and rank <= n is pushed into each
     map task, so a business with most of the reviews sends only its n best rows per task.
     """
     rows = reviews.select("review_id", "business_id", "stars", F.translate(strip(F.col("text")), "\n", " ").alias("text"))
@@ -54,24 +54,24 @@ def build_corpus(
 
 def retrieval_split(corpus: DataFrame, share: float = 0.15, seed: int = 42) -> DataFrame:
     """Businesses with at least two reviews: floor(share * n) of them 'eval', the others 'train'."""
-    eligible = (
+    # one row per business, read by the sample's jobs and the join: kept once
+    eligible = cut_lineage(
         corpus.groupBy("business_id").agg(F.count(F.lit(1)).alias("n_reviews"))
         .where(F.col("n_reviews") >= 2)
     )
-    quota = eligible.agg(F.floor(F.count(F.lit(1)) * F.lit(share)).cast("long")).scalar()
+    quota = int(eligible.count() * share)
     chosen = hash_sample(eligible.select("business_id"), "business_id", quota, seed)
     return eligible.join(chosen.withColumn("role", F.lit("eval")), "business_id", "left").select(
         "business_id", "n_reviews", F.coalesce("role", F.lit("train")).alias("role")
     )
 
 
-def eval_query_ids(corpus: DataFrame, split: DataFrame, size: int = 1500, seed: int = 42) -> DataFrame:
-    """Seeded sample of the eval businesses' reviews."""
+def eval_query_ids(corpus: DataFrame, split: DataFrame, size: int | None = None, seed: int = 42) -> DataFrame:
+    """The eval businesses' reviews, or a seeded sample of `size` of them."""
     held_out = split.where(F.col("role") == "eval").select("business_id")
-    return hash_sample(
-        corpus.select("review_id", "business_id").join(held_out, "business_id", "left_semi"),
-        "review_id", size, seed,
-    ).select("review_id", "business_id")
+    reviews = corpus.select("review_id", "business_id").join(held_out, "business_id", "left_semi")
+    return reviews.select("review_id", "business_id") if size is None else hash_sample(
+        reviews, "review_id", size, seed).select("review_id", "business_id")
 
 
 def mine_pairs(corpus: DataFrame, train: DataFrame, n: int = 25_000, seed: int = 42) -> DataFrame:

@@ -104,12 +104,12 @@ def state_summary(businesses: DataFrame, n: int = 30) -> DataFrame:
     )
 
 
-def geo_sample(businesses: DataFrame, n: int = 8000, seed: int = 42) -> DataFrame:
-    """Seeded sample of located businesses for a map."""
+def geo_sample(businesses: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
+    """Located businesses for a map, or a seeded sample of n of them."""
     located = businesses.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         "business_id", "name", "city", "state", "stars", "review_count", "latitude", "longitude"
     )
-    return hash_sample(located, "business_id", n, seed)
+    return located if n is None else hash_sample(located, "business_id", n, seed)
 
 
 def geo_center(sample: DataFrame) -> DataFrame:
@@ -140,16 +140,22 @@ def reviews_over_time(reviews: DataFrame, freq: str = "ME") -> DataFrame:
 
 
 def review_length_stats(reviews: DataFrame) -> DataFrame:
-    # text length is a small domain, so the exact median keeps a short value histogram per group
-    return (
+    # counted per (stars, length) first: a star value with most of the rows is spread over its lengths
+    histogram = (
         reviews.where(F.col("stars").isNotNull())
-        .select("stars", F.length("text").alias("length"))
-        .groupBy("stars")
-        .agg(
-            round_half_even(F.avg("length"), 1).alias("avg_chars"),
-            round_half_even(F.median("length"), 1).alias("median_chars"),
-            F.count("length").alias("n_reviews"),
-        )
+        .select("stars", F.length("text").alias("length")).groupBy("stars", "length").agg(F.count("length").alias("n"))
+    )
+    upto = Window.partitionBy("stars").orderBy("length").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = histogram.withColumn("last", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy("stars")))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("last") > place) & (F.col("last") - F.col("n") <= place), F.col("length")))
+
+    low, high = F.floor((F.col("total") - 1) / 2), F.ceil((F.col("total") - 1) / 2)
+    return ranked.groupBy("stars").agg(
+        round_half_even(F.sum(F.col("length") * F.col("n")) / F.sum("n"), 1).alias("avg_chars"),
+        round_half_even((at(low) + at(high)) / 2, 1).alias("median_chars"),
+        F.sum("n").alias("n_reviews"),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Ridge on the within-business covariance, as a share of its mean variance.
 RIDGE = 1e-2
@@ -20,18 +20,34 @@ RIDGE = 1e-2
 
 @dataclass(frozen=True)
 class TextEncoder:
-    """Hashed term frequencies weighted by IDF, L2-normalised; no vocabulary on the driver."""
+    """Hashed term frequencies weighted by IDF, L2-normalised, then the adaptation if there is one; no vocabulary on
+    the driver."""
 
     model: PipelineModel
+    matrix: np.ndarray | None = None  # adaptation applied after the base encoding
+
+    def save(self, folder: str) -> str:
+        self.model.write().overwrite().save(f"{folder}/pipeline")
+        spark = SparkSession.getActiveSession()
+        rows = [] if self.matrix is None else [(i, row.tolist()) for i, row in enumerate(self.matrix)]
+        spark.createDataFrame(rows, "row long, line array<double>").coalesce(1).write.mode("overwrite").parquet(f"{folder}/matrix")
+        return folder
+
+    @classmethod
+    def load(cls, folder: str) -> TextEncoder:
+        spark = SparkSession.getActiveSession()
+        lines = spark.read.parquet(f"{folder}/matrix").orderBy("row").collect()  # dim rows
+        return cls(PipelineModel.load(f"{folder}/pipeline"), np.array([r.line for r in lines]) if lines else None)
 
     def encode(self, texts: DataFrame, column: str = "text", out: str = "embedding") -> DataFrame:
         encoded = self.model.transform(texts.withColumn("_text", F.coalesce(F.col(column), F.lit(""))))
-        return encoded.withColumn(out, vector_to_array("_unit", "float32")).drop(
+        encoded = encoded.withColumn(out, vector_to_array("_unit", "float32")).drop(
             "_text", "_tokens", "_tf", "_weighted", "_unit"
         )
+        return encoded if self.matrix is None else apply_adaptation(encoded, self.matrix, out)
 
 
-def fit_encoder(texts: DataFrame, column: str = "text", dim: int = 256, min_docs: int = 1) -> TextEncoder:
+def fit_encoder(texts: DataFrame, column: str = "text", dim: int = 1024, min_docs: int = 1) -> TextEncoder:
     stages = [
         RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern=r"(?U)[^\p{L}\p{N}]+", minTokenLength=2),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim),
@@ -84,15 +100,15 @@ def adaptation_matrix(covariance: np.ndarray, ridge: float = RIDGE) -> np.ndarra
     return (directions / np.sqrt(values)) @ directions.T
 
 
-def apply_adaptation(vectors: DataFrame, matrix: np.ndarray) -> DataFrame:
+def apply_adaptation(vectors: DataFrame, matrix: np.ndarray, column: str = "embedding") -> DataFrame:
     """Multiply every vector by the matrix and renormalise, batch by batch in place."""
     def transform(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not batch.empty:
-                moved = np.stack(batch["embedding"].to_numpy()).astype(np.float64) @ matrix
+                moved = np.stack(batch[column].to_numpy()).astype(np.float64) @ matrix
                 norms = np.linalg.norm(moved, axis=1, keepdims=True)
                 moved = np.divide(moved, norms, out=np.zeros_like(moved), where=norms > 0)
-                batch = batch.assign(embedding=list(moved.astype(np.float32)))
+                batch = batch.assign(**{column: list(moved.astype(np.float32))})
             yield batch
 
     return vectors.mapInPandas(transform, vectors.schema)

@@ -104,6 +104,13 @@ def _window_end(history: DataFrame) -> Column:
     return history.agg(F.max("date").alias("window_end")).scalar()
 
 
+def _modes(visits: DataFrame, value: str, out: str) -> DataFrame:
+    """Each user's most frequent value, ties to the smallest: two plain aggregates, combined on the map side."""
+    counts = visits.where(F.col(value).isNotNull()).groupBy("user_id", value).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("user_id").agg(F.min(F.struct((-F.col("n")).alias("n"), value)).alias("best")).select(
+        "user_id", F.col(f"best.{value}").alias(out))
+
+
 def user_features(
     history: DataFrame,
     businesses: DataFrame,
@@ -138,11 +145,9 @@ def user_features(
             F.avg("biz_gs").alias("u_avg_biz_stars"),
             F.avg("biz_price").alias("own_price"),
             whole_days(F.max("date"), F.min("date")).alias("u_active_days"),
-            # ties go to the smallest value
-            F.coalesce(F.mode("biz_city", True), F.lit("Unknown")).alias("u_modal_city"),
-            F.coalesce(F.mode("biz_cat", True), F.lit("Unknown")).alias("u_top_cat"),
         )
     )
+    modal_city, top_cat = _modes(own_visits, "biz_city", "u_modal_city"), _modes(own_visits, "biz_cat", "u_top_cat")
     # counted on its own: a distinct next to the mode buffers would carry those per (user, business)
     breadth = (
         own.select("user_id", "business_id").distinct()
@@ -157,6 +162,7 @@ def user_features(
     age = F.greatest(whole_days(_window_end(history), F.col("signup_date")), F.lit(0))
     return (
         activity.join(breadth, "user_id")
+        .join(modal_city, "user_id", "left").join(top_cat, "user_id", "left")
         .join(users, "user_id", "left")
         .select(
             "user_id", "u_n_reviews", "u_avg_stars", "u_std_stars", "u_pct_positive",
@@ -164,7 +170,7 @@ def user_features(
             F.coalesce("own_price", typical_price).alias("u_avg_price"),
             "u_active_days",
             (F.col("u_n_reviews") / (F.col("u_active_days") / F.lit(30.0) + 1.0)).alias("u_reviews_per_month"),
-            "u_modal_city", "u_top_cat",
+            F.coalesce("u_modal_city", F.lit("Unknown")).alias("u_modal_city"), F.coalesce("u_top_cat", F.lit("Unknown")).alias("u_top_cat"),
             F.when(F.col("signup_date").isNotNull(), age).alias("u_account_age_days"),
             F.coalesce(F.col("is_elite").cast("double"), F.lit(0.0)).alias("u_is_elite"),
             F.coalesce("fans", F.lit(0.0)).alias("u_fans"),

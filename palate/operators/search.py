@@ -7,7 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palate.functions.numbers import percent_lift
-from palate.operators.topk import topk_inner_product
+from palate.operators.topk import best_groups, topk_inner_product
+from palate.session import cut_lineage
 
 ELLIPSIS = "…"
 # Hit lists (queries * k short rows) are broadcast up to this count, so the corpus is joined in place.
@@ -61,13 +62,37 @@ def search_businesses(
     corpus: DataFrame,
     businesses: DataFrame,
     k: int = 10,
-    pool: int = 200,
+    pool: int | None = None,
     snippet_chars: int = 160,
 ) -> DataFrame:
-    """Top-k businesses per query: best score, hits in the pool, and the best hit's snippet.
+    """Top-k businesses per query: best score, number of hits, and the best hit's snippet.
 
-    Pooling runs on (query, business, score, review) only; texts are fetched for the k winners.
+    Every review is a hit unless `pool` narrows the hits to the best so many reviews, which can leave fewer than k
+    businesses. Only (query, business, score, review) move; texts are fetched for the k winners.
     """
+    winners = _all_businesses(queries, corpus, k) if pool is None else _pooled_businesses(queries, corpus, k, pool)
+    places = businesses.select("business_id", "name", "city", "stars", "categories")
+    snippet = F.concat(F.substring("text", 1, snippet_chars), F.lit(ELLIPSIS))
+    return (
+        _beside_corpus(winners, queries, k).join(corpus.select("review_id", "text"), "review_id")
+        .join(places, "business_id", "left")
+        .select("query_id", "place", "business_id", "name", "city", "stars", "categories", "match", "n_hits",
+                snippet.alias("snippet"))
+    )
+
+
+def _all_businesses(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    """query_id, business_id, match, n_hits, place, review_id over all reviews."""
+    best = best_groups(
+        queries.select("query_id", F.col("embedding").alias("vec")),
+        corpus.select(F.col("review_id").alias("item_id"), F.col("business_id").alias("group_id"), F.col("embedding").alias("vec")), k)
+    sizes = corpus.groupBy("business_id").agg(F.count(F.lit(1)).alias("n_hits"))
+    return best.select(
+        "query_id", F.col("group_id").alias("business_id"), F.col("score").alias("match"), F.col("rank").alias("place"),
+        F.col("item_id").alias("review_id")).join(sizes, "business_id")
+
+
+def _pooled_businesses(queries: DataFrame, corpus: DataFrame, k: int, pool: int) -> DataFrame:
     hits = _beside_corpus(vector_topk(queries, corpus, pool), queries, pool)
     pooled = hits.join(corpus.select("review_id", "business_id"), "review_id").groupBy("query_id", "business_id").agg(
         F.max("score").alias("match"),
@@ -75,18 +100,10 @@ def search_businesses(
         F.min(F.struct("rank", "review_id")).alias("best"),
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("match"), "business_id")
-    winners = (
+    return (
         pooled.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
         .withColumn("review_id", F.col("best.review_id")).drop("best")
     )
-    places = businesses.select("business_id", "name", "city", "stars", "categories")
-    snippet = F.concat(F.substring("text", 1, snippet_chars), F.lit(ELLIPSIS))
-    return (
-        _beside_corpus(winners, queries, k).join(corpus.select("review_id", "text"), "review_id")
-        .join(places, "business_id", "left")
-        .select("query_id", "place", "business_id", "name", "city", "stars", "categories", "match", "n_hits",
-                snippet.alias("snippet"))
-    )
 
 
 def retrieval_ranks(corpus: DataFrame, query_ids: DataFrame, k: int = 10) -> DataFrame:
@@ -122,7 +139,8 @@ def eval_retrieval(corpus: DataFrame, query_ids: DataFrame, k: int = 10) -> Data
 
 
 def retrieval_lift(base: DataFrame, adapted: DataFrame) -> DataFrame:
-    """Base and adapted quality with percentage lift over the base."""
+    """Base and adapted quality with percentage lift over the base; each is evaluated once."""
+    base, adapted = cut_lineage(base), cut_lineage(adapted)
     start = base.select(F.struct("hit", "mrr").alias("start")).scalar()
     rows = base.withColumn("encoder", F.lit("base")).unionByName(adapted.withColumn("encoder", F.lit("adapted")))
     return rows.select(

@@ -1,9 +1,11 @@
 """Exact inner-product top-k between two tables of vectors.
 
-Two physical strategies give the same answer:
+Three physical strategies give the same answer:
 
-* broadcast: the query matrix is small (its size is checked), so it travels to the corpus. The corpus is
-  scanned in place, each task keeps k rows per query, and only those are shuffled.
+* broadcast: the query matrix is small (its size and the k rows kept per query are checked), so it travels to the
+  corpus. The corpus is scanned in place, each task keeps k rows per query, and only those are shuffled.
+* items: the item matrix is small (its size is checked), so it travels to the queries, which meet their
+  exclusions (item ids, at most as many as there are items) and are answered in place.
 * blocks: neither side may be broadcast. Both are hashed into blocks of bounded size, every
   (query block, corpus block) cell is one matrix product in one task, and each cell emits k rows per
   query. Pairs to leave out are hashed to the cell they fall in and masked there, so a query with a huge
@@ -28,6 +30,8 @@ QUERY_BLOCK = 2048
 ITEM_BLOCK = 16384
 CHUNK = 256
 MAX_TASKS = 50_000
+# Rows that a task of the broadcast strategy may keep: queries * k.
+KEPT_ROWS = 2_000_000
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -75,10 +79,13 @@ def _broadcast_topk(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
             if batch.empty:
                 continue
             batch = batch.sort_values("item_id", kind="stable")
-            scores = np.round(matrix @ _matrix(batch["vec"]).T, SCORE_DIGITS)
-            item_ids = batch["item_id"].to_numpy()
-            r, c = _best(scores, k)
-            found = pd.DataFrame({"q": r, "item_id": item_ids[c], "score": scores[r, c]})
+            item_ids, item_matrix = batch["item_id"].to_numpy(), _matrix(batch["vec"]).T
+            parts = []
+            for start in range(0, len(matrix), CHUNK):
+                scores = np.round(matrix[start:start + CHUNK] @ item_matrix, SCORE_DIGITS)
+                r, c = _best(scores, k)
+                parts.append(pd.DataFrame({"q": r + start, "item_id": item_ids[c], "score": scores[r, c]}))
+            found = pd.concat(parts)
             merged = found if kept is None else pd.concat([kept, found])
             # a task never holds more than k rows per query
             kept = (
@@ -91,6 +98,98 @@ def _broadcast_topk(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     return _cut(items.select("item_id", "vec").mapInPandas(scan, schema), k)
 
 
+def _items_topk(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None) -> DataFrame:
+    # the caller has checked the size of the item table
+    table = items.orderBy("item_id").toPandas()
+    schema = _output_schema(queries, items)
+    schema.add("rank", T.IntegerType())
+    if table.empty:
+        return queries.sparkSession.createDataFrame([], schema)
+    shared = queries.sparkSession.sparkContext.broadcast((table["item_id"].to_numpy(), _matrix(table["vec"]).T))
+    kind = items.schema["item_id"].dataType
+    if exclude is None:
+        asked = queries.withColumn("left_out", F.lit(None).cast(T.ArrayType(kind)))
+    else:
+        known = exclude.join(F.broadcast(items.select("item_id")), "item_id", "left_semi")
+        left_out = known.groupBy("query_id").agg(F.collect_set(F.col("item_id").cast(kind)).alias("left_out"))
+        asked = queries.join(left_out, "query_id", "left")
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, matrix = shared.value
+        order = pd.Index(ids)
+        for batch in batches:
+            for start in range(0, len(batch), CHUNK):
+                part = batch.iloc[start:start + CHUNK]
+                scores = np.round(_matrix(part["vec"]) @ matrix, SCORE_DIGITS)
+                for row, gone in enumerate(part["left_out"]):
+                    if gone is not None and len(gone):
+                        scores[row, order.get_indexer(gone)] = -np.inf
+                r, c = _best(scores, k)
+                found = pd.DataFrame({"q": r, "item_id": ids[c], "score": scores[r, c]}).sort_values(
+                    ["q", "score", "item_id"], ascending=[True, False, True])
+                rank = found.groupby("q").cumcount() + 1
+                yield pd.DataFrame({
+                    "query_id": part["query_id"].to_numpy()[found["q"].to_numpy()], "item_id": found["item_id"].to_numpy(),
+                    "score": found["score"].to_numpy(), "rank": rank.to_numpy(np.int32)})
+
+    return asked.select("query_id", "vec", "left_out").mapInPandas(answer, schema)
+
+
+def best_groups(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """For every query the k groups with the best item: query_id, group_id, item_id (the best one), score, rank.
+
+    items: item_id, group_id, vec. Each task of the item scan keeps the best k groups per query, each with its best
+    item; a group among the best k overall is among the best k of the task that holds its best item, so nothing is
+    lost. Queries travel in blocks of bounded size, one pass over the items each. Equal groups go by id.
+    """
+    queries, items = queries.select("query_id", "vec"), items.select("item_id", "group_id", "vec")
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    blocks = max(1, math.ceil(size.n * (size.dim or 0) * 8 / BROADCAST_BYTES), math.ceil(size.n * k / KEPT_ROWS))
+    schema = T.StructType([
+        T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField("group_id", items.schema["group_id"].dataType),
+        T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("score", T.DoubleType())])
+
+    def pass_over(block: int) -> DataFrame:
+        part = queries.where(_block("query_id", blocks) == block) if blocks > 1 else queries
+        table = part.orderBy("query_id").toPandas()  # a block of bounded size
+        if table.empty:
+            return queries.sparkSession.createDataFrame([], schema)
+        shared = queries.sparkSession.sparkContext.broadcast((table["query_id"].to_numpy(), _matrix(table["vec"])))
+
+        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, matrix = shared.value
+            kept = None
+            for batch in batches:
+                if batch.empty:
+                    continue
+                batch = batch.sort_values(["group_id", "item_id"], kind="stable")
+                groups, item_ids = batch["group_id"].to_numpy(), batch["item_id"].to_numpy()
+                first = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+                item_matrix = _matrix(batch["vec"]).T
+                parts = [] if kept is None else [kept]
+                for start in range(0, len(matrix), CHUNK):
+                    scores = np.round(matrix[start:start + CHUNK] @ item_matrix, SCORE_DIGITS)
+                    r, c = _best(np.maximum.reduceat(scores, first, axis=1), k)
+                    ends = np.append(first[1:], scores.shape[1])
+                    best = [lo + int(scores[row, lo:hi].argmax()) for row, lo, hi in zip(r, first[c], ends[c])]
+                    parts.append(pd.DataFrame({"q": r + start, "group_id": groups[best], "item_id": item_ids[best], "score": scores[r, best]}))
+                merged = pd.concat(parts).sort_values(["q", "score", "item_id"], ascending=[True, False, True])
+                merged = merged.drop_duplicates(["q", "group_id"]).sort_values(["q", "score", "group_id"], ascending=[True, False, True])
+                kept = merged.groupby("q", sort=False).head(k)
+            if kept is not None:
+                yield pd.DataFrame({"query_id": ids[kept["q"].to_numpy()], **{c: kept[c].to_numpy() for c in ("group_id", "item_id", "score")}})
+
+        return items.mapInPandas(scan, schema)
+
+    found = pass_over(0)
+    for block in range(1, blocks):
+        found = found.unionByName(pass_over(block))
+    best = found.groupBy("query_id", "group_id").agg(F.min(F.struct((-F.col("score")).alias("score"), "item_id")).alias("b")).select(
+        "query_id", "group_id", F.col("b.item_id").alias("item_id"), (-F.col("b.score")).alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "group_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def _block(key: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(blocks)).cast("int")
 
@@ -157,9 +256,10 @@ def _blocked_topk(
             _block("item_id", item_blocks).alias("ib"),
             F.lit(2).alias("kind"), "query_id", "item_id", no_vec.alias("vec"),
         ))
-    # cells are heavy in work, not in bytes: fix their number of tasks instead of letting them coalesce
-    spread = cells.repartition(min(query_blocks * item_blocks, MAX_TASKS), "qb", "ib")
-    return _cut(spread.groupBy("qb", "ib").applyInPandas(_cell_topk(k), schema), k)
+    # cells are heavy in work, not in bytes: each has a partition of its own, found by its number, not by a hash
+    parts = min(query_blocks * item_blocks, MAX_TASKS)
+    spread = cells.withColumn("part", (F.col("qb") * item_blocks + F.col("ib")) % parts).repartitionById(parts, "part")
+    return _cut(spread.groupBy("part", "qb", "ib").applyInPandas(_cell_topk(k), schema), k)
 
 
 def topk_inner_product(
@@ -174,14 +274,19 @@ def topk_inner_product(
 
     queries: query_id, vec; items: item_id, vec; exclude: (query_id, item_id) pairs to leave out.
     """
-    if strategy not in ("auto", "broadcast", "blocks"):
+    if strategy not in ("auto", "broadcast", "items", "blocks"):
         raise ValueError(strategy)
     queries, items = queries.select("query_id", "vec"), items.select("item_id", "vec")
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
-    small = size.n * (size.dim or 0) * 8 <= BROADCAST_BYTES
+    small = size.n * (size.dim or 0) * 8 <= BROADCAST_BYTES and size.n * k <= KEPT_ROWS
     if strategy == "broadcast" and (exclude is not None or not small):
         raise ValueError("broadcast needs a small query table and no exclusions")
     if strategy == "broadcast" or (strategy == "auto" and exclude is None and small):
         return _broadcast_topk(queries, items, k)
     n_items = items.count()
+    few = n_items * (size.dim or 0) * 8 <= BROADCAST_BYTES
+    if strategy == "items" and not few:
+        raise ValueError("items needs a small item table")
+    if strategy == "items" or (strategy == "auto" and few):
+        return _items_topk(queries, items, k, exclude)
     return _blocked_topk(queries, items, k, exclude, size.n, n_items, block)

@@ -1,42 +1,70 @@
-"""Search build: split businesses, encode, evaluate, adapt from same-business pairs, evaluate, persist."""
+"""Search build: corpus, split, encode, evaluate, adapt from same-business pairs, evaluate, persist; then text queries."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from palate.config import Settings
-from palate.operators.corpus import eval_query_ids, mine_pairs, retrieval_split
-from palate.operators.encode import TextEncoder, adapt_embeddings, fit_encoder
-from palate.operators.search import eval_retrieval, retrieval_lift
-from palate.session import cut_lineage
+from palate.operators.corpus import build_corpus, eval_query_ids, mine_pairs, retrieval_split
+from palate.operators.encode import TextEncoder, adaptation_matrix, apply_adaptation, fit_encoder, pair_covariance
+from palate.operators.search import eval_retrieval, retrieval_lift, search_businesses, search_reviews
+from palate.session import keep_table
 from palate.sources.artifacts import write_artifact
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    vectors: DataFrame  # review_id, business_id, embedding (adapted)
+    vectors: DataFrame  # review_id, business_id, embedding (adapted) and the corpus columns given
     report: DataFrame
-    encoder: TextEncoder | None
+    encoder: TextEncoder | None  # puts a text into the space of `vectors`; None if the vectors were given
 
+    def reviews(self, texts: DataFrame, businesses: DataFrame, k: int = 10) -> DataFrame:
+        """Free text (query_id, text) to the k nearest reviews with their businesses."""
+        return search_reviews(self.encoder.encode(texts), self.vectors, businesses, k)
 
-def build_search(corpus: DataFrame, settings: Settings = Settings(), vectors_path: str | None = None) -> SearchIndex:
-    """`corpus` either has an `embedding` column already, or a `text` column to encode."""
+    def businesses(self, texts: DataFrame, businesses: DataFrame, settings: Settings = Settings()) -> DataFrame:
+        """Free text (query_id, text) to the nearest businesses, each with a snippet of its best review."""
+        return search_businesses(
+            self.encoder.encode(texts), self.vectors, businesses, settings.eval_k, settings.search_pool, settings.snippet_chars)
+
+
+def corpus_of(reviews: DataFrame, businesses: DataFrame | None, settings: Settings = Settings()) -> DataFrame:
+    """The review corpus of a search run, kept once."""
+    return keep_table(build_corpus(
+        reviews, businesses, settings.min_chars, settings.max_chars, settings.per_business_reviews, settings.corpus_reviews, settings.seed), "corpus")
+
+
+def build_search(corpus: DataFrame, settings: Settings = Settings(), folder: str | None = None) -> SearchIndex:
+    """`corpus` either has an `embedding` column already, or a `text` column to encode.
+
+    With a folder the vectors and the encoder are written there (`open_search` reads them back).
+    """
     encoder = None
     if "embedding" not in corpus.columns:
         encoder = fit_encoder(corpus, dim=settings.encoder_dim)
         corpus = encoder.encode(corpus)
-    base = cut_lineage(corpus.select("review_id", "business_id", "embedding"))
-    split = cut_lineage(retrieval_split(base, settings.eval_share, settings.seed))
-    queries = cut_lineage(eval_query_ids(base, split, settings.eval_queries, settings.seed))
+    base = keep_table(corpus, "vectors")
+    split = keep_table(retrieval_split(base, settings.eval_share, settings.seed), "split")
+    queries = keep_table(eval_query_ids(base, split, settings.eval_queries, settings.seed), "queries")
     pairs = mine_pairs(base, split.where(F.col("role") == "train"), settings.n_pairs, settings.seed)
-    adapted = adapt_embeddings(base, pairs)
-    if vectors_path is None:
-        adapted = cut_lineage(adapted)
+    matrix = adaptation_matrix(pair_covariance(pairs, base))
+    adapted = apply_adaptation(base, matrix)
+    if encoder is not None:
+        encoder = replace(encoder, matrix=matrix)
+    if folder is None:
+        adapted = keep_table(adapted, "adapted")
     else:
-        adapted = base.sparkSession.read.parquet(write_artifact(adapted, vectors_path))
+        adapted = base.sparkSession.read.parquet(write_artifact(adapted, f"{folder}/vectors"))
+        if encoder is not None:
+            encoder.save(f"{folder}/encoder")
     report = retrieval_lift(
         eval_retrieval(base, queries, settings.eval_k), eval_retrieval(adapted, queries, settings.eval_k)
     )
     return SearchIndex(adapted, report, encoder)
+
+
+def open_search(vectors: DataFrame, folder: str) -> SearchIndex:
+    """An index from vectors read back and the encoder saved beside them; it has no report."""
+    return SearchIndex(vectors, vectors.limit(0), TextEncoder.load(f"{folder}/encoder"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -33,9 +36,11 @@ def shared_dir(spark: SparkSession) -> str:
     if configured is None and context.getCheckpointDir() is not None:
         configured = context.getCheckpointDir()
     if configured is None:
-        if not context.master.startswith("local"):
+        # one process only: local, local[4], local[4,2], not local-cluster[...]
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="palate-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
@@ -46,6 +51,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/palate-{label}-{uuid.uuid4().hex}"
 
 
+def keep_table(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a Parquet table in the shared folder: later reads prune columns and push filters down."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor and keeps iterative plans short."""
     shared_dir(df.sparkSession)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.common import view
 from palate.operators import corpus as c, encode, search as s, taste as t
 from palate.operators.topk import topk_inner_product
-from palate.plans.search import build_search
+from palate.plans.search import build_search, open_search
 from palate.config import Settings
 
 
@@ -33,13 +33,66 @@ def test_both_strategies_equal_brute_force(spark, ids):
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in q.items()], f"query_id {ids}, vec array<float>")
     items = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], f"item_id {ids}, vec array<float>").repartition(5)
     expected = brute(q, x, 7)
-    for how in ({"strategy": "broadcast"}, {"strategy": "blocks", "block": 16}, {}):
+    for how in ({"strategy": "broadcast"}, {"strategy": "items"}, {"strategy": "blocks", "block": 16}, {}):
         assert rows(topk_inner_product(queries, items, 7, **how), "query_id", "item_id", "rank") == expected
     one = name("q", 3)
     pairs = {(one, j) for j in list(x)[:148]} | {(i, name("x", 0)) for i in q} | {(name("q", 999), name("x", 1))}
     exclude = spark.createDataFrame(list(pairs), f"query_id {ids}, item_id {ids}")
-    got = topk_inner_product(queries, items, 7, exclude=exclude, strategy="blocks", block=16)
-    assert rows(got, "query_id", "item_id", "rank") == brute(q, x, 7, pairs)
+    for how in ({"strategy": "items"}, {"strategy": "blocks", "block": 16}, {}):
+        got = topk_inner_product(queries, items, 7, exclude=exclude, **how)
+        assert rows(got, "query_id", "item_id", "rank") == brute(q, x, 7, pairs)
+
+
+def test_cells_have_partitions_of_their_own(spark):
+    """One task per cell of the block strategy: no exchange after the one that places cells."""
+    queries = spark.range(64).selectExpr("id AS query_id", "array(1.0D, id) AS vec")
+    items = spark.range(64).selectExpr("id AS item_id", "array(id, 1.0D) AS vec")
+    found = topk_inner_product(queries, items, 2, strategy="blocks", block=16)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 1 and "hashpartitioning(part" not in plan and "hashpartitioning(qb" not in plan
+
+
+def test_many_queries_stay_within_bounds(spark, monkeypatch):
+    """50,000 queries: too many rows to keep per task for the broadcast strategy, so the items travel."""
+    queries = spark.range(50_000).selectExpr("id AS query_id", "array(double(id % 7), 1.0D) AS vec")
+    items = spark.range(300).selectExpr("id AS item_id", "array(1.0D, double(id % 11)) AS vec")
+    with pytest.raises(ValueError):
+        topk_inner_product(queries, items, 100, strategy="broadcast")
+    got = topk_inner_product(queries, items, 100)
+    assert got.where("rank = 1").count() == 50_000 and got.where("rank = 1 AND item_id <> 10").isEmpty()
+
+
+def test_hot_business_does_not_crowd_out_others(spark):
+    """The best 250 reviews belong to one business; k businesses come back all the same, in blocks or not."""
+    schema = "review_id long, business_id string, text string, stars double, embedding array<float>"
+    data = [(i, "hot", f"t{i}", 5.0, [1.0 - i / 1000]) for i in range(250)] + [(1000 + i, f"b{i}", "t", 4.0, [0.1 + i / 100]) for i in range(20)]
+    corpus = spark.createDataFrame(data, schema).repartition(5)
+    places = spark.createDataFrame([("hot", "H", "c", 4.5, "Thai")], "business_id string, name string, city string, stars double, categories string")
+    query = spark.createDataFrame([(0, [1.0]), (1, [-1.0])], "query_id long, embedding array<float>")
+    got = {(r.query_id, r.place): (r.business_id, r.n_hits, r.snippet) for r in s.search_businesses(query, corpus, places).collect()}
+    assert got[0, 1] == ("hot", 250, "t0…") and [got[0, p][0] for p in range(2, 11)] == [f"b{i}" for i in range(19, 10, -1)]
+    assert [got[1, p][0] for p in range(1, 11)] == [f"b{i}" for i in range(10)]
+    assert s.search_businesses(query, corpus, places, pool=200).where("query_id = 0").count() == 1
+    from palate.operators import topk
+    old, topk.KEPT_ROWS = topk.KEPT_ROWS, 10
+    try:
+        again = {(r.query_id, r.place): (r.business_id, r.n_hits, r.snippet) for r in s.search_businesses(query, corpus, places).collect()}
+    finally:
+        topk.KEPT_ROWS = old
+    assert again == got
+
+
+def test_text_scores_one_against_its_own_adapted_vector(spark, sf_dir, tmp_path):
+    corpus = c.build_corpus(view(spark, sf_dir, "reviews"))
+    index = build_search(corpus, Settings(encoder_dim=64, n_pairs=500), f"file://{tmp_path}/index")
+    some = corpus.orderBy("review_id").limit(5)
+    texts = some.select(F.col("review_id").alias("query_id"), "text")
+    places = corpus.select("business_id").distinct().selectExpr("*", "business_id AS name", "'c' AS city", "4.0D AS stars", "'Food' AS categories")
+    for opened in (index, open_search(index.vectors, f"file://{tmp_path}/index")):
+        best = opened.reviews(texts, places, 1).collect()
+        assert len(best) == 5 and all(abs(r.score - 1) < 1e-5 for r in best)
+        found = opened.businesses(texts, places)
+        assert found.where("place = 1 AND abs(match - 1) < 1e-5").count() == 5
 
 
 def test_topk_of_nothing(spark):
