@@ -19,9 +19,10 @@ from palate.llm.common import ALNUM, fields_and, text_slices, word_bounds, word_
 STEP, LONG, SHORT = 8, 32, 16
 # Items of more words than this are verified in parts of this many, half overlapping.
 UNIT = 64
-RANK, OVERSAMPLE, POWERS = 64, 10, 1
-# Passages that one pass over the documents searches for; more take further passes.
-BLOCK = 4096
+RANK, OVERSAMPLE, POWERS = 320, 16, 1
+# Passages that one pass over the documents searches for; more take further passes. Passages share few words, so their
+# spectrum is flat: the rank must be near their number, or single words would pass for whole passages.
+BLOCK = 400
 # A candidate's cosine; shares of a unit's words in common order that decide alone, or together with the answer.
 COSINE, SURE, POSSIBLE, ANSWER = 0.45, 0.8, 0.6, 0.6
 
@@ -199,28 +200,39 @@ class Index:
         weight[known] = self.idf[terms[known]] ** 2
         total = np.bincount(step, weight, minlength=offsets[-1])
         mass = np.bincount(step[known], weight[known], minlength=offsets[-1])
-        sums = np.zeros((offsets[-1], self.latent.shape[1]), np.float32)
-        edges = np.flatnonzero(np.diff(step[known], prepend=-1))
-        sums[step[known][edges]] = np.add.reduceat(self.latent[terms[known]], edges, axis=0)
         owner = np.repeat(np.arange(len(counts)), steps)
-        candidates: dict[tuple[int, int], list] = {}
+
+        def over(values, run):
+            # sums over `run` steps of one row; runs at a row's end are shorter
+            out = values.copy()
+            for ahead in range(1, run):
+                out[:-ahead] += values[ahead:] * (owner[ahead:] == owner[:-ahead])
+            return out
+
+        # most runs have too little weight in known words for any cosine: only the others are projected
+        runs, needed = [], np.zeros(offsets[-1] + LONG, bool)
         for width, search, numbers in self.sides:
-            run = width // STEP
-            def over(values, wide):
-                # sums over `run` steps of one row; runs at a row's end are shorter
-                out = values.copy()
-                for ahead in range(1, run):
-                    same = owner[ahead:] == owner[:-ahead]
-                    out[:-ahead] += values[ahead:] * (same[:, None] if wide else same)
-                return out
-            norms, masses = over(total, False), over(mass, False)
-            hopeful = np.flatnonzero(masses >= self.floor * norms)
-            if not len(hopeful):
-                continue
-            vectors = over(sums, True)
-            for begin in range(0, len(hopeful), 8192):
-                part = hopeful[begin:begin + 8192]
-                cosines = (vectors[part] @ search.T) / np.sqrt(norms[part])[:, None]
+            norms = over(total, width // STEP)
+            hopeful = np.flatnonzero(over(mass, width // STEP) >= self.floor * norms)
+            runs.append((width, search, numbers, hopeful, np.sqrt(norms)))
+            for ahead in range(width // STEP):
+                needed[hopeful + ahead] = True
+        slots = np.where(needed, np.cumsum(needed) - 1, -1)
+        here = known[needed[step[known]]]
+        if not len(here):
+            return
+        sums = np.zeros((int(needed.sum()) + 1, self.latent.shape[1]), np.float32)  # the last row stays zero
+        edges = np.flatnonzero(np.diff(step[here], prepend=-1))
+        sums[slots[step[here[edges]]]] = np.add.reduceat(self.latent[terms[here]], edges, axis=0)
+        owner = np.concatenate([owner, np.full(LONG, -1)])
+        candidates: dict[tuple[int, int], list] = {}
+        for width, search, numbers, hopeful, lengths in runs:
+            for begin in range(0, len(hopeful), 2048):
+                part = hopeful[begin:begin + 2048]
+                vectors = sums[slots[part]]
+                for ahead in range(1, width // STEP):
+                    vectors = vectors + sums[np.where(owner[part + ahead] == owner[part], slots[part + ahead], -1)]
+                cosines = (vectors @ search.T) / lengths[part][:, None]
                 for at, passage in zip(*np.nonzero(cosines >= COSINE)):
                     place = int(part[at])
                     candidates.setdefault((int(owner[place]), int(numbers[passage])), []).append(
@@ -235,7 +247,7 @@ class Index:
                 share = common_length(own, region) / len(own)
                 if best is not None and share <= best[3]:
                     continue
-                answered = common_length(answer, region) >= ANSWER * len(answer)
+                answered = share >= POSSIBLE and common_length(answer, region) >= ANSWER * len(answer)
                 best = (row, unit, -cosine, share, answered, first - int(firsts[row]), last - int(firsts[row]))
                 if share >= SURE:
                     break
