@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from palate.llm.common import fields_and, worker_cache
+from palate.llm.common import fields_and, map_batches, worker_model
 
 # The pre-token pattern of the byte-level rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -22,7 +22,7 @@ LATIN_PATTERN = (
     r" ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]++|'(?:[stmd]|re|ve|ll)| ?[0-9]++| ?[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ɏ]++|\s+(?!\S)|\s+")
 # Pre-tokens up to this many bytes are remembered per Python worker, CACHE_ENTRIES at most at a time.
 CACHE_BYTES = 32
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 600_000
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -153,11 +153,7 @@ class Remembered(dict):
 
 
 def worker_encoder(content: bytes, pattern: str) -> Encoder:
-    cache = worker_cache()
-    key = ("bpe", hashlib.sha256(content).hexdigest(), pattern)
-    if key not in cache:
-        cache[key] = Encoder(content, pattern)
-    return cache[key]
+    return worker_model(("bpe", hashlib.sha256(content).hexdigest(), pattern), lambda: Encoder(content, pattern))
 
 
 def shared_ranks(spark: SparkSession, path: str):
@@ -206,7 +202,7 @@ def encode_documents(
             names = [f.name for f in kept] + ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "round_trip"])]
             yield pa.RecordBatch.from_arrays([*arrays, *made], names=names)
 
-    return docs.select(*[docs[c] for c in columns], docs[text].alias("_text")).mapInArrow(run, schema)
+    return map_batches(docs.select(*[docs[c] for c in columns], docs[text].alias("_text")), run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, columns: list[str], ids: str = "ids") -> DataFrame:
@@ -222,4 +218,4 @@ def decode_documents(encoded: DataFrame, path: str, columns: list[str], ids: str
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(kept))), pa.array(texts, pa.string())], names=[f.name for f in kept] + ["decoded"])
 
-    return encoded.select(*[encoded[c] for c in columns], encoded[ids].alias("_ids")).mapInArrow(run, schema)
+    return map_batches(encoded.select(*[encoded[c] for c in columns], encoded[ids].alias("_ids")), run, schema)

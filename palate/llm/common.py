@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -36,9 +37,31 @@ def sized_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, for models that every task of it needs."""
-    return sys.modules.setdefault("_palate_worker", types.ModuleType("_palate_worker")).__dict__
+def worker_model(key, make):
+    """What `make` gives, kept by the Python worker for its later tasks, one model at a time."""
+    kept = sys.modules.setdefault("_palate_worker", types.ModuleType("_palate_worker")).__dict__
+    if kept.get("key") != key:
+        release_model()
+        kept["model"], kept["key"] = make(), key
+    return kept["model"]
+
+
+def release_model() -> None:
+    """Let go of the model that tasks of an earlier operator left in this Python worker."""
+    kept = sys.modules.setdefault("_palate_worker", types.ModuleType("_palate_worker")).__dict__
+    if kept.pop("key", None) is not None:
+        del kept["model"]
+        gc.collect()
+
+
+# Rows of an Arrow batch between Spark and Python; the default of 10,000 whole texts is more than a task should hold.
+BATCH_ROWS = 1_000
+
+
+def map_batches(rows: DataFrame, work, schema) -> DataFrame:
+    """mapInArrow over batches of BATCH_ROWS rows at most (a setting of the session)."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return rows.mapInArrow(work, schema)
 
 
 def fields_and(fields: list[StructField], ddl: str) -> StructType:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from palate.llm.common import ALNUM, fields_and, text_slices, word_bounds, word_hashes
+from palate.llm.common import ALNUM, fields_and, map_batches, release_model, text_slices, word_bounds, word_hashes
 
 # Documents are summed up in blocks of STEP words; LONG and SHORT passages are compared with runs of so many words.
 STEP, LONG, SHORT = 8, 32, 16
@@ -92,6 +92,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches):
+        release_model()
         vocabulary, marks = shared.value, marks_of(shared.value)
         totals = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
@@ -105,7 +106,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(totals[met], pa.int64())], names=["term", "n"])
 
     out = np.zeros(len(vocabulary), np.int64)
-    counted = docs.select("_text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = map_batches(docs.select("_text"), count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     for row in counted.collect():  # one row per word of the block's vocabulary at most
         out[row["term"]] = row["n"]
     return out
@@ -347,4 +348,4 @@ def search(rows: DataFrame, index: Index, schema: StructType) -> DataFrame:
                 if found else [keys[:0], pa.array([], kind), *(pa.array([], t) for t in types)],
                 names=["key", "item", "cosine", "share", "answered", "first_word", "last_word"])
 
-    return rows.mapInArrow(run, schema)
+    return map_batches(rows, run, schema)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField
 
-from palate.llm.common import ALNUM, LOWER, VISIBLE, fields_and, mix, text_slices, word_bounds, word_hashes, written
+from palate.llm.common import ALNUM, LOWER, VISIBLE, fields_and, map_batches, mix, text_slices, word_bounds, word_hashes, written
 
 # Buckets of the hashed unigrams and bigrams, and the count every bucket starts with.
 BUCKETS = 1 << 16
@@ -63,7 +63,7 @@ def bucket_counts(docs: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, np.nda
             [pa.array(met, pa.int64()), pa.array(raw_total[met]), pa.array(target_total[met])], names=["bucket", "raw", "target"])
 
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    sums = docs.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    sums = map_batches(docs, count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     for row in sums.collect():  # BUCKETS rows at most
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
     return raw, target
@@ -95,8 +95,7 @@ def importance_weights(docs: DataFrame, ratio: np.ndarray, key: str, text: str)
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()),
                  pa.array(sums / np.maximum(counts, 1), pa.float64())], names=["key", "n_features", "log_weight", "mean_ratio"])
 
-    return docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("_text")).mapInArrow(
-        run, schema)
+    return map_batches(docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("_text")), run, schema)
 
 
 def resample(

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField
 
-from palate.llm.common import BASE, LOWER, VISIBLE, fields_and, mix, sized_broadcast, text_slices, word_bounds, word_hashes, written
+from palate.llm.common import BASE, LOWER, VISIBLE, fields_and, map_batches, mix, release_model, sized_broadcast, text_slices, word_bounds, word_hashes, written
 
 # Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (16 MB).
 CELL_BITS = 27
@@ -64,6 +64,7 @@ def cell_counts(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.
             [pa.array(ranges, pa.int32()), pa.array(kinds, pa.string()), pa.array(blobs, pa.binary())], names=["number", "kind", "deltas"])
 
     def scan(batches):
+        release_model()
         parts, held = [], 0
         for batch in batches:
             for _, _, raw, bounds in text_slices(batch.column(0)):
@@ -86,7 +87,7 @@ def cell_counts(docs: DataFrame, text: str, width: int) -> tuple[np.ndarray, np.
         return pd.DataFrame({"number": [number], "seen": [seen], "cells": [(full + number * span).tolist()], "counts": [counts[full].tolist()]})
 
     counted = written(
-        docs.select(docs[text].alias("_text")).mapInArrow(scan, "number int, kind string, deltas binary")
+        map_batches(docs.select(docs[text].alias("_text")), scan, "number int, kind string, deltas binary")
         .groupBy("number").applyInPandas(count, "number int, seen binary, cells array<long>, counts array<long>"), "cells")
     seen = np.zeros((RANGES, span // 8), np.uint8)
     for row in counted.select("number", "seen").collect():
@@ -157,7 +158,7 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
                 names=["key", "tk", "n", "uid", "gid", "tokens", "places"])
 
     schema = fields_and([StructField("key", docs.schema[key].dataType)], "tk long, n long, uid long, gid long, tokens array<long>, places array<int>")
-    return docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text")).mapInArrow(run, schema)
+    return map_batches(docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text")), run, schema)
 
 
 def list_array(lengths: list[int], parts: list[np.ndarray], kind) -> pa.ListArray:
@@ -181,7 +182,7 @@ def set_table(docs: DataFrame, keys: DataFrame, text: str, width: int) -> DataFr
 
     texts = docs.select(docs[text].alias("_text"), F.xxhash64(docs[text]).alias("tk"))
     chosen = texts.join(sized_broadcast(keys), "tk", "left_semi").select("_text")
-    return chosen.mapInArrow(run, "uid long, shingles array<long>").groupBy("uid").agg(F.first("shingles").alias("shingles"))
+    return map_batches(chosen, run, "uid long, shingles array<long>").groupBy("uid").agg(F.first("shingles").alias("shingles"))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

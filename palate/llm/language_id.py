@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from palate.llm.common import fields_and, text_slices, worker_cache
+from palate.llm.common import fields_and, map_batches, text_slices, worker_model
 
 # Bounds of the training sample: this many documents of a language on average, the letters at the start of each, and
 # bytes of normalised text per language.
@@ -152,10 +152,7 @@ def pieces_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def worker_parsers(texts: dict[str, bytes]) -> list[tuple[str, Parser]]:
     key = ("parsers", hashlib.sha256(repr(sorted(texts.items())).encode()).hexdigest())
-    cache = worker_cache()
-    if key not in cache:
-        cache[key] = [(name, Parser(data)) for name, data in sorted(texts.items())]
-    return cache[key]
+    return worker_model(key, lambda: [(name, Parser(data)) for name, data in sorted(texts.items())])
 
 
 def cross_entropies(raw: np.ndarray, bounds: np.ndarray, parsers: list[tuple[str, Parser]]) -> np.ndarray:
@@ -206,4 +203,4 @@ def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[st
                  pa.array(bits, pa.float64()), pa.array(foreign, pa.bool_())],
                 names=[f.name for f in kept] + ["lang_pred", "score", "bits", "foreign"])
 
-    return docs.select(*[docs[c] for c in columns], letters(docs[text]).alias("_letters")).mapInArrow(run, schema)
+    return map_batches(docs.select(*[docs[c] for c in columns], letters(docs[text]).alias("_letters")), run, schema)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from palate.llm.common import ALNUM, LOWER, fields_and, text_slices, word_bounds, worker_cache
+from palate.llm.common import ALNUM, LOWER, fields_and, map_batches, text_slices, word_bounds, worker_model
 from palate.llm.license_rules import all_rules
 
 # Base phrases of consecutive words and their labels (fixed values).
@@ -24,12 +24,8 @@ def spaced(pattern: str) -> str:
 
 
 def compiled_rules() -> list[tuple[str, int, bytes, re.Pattern]]:
-    cache = worker_cache()
-    if "license_rules" not in cache:
-        cache["license_rules"] = [
-            (label, priority, keyword.encode(), re.compile(spaced(pattern).encode()))
-            for label, priority, keyword, pattern in all_rules()]
-    return cache["license_rules"]
+    return worker_model("license_rules", lambda: [
+        (label, priority, keyword.encode(), re.compile(spaced(pattern).encode())) for label, priority, keyword, pattern in all_rules()])
 
 
 def phrase_patterns() -> list[tuple[str, bytes, re.Pattern]]:
@@ -113,4 +109,4 @@ def scan_licenses(docs: DataFrame, columns: list[str], text: str = "text", spans
                 [*(batch.column(i) for i in range(len(kept))), *(pa.array(list(v), t) for v, t, _ in zip(made, types, names))],
                 names=[f.name for f in kept] + names)
 
-    return docs.select(*[docs[c] for c in columns], docs[text].alias("_text")).mapInArrow(run, schema)
+    return map_batches(docs.select(*[docs[c] for c in columns], docs[text].alias("_text")), run, schema)
