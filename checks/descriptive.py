@@ -51,7 +51,7 @@ def over_time_sql(unit, step):
 
 
 def geo_center(spark, sf_dir):
-    return canonical(d.geo_center(d.geo_sample(view(spark, sf_dir, "businesses"), 5000)))
+    return canonical(d.geo_center(d.geo_sample(view(spark, sf_dir, "businesses"), 500)))
 
 
 CTES["status"] = (("businesses",), """
@@ -61,7 +61,7 @@ CTES["status"] = (("businesses",), """
 
 def geo_sql(n):
     return f"""SELECT business_id, name, city, state, stars, review_count, latitude, longitude FROM businesses
-        WHERE latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY md5(business_id::VARCHAR || '|42'), business_id LIMIT {n}"""
+        WHERE latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY md5(business_id::VARCHAR || '|42'), business_id {"" if n == "ALL" else f"LIMIT {n}"}"""
 
 
 CHECKS = {
@@ -125,8 +125,9 @@ CHECKS = {
     "state_summary": Check(_on("businesses", d.state_summary), compose("""
         SELECT state, count(business_id) AS n, avg(stars) AS avg_stars FROM businesses
         GROUP BY state ORDER BY n DESC, state LIMIT 30""", ["businesses"], ["avg_stars"])),
-    "geo_sample": Check(_on("businesses", d.geo_sample), compose(geo_sql(8000), ["businesses"])),
+    "geo_sample": Check(_on("businesses", lambda df: d.geo_sample(df, 500)), compose(geo_sql(500), ["businesses"])),
+    "geo_located": Check(_on("businesses", d.geo_sample), compose(geo_sql("ALL"), ["businesses"])),
     "geo_center": Check(geo_center, compose(
-        f"SELECT avg(latitude) AS latitude, avg(longitude) AS longitude FROM ({geo_sql(5000)})", ["businesses"],
+        f"SELECT avg(latitude) AS latitude, avg(longitude) AS longitude FROM ({geo_sql(500)})", ["businesses"],
         ["latitude", "longitude"])),
 }

@@ -1,7 +1,9 @@
-"""ALS, reranker and the whole recommender: iterative fits, checked by rows here and by tests elsewhere."""
+"""ALS, reranker and the whole recommender with default settings: iterative fits, checked by rows here and by tests."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from checks.common import Check, canonical, view
@@ -9,13 +11,12 @@ from checks.features import split_windows
 from palate.config import Settings
 from palate.operators import als, candidates as c
 from palate.operators.cohort import temporal_split
+from palate.operators.rerank import RankerModel, feature_importance as importance_of, rank_ltr as rank_by_model, ranker_attribution as attribution_of
 from palate.plans import train
-from palate.session import cut_lineage
-
-# a short local fit; the defaults in Settings are the full-size run
-SMALL = Settings(als_factors=16, als_iterations=5, rank_rounds=5, rank_patience=5)
+from palate.session import cut_lineage, keep_table, shared_dir
+from palate.sources.artifacts import read_artifact
 
-_trained: dict[tuple[str, str], train.Recommender] = {}
+DEFAULTS = Settings()
 
 
 def _static(spark, sf_dir):
@@ -23,17 +24,49 @@ def _static(spark, sf_dir):
         view(spark, sf_dir, "businesses"), view(spark, sf_dir, "users"), view(spark, sf_dir, "checkins"), view(spark, sf_dir, "tips"))
 
 
-def recommender(spark, sf_dir) -> train.Recommender:
-    """One training run per session and folder, shared by the queries that look at its outputs."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _trained:
-        rows = cut_lineage(temporal_split(view(spark, sf_dir, "interactions")))
-        _trained[key] = train.train_recommender(rows, _static(spark, sf_dir), SMALL)
-    return _trained[key]
+def _run(spark, sf_dir, folder) -> train.Recommender:
+    rows = keep_table(temporal_split(view(spark, sf_dir, "interactions")), "split")
+    done = train.train_recommender(rows, _static(spark, sf_dir), DEFAULTS)
+    train.write_recommender(done, folder)
+    return done
+
+
+def _folder(spark, sf_dir) -> str:
+    """The artifacts of a training run over these tables: whichever key comes first writes them, the others read."""
+    name = hashlib.md5(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()
+    folder = f"{shared_dir(spark)}/recommender-{name}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/comparison/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        _run(spark, sf_dir, folder)
+    return folder
+
+
+def _table(name):
+    return lambda spark, sf_dir: canonical(read_artifact(spark, f"{_folder(spark, sf_dir)}/{name}"))
+
+
+def _model(spark, sf_dir):
+    return RankerModel.load(spark, f"{_folder(spark, sf_dir)}/model")
+
+
+def _frame(spark, sf_dir):
+    return read_artifact(spark, f"{_folder(spark, sf_dir)}/test_frame")
+
+
+def train_recommender(spark, sf_dir):
+    """The whole run, whatever other keys have left."""
+    return canonical(_run(spark, sf_dir, f"{shared_dir(spark)}/recommender-{hashlib.md5(repr(object()).encode()).hexdigest()}").comparison)
+
+
+def train_ranker(spark, sf_dir):
+    """Early-stop NDCG per boosting round."""
+    rows = keep_table(temporal_split(view(spark, sf_dir, "interactions")), "split")
+    model = train.fit_ranker(rows.where("split = 'train'"), rows.where("split = 'valid'"), _static(spark, sf_dir), DEFAULTS)
+    return spark.createDataFrame(list(enumerate(model.history)), "round long, ndcg double")
 
 
 def _fit(history):
-    return als.als_fit(history, SMALL.als_factors, SMALL.als_iterations, SMALL.als_regularization, SMALL.als_alpha)
+    return als.als_fit(history, DEFAULTS.als_factors, DEFAULTS.als_iterations, DEFAULTS.als_regularization, DEFAULTS.als_alpha)
 
 
 def als_fit(spark, sf_dir):
@@ -44,9 +77,9 @@ def als_fit(spark, sf_dir):
 
 def _candidates(spark, sf_dir):
     history, test = split_windows(spark, sf_dir)
-    targets = cut_lineage(c.target_users(test, history, SMALL.rank_eval_users))
+    targets = cut_lineage(c.target_users(test, history))
     factors = _fit(history)
-    return factors, test, targets, als.als_candidates(factors, targets, history, SMALL.n_candidates)
+    return factors, test, targets, als.als_candidates(factors, targets, history, DEFAULTS.n_candidates)
 
 
 def als_candidates(spark, sf_dir):
@@ -61,26 +94,7 @@ def als_score_pairs(spark, sf_dir):
 def inject_positives(spark, sf_dir):
     factors, test, targets, found = _candidates(spark, sf_dir)
     positives = als.als_score_pairs(factors, c.relevance(test, targets))
-    return canonical(c.inject_positives(cut_lineage(found), positives, SMALL.n_candidates))
-
-
-def rank_als(spark, sf_dir):
-    return canonical(c.rank_als(recommender(spark, sf_dir).test_frame))
-
-
-def rank_ltr(spark, sf_dir):
-    done = recommender(spark, sf_dir)
-    return canonical(train.rank_ltr(done.test_frame, done.model))
-
-
-def train_ranker(spark, sf_dir):
-    """Early-stop NDCG per boosting round."""
-    history = recommender(spark, sf_dir).model.history
-    return spark.createDataFrame(list(enumerate(history)), "round long, ndcg double")
-
-
-def ranking_frame_als(spark, sf_dir):
-    return canonical(recommender(spark, sf_dir).test_frame)
+    return canonical(c.inject_positives(cut_lineage(found), positives, DEFAULTS.n_candidates))
 
 
 CHECKS = {
@@ -88,13 +102,13 @@ CHECKS = {
     "als_candidates": Check(als_candidates),
     "als_score_pairs": Check(als_score_pairs),
     "inject_positives": Check(inject_positives),
-    "ranking_frame_als": Check(ranking_frame_als),
-    "rank_als": Check(rank_als),
     "train_ranker": Check(train_ranker),
-    "rank_ltr": Check(rank_ltr),
-    "feature_importance": Check(lambda spark, sf_dir: recommender(spark, sf_dir).importance),
-    "ranker_attribution": Check(lambda spark, sf_dir: recommender(spark, sf_dir).attribution),
-    "train_recommender": Check(lambda spark, sf_dir: recommender(spark, sf_dir).comparison),
-    "method_lift_two_stage": Check(lambda spark, sf_dir: recommender(spark, sf_dir).lift),
-    "demo_recs_two_stage": Check(lambda spark, sf_dir: recommender(spark, sf_dir).demo),
+    "train_recommender": Check(train_recommender),
+    "ranking_frame_als": Check(_table("test_frame")),
+    "rank_als_two_stage": Check(lambda spark, sf_dir: canonical(c.rank_als(_frame(spark, sf_dir)))),
+    "rank_ltr": Check(lambda spark, sf_dir: canonical(rank_by_model(_frame(spark, sf_dir), _model(spark, sf_dir)))),
+    "feature_importance": Check(lambda spark, sf_dir: importance_of(_model(spark, sf_dir), _frame(spark, sf_dir))),
+    "ranker_attribution": Check(lambda spark, sf_dir: attribution_of(_model(spark, sf_dir), _frame(spark, sf_dir))),
+    "method_lift_two_stage": Check(_table("lift")),
+    "demo_recs_two_stage": Check(_table("demo_recs")),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.common import Check, canonical, compose, view
 from checks.views import CTES
 from palate.config import Settings
+from palate.functions.numbers import micros
 from palate.operators import cohort
 from palate.plans.prepare import prepare_cohort
 
@@ -85,7 +86,7 @@ def temporal_split(spark, sf_dir):
 
 def temporal_split_events(spark, sf_dir):
     split = cohort.temporal_split(view(spark, sf_dir, "event_interactions"))
-    return canonical(split.groupBy("user_id", "split").agg(F.count(F.lit(1)).alias("n")))
+    return canonical(split.select("user_id", "business_id", "stars", micros(F.col("date")).cast("long").alias("instant"), "review_len", "useful", "split"))
 
 
 def surviving_businesses(spark, sf_dir):
@@ -121,7 +122,7 @@ CHECKS = {
     "kcore": Check(kcore, compose(f"{_ROWS} FROM k_core", ["k_core"])),
     "temporal_split": Check(temporal_split, compose(SPLIT, ["split_interactions"])),
     "temporal_split_events": Check(temporal_split_events, compose(
-        "SELECT user_id, split, count(*) AS n FROM split_events GROUP BY ALL", ["split_events"])),
+        "SELECT user_id, business_id, stars, epoch_us(date) AS instant, review_len, useful, split FROM split_events", ["split_events"], ["stars"])),
     "surviving_businesses": Check(surviving_businesses, compose(
         f"SELECT {_BY_KCORE} (SELECT business_id FROM k_core)", ["businesses", "k_core"])),
     "prepare_cohort": Check(run_prepare_cohort, compose(f"{_ROWS}, split FROM cohort_split", ["cohort_split"])),

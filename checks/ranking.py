@@ -18,7 +18,7 @@ GAIN = "CASE stars WHEN 3 THEN 1 WHEN 4 THEN 2 WHEN 5 THEN 3 ELSE 0 END"
 CTES["gains"] = (("test_rows",), f"SELECT user_id, business_id, CAST(max({GAIN}) AS BIGINT) AS gain FROM test_rows GROUP BY 1, 2")
 CTES["targets"] = (("gains", "history"), """
     SELECT user_id FROM (SELECT DISTINCT user_id FROM gains WHERE gain > 0)
-    WHERE user_id IN (SELECT user_id FROM history) ORDER BY md5(user_id::VARCHAR || '|42'), user_id LIMIT 12000""")
+    WHERE user_id IN (SELECT user_id FROM history)""")
 CTES["relevant"] = (("gains", "targets"), "SELECT * FROM gains WHERE gain > 0 AND user_id IN (SELECT user_id FROM targets)")
 CTES["volumes"] = (("history",), "SELECT business_id, CAST(count(*) AS DOUBLE) AS volume FROM history GROUP BY 1")
 CTES["popular"] = (("targets", "volumes", "history"), """
@@ -63,7 +63,7 @@ for _ranking in ("by_popularity", "by_score", "by_stars"):
 
 def _scene(spark, sf_dir):
     history, test = split_windows(spark, sf_dir)
-    targets = cut_lineage(c.target_users(test, history, 12_000))
+    targets = cut_lineage(c.target_users(test, history))
     return history, test, targets
 
 
@@ -110,6 +110,20 @@ def sample_users(spark, sf_dir):
     return canonical(c.fit_stop_split(_scene(spark, sf_dir)[2]))
 
 
+def sample_users_400(spark, sf_dir):
+    history, test = split_windows(spark, sf_dir)
+    return canonical(c.target_users(test, history, 400))
+
+
+def demo_recs_100(spark, sf_dir):
+    frame, relevant = _kept_frame(spark, sf_dir)
+    return canonical(c.demo_recs(c.rank_popularity(frame), relevant, view(spark, sf_dir, "businesses"), 100))
+
+
+def rank_als(spark, sf_dir):
+    return canonical(c.rank_als(_kept_frame(spark, sf_dir)[0]))
+
+
 def popularity_candidates(spark, sf_dir):
     history, _, targets = _scene(spark, sf_dir)
     return canonical(c.popularity_candidates(targets, history, 100))
@@ -171,7 +185,7 @@ CTES["demo"] = (("by_popularity", "relevant", "businesses"), """
            coalesce(city, CASE WHEN b.business_id IS NULL THEN '' END) AS city,
            coalesce(categories, CASE WHEN b.business_id IS NULL THEN '' END) AS categories, gain IS NOT NULL AS visited_in_test
     FROM by_popularity r LEFT JOIN businesses b USING (business_id) LEFT JOIN relevant USING (user_id, business_id)
-    WHERE rank <= 10 AND user_id IN (SELECT DISTINCT user_id FROM by_popularity ORDER BY user_id LIMIT 600)""")
+    WHERE rank <= 10""")
 
 _LIFT = ", ".join(
     f"round_even({m}, 4) AS {m}, round_even(({m} / max(CASE WHEN position = 0 THEN {m} END) OVER () - 1) * 100, 4) AS {m}_lift_pct"
@@ -194,6 +208,11 @@ CHECKS = {
     "sample_users": Check(sample_users, compose("""
         SELECT user_id, CASE WHEN row_number() OVER (ORDER BY md5(user_id::VARCHAR || '|42'), user_id) <= floor(0.85::DOUBLE * count(*) OVER ())
                              THEN 'fit' ELSE 'stop' END AS part FROM targets""", ["targets"])),
+    "sample_users_400": Check(sample_users_400, compose(
+        "SELECT user_id FROM targets ORDER BY md5(user_id::VARCHAR || '|42'), user_id LIMIT 400", ["targets"])),
+    "demo_recs_100": Check(demo_recs_100, compose(
+        "SELECT * FROM demo WHERE user_id IN (SELECT DISTINCT user_id FROM by_popularity ORDER BY user_id LIMIT 100)", ["demo", "by_popularity"])),
+    "rank_als": Check(rank_als, compose("SELECT * FROM by_score", ["by_score"])),
     "popularity_candidates": Check(popularity_candidates, compose("SELECT * FROM popular", ["popular"], ["als_score"])),
     "ranking_frame": Check(ranking_frame, compose(
         "SELECT * FROM frame", ["frame"], [*USER_DOUBLES, *BUSINESS_DOUBLES, "als_score", "star_gap", "price_gap"])),

@@ -1,8 +1,8 @@
 """All checks by key."""
 
-from checks import descriptive, features, learning, prepare, ranking, search, sources, taste
+from checks import descriptive, features, given, learning, prepare, ranking, search, sources, taste
 
 CHECKS = {
     **descriptive.CHECKS, **prepare.CHECKS, **sources.CHECKS, **features.CHECKS, **ranking.CHECKS, **search.CHECKS,
-    **taste.CHECKS, **learning.CHECKS,
+    **taste.CHECKS, **learning.CHECKS, **given.CHECKS,
 }

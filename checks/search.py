@@ -9,18 +9,18 @@ from checks.views import CTES
 from palate.config import Settings
 from palate.functions.text import WHITESPACE_CHARS
 from palate.operators import corpus as c, encode, search as s
-from palate.plans.search import build_search
+from palate.plans.search import build_search, corpus_of
 from palate.session import cut_lineage
 
 
-def _corpus_sql(source: str, cap: int | None) -> str:
+def _corpus_sql(source: str, cap: int | None = None, size: int | None = None) -> str:
     strip = f"replace(trim(text, '{WHITESPACE_CHARS}'), chr(10), ' ')"
     rows = f"SELECT review_id, business_id, stars, t AS text FROM (SELECT *, {strip} AS t FROM {source}) WHERE length(t) >= 40"
     if cap is None:
         return rows
     return f"""SELECT * EXCLUDE (p) FROM (SELECT *, row_number() OVER (PARTITION BY business_id
                ORDER BY md5(review_id::VARCHAR || '|42'), review_id) AS p FROM ({rows})) WHERE p <= {cap}
-               ORDER BY md5(review_id::VARCHAR || '|42') LIMIT 120000"""
+               ORDER BY md5(review_id::VARCHAR || '|42') LIMIT {size}"""
 
 
 def split_ctes(source: str, prefix: str) -> dict:
@@ -33,7 +33,32 @@ def split_ctes(source: str, prefix: str) -> dict:
         f"{prefix}_queries": ((source, f"{prefix}_split"), f"""
             SELECT review_id, business_id FROM {source}
             WHERE business_id IN (SELECT business_id FROM {prefix}_split WHERE role = 'eval')
-            ORDER BY md5(review_id::VARCHAR || '|42') LIMIT 1500"""),
+            """),
+    }
+
+
+def pair_ctes(source: str, prefix: str, n: int) -> dict:
+    """The mined pairs of a corpus with a split; the last CTE is `<prefix>_pairs`."""
+    placed, groups, drawn = f"{prefix}_placed", f"{prefix}_groups", f"{prefix}_drawn"
+    return {
+        placed: ((source, f"{prefix}_split"), f"""
+            SELECT review_id, business_id, row_number() OVER (PARTITION BY business_id
+                   ORDER BY substr(md5(review_id::VARCHAR), 1, 3), review_id) - 1 AS place
+            FROM {source} WHERE business_id IN (SELECT business_id FROM {prefix}_split WHERE role = 'train')"""),
+        groups: ((placed,), f"""
+            SELECT business_id, count(*) AS size,
+                   row_number() OVER (ORDER BY substr(md5(business_id::VARCHAR), 1, 3), business_id) - 1 AS ix
+            FROM {placed} GROUP BY business_id HAVING count(*) >= 2"""),
+        drawn: ((groups,), f"""
+            SELECT pair_id, business_id, first, CASE WHEN other >= first THEN other + 1 ELSE other END AS second
+            FROM (SELECT pair_id, business_id, ('0x' || substr(md5('anchor|42|' || pair_id), 1, 8))::BIGINT % size AS first,
+                         ('0x' || substr(md5('positive|42|' || pair_id), 1, 8))::BIGINT % (size - 1) AS other
+                  FROM (SELECT range AS pair_id, ('0x' || substr(md5('business|42|' || range), 1, 8))::BIGINT
+                               % (SELECT count(*) FROM {groups}) AS ix FROM range({n})) JOIN {groups} USING (ix))"""),
+        f"{prefix}_pairs": ((drawn, placed), f"""
+            SELECT pair_id, p.business_id, a.review_id AS anchor_id, b.review_id AS positive_id
+            FROM {drawn} p JOIN {placed} a ON a.business_id = p.business_id AND a.place = first
+            JOIN {placed} b ON b.business_id = p.business_id AND b.place = second"""),
     }
 
 
@@ -45,8 +70,8 @@ def _top_sql(queries: str, corpus: str, k: int) -> str:
         WHERE rank <= {k}"""
 
 
-CTES["corpus"] = (("reviews",), _corpus_sql("reviews", 40))
-CTES["whole_corpus"] = (("reviews",), _corpus_sql("reviews", None))
+CTES["corpus"] = (("reviews",), _corpus_sql("reviews"))
+CTES["sampled_corpus"] = (("reviews",), _corpus_sql("reviews", 30, 300))
 CTES.update(split_ctes("corpus", "text"))
 CTES.update(split_ctes("review_vectors", "vec"))
 CTES["vec_items"] = (("review_vectors",), "SELECT review_id AS item_id, embedding::DOUBLE[] AS vec FROM review_vectors")
@@ -55,6 +80,7 @@ CTES["vec_eval_queries"] = (("vec_all_queries", "vec_queries"), """
     SELECT * FROM vec_all_queries WHERE query_id IN (SELECT review_id FROM vec_queries)""")
 CTES["hits10"] = (("vec_items", "vec_all_queries"), _top_sql("vec_all_queries", "vec_items", 10))
 CTES["hits200"] = (("vec_items", "vec_all_queries"), _top_sql("vec_all_queries", "vec_items", 200))
+CTES["all_hits"] = (("vec_items", "vec_all_queries"), _top_sql("vec_all_queries", "vec_items", 1_000_000_000))
 CTES["eval_hits"] = (("vec_items", "vec_eval_queries", "review_vectors"), f"""
     SELECT query_id, a.business_id AS own, b.business_id AS found,
            row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place
@@ -79,8 +105,12 @@ def run_corpus(spark, sf_dir):
     return _digest(_corpus(spark, sf_dir))
 
 
-def whole_corpus(spark, sf_dir):
-    return _digest(_corpus(spark, sf_dir, per_business=None, size=None))
+def sampled_corpus(spark, sf_dir):
+    return _digest(_corpus(spark, sf_dir, per_business=30, size=300))
+
+
+def short_corpus(spark, sf_dir):
+    return _digest(_corpus(spark, sf_dir, max_chars=1500))
 
 
 def retrieval_split(spark, sf_dir):
@@ -92,6 +122,11 @@ def eval_queries(spark, sf_dir):
     return canonical(c.eval_query_ids(corpus, c.retrieval_split(corpus)))
 
 
+def eval_queries_50(spark, sf_dir):
+    corpus = _kept_corpus(spark, sf_dir)
+    return canonical(c.eval_query_ids(corpus, c.retrieval_split(corpus), 50))
+
+
 def mine_pairs(spark, sf_dir):
     corpus = _kept_corpus(spark, sf_dir)
     split = cut_lineage(c.retrieval_split(corpus))
@@ -125,6 +160,11 @@ def search_businesses(spark, sf_dir):
         _all_queries(spark, sf_dir), _vectors(spark, sf_dir), view(spark, sf_dir, "businesses")))
 
 
+def search_businesses_pool(spark, sf_dir):
+    return canonical(s.search_businesses(
+        _all_queries(spark, sf_dir), _vectors(spark, sf_dir), view(spark, sf_dir, "businesses"), pool=200))
+
+
 def eval_retrieval(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
     split = cut_lineage(c.retrieval_split(vectors))
@@ -132,7 +172,7 @@ def eval_retrieval(spark, sf_dir):
 
 
 def encode_corpus(spark, sf_dir):
-    corpus = _corpus(spark, sf_dir, per_business=None, size=None)
+    corpus = _corpus(spark, sf_dir)
     encoded = encode.fit_encoder(corpus).encode(corpus)
     return encoded.select("review_id", F.size("embedding").alias("dim"),
                           F.round(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x), 4).alias("norm"))
@@ -156,46 +196,62 @@ def retrieval_lift(spark, sf_dir):
     return canonical(s.retrieval_lift(s.eval_retrieval(vectors, queries), s.eval_retrieval(adapted, queries)))
 
 
+def _index(spark, sf_dir):
+    return build_search(corpus_of(view(spark, sf_dir, "reviews"), None), Settings())
+
+
 def run_build_search(spark, sf_dir):
-    corpus = _corpus(spark, sf_dir, per_business=None, size=None)
-    return canonical(build_search(corpus, Settings()).report)
+    return canonical(_index(spark, sf_dir).report)
+
+
+def _sources(spark, sf_dir):
+    """The reviews' businesses are document sources."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("source").alias("business_id")).distinct()
+    return rows.selectExpr("business_id", "concat('Place ', business_id) AS name", "'here' AS city", "4.0D AS stars", "'Food' AS categories")
+
+
+def _passages(spark, sf_dir):
+    """Free-text queries: the benchmark passages."""
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumnRenamed("item_id", "query_id")
+
+
+def search_text_reviews(spark, sf_dir):
+    return _digest(_index(spark, sf_dir).reviews(_passages(spark, sf_dir), _sources(spark, sf_dir)))
+
+
+def search_text_businesses(spark, sf_dir):
+    return canonical(_index(spark, sf_dir).businesses(_passages(spark, sf_dir), _sources(spark, sf_dir)))
 
 
 def search_text(spark, sf_dir):
-    """Free-text queries (the benchmark passages) against the encoded review texts."""
-    corpus = _corpus(spark, sf_dir, per_business=None, size=None)
+    """Free text against the review texts in the base space."""
+    corpus = _corpus(spark, sf_dir)
     encoder = encode.fit_encoder(corpus)
-    passages = spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumnRenamed("item_id", "query_id")
-    found = s.vector_topk(encoder.encode(passages), encoder.encode(corpus))
-    return canonical(found)
+    return canonical(s.vector_topk(encoder.encode(_passages(spark, sf_dir)), encoder.encode(corpus)))
+
+
+def _businesses_sql(hits):
+    return compose(f"""
+        SELECT query_id, place, w.business_id, name, city, b.stars, categories, match, n_hits, substr(r.text, 1, 160) || '…' AS snippet
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY match DESC, business_id) AS place
+              FROM (SELECT query_id, business_id, max(score) AS match, count(*) AS n_hits, arg_min(review_id, rank) AS review_id
+                    FROM {hits} JOIN review_vectors ON review_id = item_id GROUP BY 1, 2)) w
+        JOIN review_vectors r ON r.review_id = w.review_id LEFT JOIN businesses b ON b.business_id = w.business_id
+        WHERE place <= 10""", [hits, "review_vectors", "businesses"], ["match", "stars"])
 
 
 CHECKS = {
     "build_corpus": Check(run_corpus, compose(
         "SELECT review_id, business_id, stars, md5(text) AS text FROM corpus", ["corpus"])),
-    "build_corpus_whole": Check(whole_corpus, compose(
-        "SELECT review_id, business_id, stars, md5(text) AS text FROM whole_corpus", ["whole_corpus"])),
+    "build_corpus_sample": Check(sampled_corpus, compose(
+        "SELECT review_id, business_id, stars, md5(text) AS text FROM sampled_corpus", ["sampled_corpus"])),
+    "build_corpus_short": Check(short_corpus, compose(
+        "SELECT review_id, business_id, stars, md5(substr(text, 1, 1500)) AS text FROM corpus", ["corpus"])),
+    "eval_queries_50": Check(eval_queries_50, compose(
+        "SELECT * FROM text_queries ORDER BY md5(review_id::VARCHAR || '|42') LIMIT 50", ["text_queries"])),
     "retrieval_split": Check(retrieval_split, compose("SELECT * FROM text_split", ["text_split"])),
     "eval_queries": Check(eval_queries, compose("SELECT * FROM text_queries", ["text_queries"])),
-    "mine_pairs": Check(mine_pairs, compose("""
-        SELECT pair_id, p.business_id, a.review_id AS anchor_id, b.review_id AS positive_id
-        FROM pairs p JOIN placed a ON a.business_id = p.business_id AND a.place = first
-        JOIN placed b ON b.business_id = p.business_id AND b.place = second""", ["pairs", "placed"], extra={
-            "placed": (("corpus", "text_split"), """
-                SELECT review_id, business_id, row_number() OVER (PARTITION BY business_id
-                       ORDER BY substr(md5(review_id::VARCHAR), 1, 3), review_id) - 1 AS place
-                FROM corpus WHERE business_id IN (SELECT business_id FROM text_split WHERE role = 'train')"""),
-            "groups": (("placed",), """
-                SELECT business_id, count(*) AS size,
-                       row_number() OVER (ORDER BY substr(md5(business_id::VARCHAR), 1, 3), business_id) - 1 AS ix
-                FROM placed GROUP BY business_id HAVING count(*) >= 2"""),
-            "pairs": (("groups",), """
-                SELECT pair_id, business_id, first, CASE WHEN other >= first THEN other + 1 ELSE other END AS second
-                FROM (SELECT pair_id, business_id, ('0x' || substr(md5('anchor|42|' || pair_id), 1, 8))::BIGINT % size AS first,
-                             ('0x' || substr(md5('positive|42|' || pair_id), 1, 8))::BIGINT % (size - 1) AS other
-                      FROM (SELECT range AS pair_id, ('0x' || substr(md5('business|42|' || range), 1, 8))::BIGINT
-                                   % (SELECT count(*) FROM groups) AS ix FROM range(25000)) JOIN groups USING (ix))"""),
-        })),
+    "mine_pairs": Check(mine_pairs, compose("SELECT * FROM text_pairs", ["text_pairs"], extra=pair_ctes("corpus", "text", 25_000))),
     "vector_topk": Check(vector_topk, compose(
         "SELECT query_id, item_id AS review_id, score, rank FROM hits10", ["hits10"], ["score"])),
     "vector_topk_blocks": Check(vector_topk_blocks, compose(
@@ -204,13 +260,8 @@ CHECKS = {
         SELECT query_id, rank, item_id AS review_id, r.business_id, name, city, b.stars, r.stars AS review_stars, score, md5(text) AS text
         FROM hits10 JOIN review_vectors r ON r.review_id = item_id LEFT JOIN businesses b ON b.business_id = r.business_id""",
         ["hits10", "review_vectors", "businesses"], ["score", "stars", "review_stars"])),
-    "search_businesses": Check(search_businesses, compose("""
-        SELECT query_id, place, w.business_id, name, city, b.stars, categories, match, n_hits, substr(r.text, 1, 160) || '…' AS snippet
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY match DESC, business_id) AS place
-              FROM (SELECT query_id, business_id, max(score) AS match, count(*) AS n_hits, arg_min(review_id, rank) AS review_id
-                    FROM hits200 JOIN review_vectors ON review_id = item_id GROUP BY 1, 2)) w
-        JOIN review_vectors r ON r.review_id = w.review_id LEFT JOIN businesses b ON b.business_id = w.business_id
-        WHERE place <= 10""", ["hits200", "review_vectors", "businesses"], ["match", "stars"])),
+    "search_businesses": Check(search_businesses, _businesses_sql("all_hits")),
+    "search_businesses_pool": Check(search_businesses_pool, _businesses_sql("hits200")),
     "eval_retrieval": Check(eval_retrieval, compose("""
         SELECT avg(CASE WHEN first IS NULL THEN 0.0 ELSE 1.0 END) AS hit, avg(coalesce(1.0 / first, 0)) AS mrr, count(*) AS n_queries
         FROM vec_eval_queries LEFT JOIN
@@ -221,4 +272,6 @@ CHECKS = {
     "retrieval_lift": Check(retrieval_lift),
     "build_search": Check(run_build_search),
     "search_text": Check(search_text),
+    "search_text_reviews": Check(search_text_reviews),
+    "search_text_businesses": Check(search_text_businesses),
 }

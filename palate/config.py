@@ -25,6 +25,7 @@ class Settings:
     train_frac: float = 0.70
     valid_frac: float = 0.15
     positive_stars: float = 4.0
+    as_of: str | None = None  # check-ins and tips after this instant are unknown to the features
 
     # candidate generation
     als_factors: int = 96

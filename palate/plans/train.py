@@ -45,14 +45,16 @@ class StaticTables:
 
 
 def feature_tables(
-    history: DataFrame, static: StaticTables, targets: DataFrame | None = None
+    history: DataFrame, static: StaticTables, targets: DataFrame | None = None, settings: Settings = Settings()
 ) -> tuple[DataFrame, DataFrame]:
     """User features (of the targets, if given) and features of every business in the window."""
+    cut = None if settings.as_of is None else F.lit(settings.as_of).cast("timestamp")
     businesses = enrich_businesses(static.businesses)
     users = cohort_users(static.users, history if targets is None else targets)
     return (
-        user_features(history, businesses, users, only=targets),
-        business_features(history, businesses, checkin_stats(static.checkins), tip_counts(static.tips)),
+        user_features(history, businesses, users, positive=settings.positive_stars, only=targets),
+        business_features(
+            history, businesses, checkin_stats(static.checkins, cut), tip_counts(static.tips, cut), settings.positive_stars),
     )
 
 
@@ -69,7 +71,7 @@ def als_frame(
         candidates = cut_lineage(candidates)
         positives = als_score_pairs(factors, relevance(labels, targets))
         candidates = inject_positives(candidates, positives, settings.n_candidates)
-    return ranking_frame(candidates, labels, *feature_tables(history, static, targets))
+    return ranking_frame(candidates, labels, *feature_tables(history, static, targets, settings))
 
 
 def fit_ranker(train: DataFrame, valid: DataFrame, static: StaticTables, settings: Settings) -> RankerModel:
@@ -121,6 +123,9 @@ def train_recommender(
 def write_recommender(done: Recommender, folder: str) -> None:
     write_artifact(done.test_frame, f"{folder}/test_frame")
     write_artifact(done.demo, f"{folder}/demo_recs")
+    write_artifact(done.lift, f"{folder}/lift")
+    done.model.save(done.test_frame.sparkSession, f"{folder}/model")
+    write_artifact(done.comparison, f"{folder}/comparison")
     write_report(done.comparison, f"{folder}/recsys_metrics")
     write_report(done.importance, f"{folder}/feature_importance")
     write_report(done.attribution, f"{folder}/attribution")

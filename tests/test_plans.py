@@ -82,6 +82,6 @@ def test_build_search_from_text(spark, sf_dir):
     corpus = view(spark, sf_dir, "reviews").where(F.length("text") >= 40)
     path = scratch_path(spark, "vectors")
     index = build_search(corpus, SETTINGS, path)
-    assert spark.read.parquet(path).count() == corpus.count() == index.vectors.count()
+    assert spark.read.parquet(f"{path}/vectors").count() == corpus.count() == index.vectors.count()
     report = {r.encoder: r for r in index.report.collect()}
     assert set(report) == {"base", "adapted"} and 0 <= report["base"].mrr <= report["base"].hit <= 1
