@@ -212,6 +212,6 @@ def all_rules() -> list[tuple[str, int, str, str]]:
               for version in CREATIVE_VERSIONS]
     rules += [(label, 2, keyword, pattern) for label, keyword, pattern in LINKS]
     rules += [(label, 3, "spdx", r"spdx-license-identifier: ?(?:\(? ?[\w.+-]+ (?:or|and|with) )*" + label.replace(".", r"\.")
-               + r"(?:-only|-or-later|\+)?(?![\w.-])") for label in TAGGED]
+               + r"(?:-only|-or-later|\+)?(?:\b|$)") for label in TAGGED]
     rules += [(label, 1, keyword, pattern) for label, keyword, pattern in MENTIONS]
     return rules

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from palate.llm import pii, secrets
+from palate.llm import license_rules, license_scan, pii, secrets
 
 
 def re2(pattern: str) -> str:
@@ -37,6 +37,42 @@ def counts(kinds) -> str:
     return ", ".join(f"count(*) FILTER (WHERE k = '{kind}') AS n_{kind}" for kind in kinds)
 
 
+def license_sql() -> str:
+    """A detection goes if any better one contains it: what keeps it from mattering contains it too."""
+    words = "regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    hits = " || ".join(
+        "[{'p': i, 'l': '%s'} FOR i IN range(1, len(w) + 1) IF %s]" % (label, " AND ".join(f"w[i + {n}] = '{word}'" for n, word in enumerate(phrase)))
+        for phrase, label in license_scan.PHRASES)
+    rules = [(number, rule, re2(license_scan.spaced(rule[3]))) for number, rule in enumerate(license_rules.all_rules())]
+    found = " UNION ALL ".join(
+        f"SELECT r, {number} AS o, {priority} AS k, '{label}' AS l, regexp_extract_all(t, {p}) AS w, string_split_regex(t, {p}) AS g "
+        f"FROM texts WHERE contains(t, '{keyword}') AND regexp_matches(t, {p})"
+        for number, (label, priority, keyword, _), p in rules)
+    sure = " ".join(f"WHEN {priority} THEN {value}" for priority, value in license_scan.CONFIDENCE.items())
+    return f"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+worded AS (SELECT r, doc_id, {words} AS w FROM texts),
+phrased AS MATERIALIZED (SELECT r, doc_id, len(w) AS n, {hits} AS h FROM worded),
+raw AS ({found}),
+placed AS MATERIALIZED (
+  SELECT r, o, k, l, s, s + length(m) AS e FROM (
+    SELECT r, o, k, l, w[i] AS m, list_sum([length(x) FOR x IN g[1:i]]) + coalesce(list_sum([length(x) FOR x IN w[1:i - 1]]), 0) AS s
+    FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM raw))),
+kept AS (
+  SELECT * FROM placed a WHERE NOT EXISTS (
+    SELECT 1 FROM placed b WHERE b.r = a.r AND b.s <= a.s AND a.e <= b.e
+      AND (-b.k, b.s - b.e, b.s, b.o) < (-a.k, a.s - a.e, a.s, a.o))),
+rules AS (SELECT r, list(l) AS ls, max(CASE k {sure} END) AS c FROM kept GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(h) AS BIGINT) AS n_base,
+  CAST(list_min([x.p FOR x IN h]) - 1 AS BIGINT) AS first_word, CAST(list_max([x.p FOR x IN h]) - 1 AS BIGINT) AS last_word,
+  array_to_string(list_sort(list_distinct([x.l FOR x IN h])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct([x.l FOR x IN h] || coalesce(ls, []))), ',') AS labels,
+  CAST(greatest(CASE WHEN len(h) > 0 THEN {license_scan.BASE_CONFIDENCE} ELSE 0 END, coalesce(c, 0)) AS DOUBLE) AS score
+FROM phrased LEFT JOIN rules USING (r)"""
+
+
 BASE = "base AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)"
 
 SECRETS = f"""
