@@ -24,20 +24,14 @@ def _static(spark, sf_dir):
         view(spark, sf_dir, "businesses"), view(spark, sf_dir, "users"), view(spark, sf_dir, "checkins"), view(spark, sf_dir, "tips"))
 
 
-def _run(spark, sf_dir, folder) -> train.Recommender:
-    rows = keep_table(temporal_split(view(spark, sf_dir, "interactions")), "split")
-    done = train.train_recommender(rows, _static(spark, sf_dir), DEFAULTS)
-    train.write_recommender(done, folder)
-    return done
-
-
 def _folder(spark, sf_dir) -> str:
     """The artifacts of a training run over these tables: whichever key comes first writes them, the others read."""
     name = hashlib.md5(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()
     folder = f"{shared_dir(spark)}/recommender-{name}"
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/comparison/_SUCCESS")
     if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
-        _run(spark, sf_dir, folder)
+        rows = keep_table(temporal_split(view(spark, sf_dir, "interactions")), "split")
+        train.write_recommender(train.train_recommender(rows, _static(spark, sf_dir), DEFAULTS), folder)
     return folder
 
 
@@ -53,18 +47,6 @@ def _frame(spark, sf_dir):
     return read_artifact(spark, f"{_folder(spark, sf_dir)}/test_frame")
 
 
-def train_recommender(spark, sf_dir):
-    """The whole run, whatever other keys have left."""
-    return canonical(_run(spark, sf_dir, f"{shared_dir(spark)}/recommender-{hashlib.md5(repr(object()).encode()).hexdigest()}").comparison)
-
-
-def train_ranker(spark, sf_dir):
-    """Early-stop NDCG per boosting round."""
-    rows = keep_table(temporal_split(view(spark, sf_dir, "interactions")), "split")
-    model = train.fit_ranker(rows.where("split = 'train'"), rows.where("split = 'valid'"), _static(spark, sf_dir), DEFAULTS)
-    return spark.createDataFrame(list(enumerate(model.history)), "round long, ndcg double")
-
-
 def _fit(history):
     return als.als_fit(history, DEFAULTS.als_factors, DEFAULTS.als_iterations, DEFAULTS.als_regularization, DEFAULTS.als_alpha)
 
@@ -102,8 +84,8 @@ CHECKS = {
     "als_candidates": Check(als_candidates),
     "als_score_pairs": Check(als_score_pairs),
     "inject_positives": Check(inject_positives),
-    "train_ranker": Check(train_ranker),
-    "train_recommender": Check(train_recommender),
+    "train_recommender": Check(_table("comparison")),
+    "train_ranker": Check(_table("model/history")),  # early-stop NDCG per boosting round
     "ranking_frame_als": Check(_table("test_frame")),
     "rank_als_two_stage": Check(lambda spark, sf_dir: canonical(c.rank_als(_frame(spark, sf_dir)))),
     "rank_ltr": Check(lambda spark, sf_dir: canonical(rank_by_model(_frame(spark, sf_dir), _model(spark, sf_dir)))),
