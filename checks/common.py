@@ -30,7 +30,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             F.lit("RestaurantsPriceRange2"), "attr_price",
             F.lit("RestaurantsTakeOut"), "attr_takeout",
             F.lit("RestaurantsDelivery"), "attr_delivery",
-        )).drop("attr_price", "attr_takeout", "attr_delivery")
+            F.lit("RestaurantsGoodForGroups"), "attr_groups",
+            F.lit("RestaurantsReservations"), "attr_reservations",
+            F.lit("BusinessAcceptsCreditCards"), "attr_cards",
+        )).drop("attr_price", "attr_takeout", "attr_delivery", "attr_groups", "attr_reservations", "attr_cards")
     return df
 
 

@@ -12,7 +12,8 @@ from palate.operators.cohort import temporal_split
 from palate.session import cut_lineage
 
 AMENITY_SQL = {
-    "b_takeout": "attr_takeout", "b_delivery": "attr_delivery", "b_groups": "NULL", "b_reservations": "NULL", "b_cards": "NULL",
+    "b_takeout": "attr_takeout", "b_delivery": "attr_delivery", "b_groups": "attr_groups",
+    "b_reservations": "attr_reservations", "b_cards": "attr_cards",
 }
 
 CTES["enriched"] = (("businesses",), """

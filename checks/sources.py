@@ -16,6 +16,9 @@ from palate.sources.artifacts import read_artifact, read_report, write_artifact,
 from palate.sources.schemas import REVIEW
 
 
+AS_OF_TIPS = "2024-01-15"
+
+
 def _as_json(spark: SparkSession, sf_dir: str, name: str) -> str:
     path = scratch_path(spark, name)
     view(spark, sf_dir, name).write.json(path)
@@ -28,6 +31,24 @@ def scan_jsonl(spark, sf_dir):
                       "useful", "funny", "cool")
 
 
+def scan_jsonl_first(spark, sf_dir):
+    return jsonl.scan_jsonl(spark, _as_json(spark, sf_dir, "raw_reviews"), REVIEW, 100, "review_id").select("review_id", "user_id", "stars")
+
+
+def load_reviews_first(spark, sf_dir):
+    return canonical(jsonl.load_reviews(spark, _as_json(spark, sf_dir, "raw_reviews"), 100).select("review_id", "stars"))
+
+
+def checkin_stats_as_of(spark, sf_dir):
+    stats = checkin_stats(view(spark, sf_dir, "checkins"), F.lit("2020-01-31").cast("timestamp"))
+    return canonical(stats.withColumn("last_checkin", micros(F.col("last_checkin"))))
+
+
+def tip_counts_as_of(spark, sf_dir):
+    tips = view(spark, sf_dir, "tips")
+    return canonical(tip_counts(tips, F.lit(AS_OF_TIPS).cast("timestamp")))
+
+
 def load_business(spark, sf_dir):
     df = jsonl.load_businesses(spark, _as_json(spark, sf_dir, "raw_businesses"))
     return canonical(df.drop("attributes", "hours"))
@@ -41,7 +62,7 @@ def load_reviews(spark, sf_dir):
 def load_users(spark, sf_dir):
     df = jsonl.load_users(spark, _as_json(spark, sf_dir, "raw_users"))
     return canonical(df.select("user_id", "name", "review_count", micros(F.col("signup_date")).alias("signup_us"),
-                               "fans", "average_stars", "is_elite"))
+                               "fans", "average_stars", "is_elite", "compliment_hot", "compliment_photos"))
 
 
 def load_tips(spark, sf_dir):
@@ -90,6 +111,16 @@ CHECKS = {
     "scan_jsonl": Check(scan_jsonl, compose(
         "SELECT review_id, user_id, business_id, stars, date, md5(text) AS text_md5, useful, funny, cool FROM raw_reviews",
         ["raw_reviews"])),
+    "scan_jsonl_first": Check(scan_jsonl_first, compose(
+        "SELECT review_id, user_id, stars FROM raw_reviews ORDER BY review_id LIMIT 100", ["raw_reviews"])),
+    "load_reviews_first": Check(load_reviews_first, compose(
+        "SELECT review_id, TRY_CAST(stars AS DOUBLE) AS stars FROM raw_reviews ORDER BY review_id LIMIT 100", ["raw_reviews"])),
+    "checkin_stats_as_of": Check(checkin_stats_as_of, compose("""
+        SELECT business_id, CAST(len(kept) AS BIGINT) AS checkin_count, epoch_us(CAST(kept[-1] AS TIMESTAMP)) AS last_checkin
+        FROM (SELECT business_id, [x FOR x IN string_split(coalesce(date, ''), ', ')
+                IF coalesce(TRY_CAST(x AS TIMESTAMP) <= TIMESTAMP '2020-01-31', false)] AS kept FROM checkins)""", ["checkins"])),
+    "tip_counts_as_of": Check(tip_counts_as_of, compose(
+        f"SELECT business_id, count(*) AS tip_count FROM tips WHERE date <= TIMESTAMP '{AS_OF_TIPS}' GROUP BY business_id", ["tips"])),
     "load_business": Check(load_business, compose("""
         SELECT business_id, name, city, state, TRY_CAST(stars AS DOUBLE) AS stars,
                TRY_CAST(review_count AS DOUBLE) AS review_count, TRY_CAST(is_open AS DOUBLE) AS is_open, categories,
@@ -103,7 +134,8 @@ CHECKS = {
     "load_users": Check(load_users, compose("""
         SELECT user_id, name, TRY_CAST(review_count AS DOUBLE) AS review_count,
                epoch_us(TRY_CAST(signup_date AS TIMESTAMP)) AS signup_us, TRY_CAST(fans AS DOUBLE) AS fans,
-               TRY_CAST(average_stars AS DOUBLE) AS average_stars,
+               TRY_CAST(average_stars AS DOUBLE) AS average_stars, TRY_CAST(compliment_hot AS DOUBLE) AS compliment_hot,
+               TRY_CAST(compliment_photos AS DOUBLE) AS compliment_photos,
                coalesce(trim(elite) NOT IN ('', 'nan'), false) AS is_elite
         FROM raw_users""", ["raw_users"])),
     "load_tips": Check(load_tips, compose("""

@@ -18,6 +18,9 @@ SELECT p_partkey AS business_id, p_name AS name, n_name AS city, r_name AS state
             WHEN 3 THEN '3.0' WHEN 4 THEN 'None' WHEN 5 THEN '4' ELSE concat('u', chr(39), '2', chr(39)) END AS attr_price,
        CASE p_partkey % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False' ELSE NULL END AS attr_takeout,
        CASE p_partkey % 4 WHEN 0 THEN ' true ' WHEN 1 THEN 'None' ELSE 'False' END AS attr_delivery,
+       CASE p_partkey % 6 WHEN 0 THEN 'TRUE' WHEN 1 THEN NULL ELSE 'no' END AS attr_groups,
+       CASE p_partkey % 10 WHEN 3 THEN 'True' ELSE 'False' END AS attr_reservations,
+       CASE WHEN p_partkey % 3 < 2 THEN 'true' ELSE '' END AS attr_cards,
        CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE CAST(25 + p_partkey % 200 AS DOUBLE) / 8 END AS latitude,
        CAST(0 - 70 - p_partkey % 300 AS DOUBLE) / 8 AS longitude
 FROM part JOIN nation ON n_nationkey = p_partkey % 25 JOIN region ON r_regionkey = n_regionkey
@@ -114,6 +117,8 @@ SELECT CAST(c_custkey AS VARCHAR(20)) AS user_id, c_name AS name,
             ELSE concat('201', CAST(c_custkey % 10 AS VARCHAR(1)), '-06-15 08:00:00') END AS signup_date,
        CASE c_mktsegment WHEN 'BUILDING' THEN '2019,2020' WHEN 'HOUSEHOLD' THEN '' WHEN 'MACHINERY' THEN ' nan '
             ELSE NULL END AS elite,
+       CASE WHEN c_custkey % 7 = 0 THEN 'some' ELSE CAST(c_custkey % 11 AS VARCHAR(2)) END AS compliment_hot,
+       CAST(c_custkey % 4 AS VARCHAR(1)) AS compliment_photos,
        CAST(c_nationkey AS VARCHAR(3)) AS fans, concat(CAST(1 + c_custkey % 5 AS VARCHAR(1)), '.5') AS average_stars
 FROM customer
 """

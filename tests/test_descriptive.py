@@ -61,3 +61,14 @@ def test_geo_sample_is_a_seeded_subset(spark):
     one, two = rows(d.geo_sample(df, 50), "business_id"), rows(d.geo_sample(df, 50), "business_id")
     assert one == two and len(one) == 50
     assert all(i % 5 for (i,) in one)
+
+
+def test_length_stats_of_one_dominant_star(spark):
+    """Most rows in one group, and the plan aggregates by (stars, length) before any group meets."""
+    from palate.operators import descriptive as d
+
+    lengths = [(5.0, "x" * (i % 37)) for i in range(2000)] + [(1.0, "y" * i) for i in range(4)] + [(1.0, None), (None, "z")]
+    df = spark.createDataFrame(lengths, "stars double, text string")
+    got = {r.stars: (r.avg_chars, r.median_chars, r.n_reviews) for r in d.review_length_stats(df).collect()}
+    five = sorted(i % 37 for i in range(2000))
+    assert got == {5.0: (round(sum(five) / 2000, 1), (five[999] + five[1000]) / 2, 2000), 1.0: (1.5, 1.5, 4)}

@@ -59,3 +59,15 @@ def test_text_helpers(spark):
 def test_round_half_even(spark):
     df = spark.createDataFrame([(0.25,), (0.75,), (-0.25,)], "x double")
     assert [r[0] for r in df.select(round_half_even(F.col("x"), 1)).collect()] == [0.2, 0.8, -0.2]
+
+
+def test_crowded_cells_are_cut_until_small(spark, monkeypatch):
+    """Nine tenths of the values crowd into a thousandth of the range: no task orders more than CELL_VALUES of them."""
+    from palate.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "CELL_VALUES", 20)
+    rng = np.random.default_rng(9)
+    values = np.concatenate([rng.random(900), 1000 * rng.random(100)])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    fractions = (0.0, 0.1, 0.5, 0.899, 0.95, 1.0)
+    assert np.allclose(list(exact_quantiles(df, F.col("v"), fractions, 1000.0).first()), np.quantile(values, fractions))
