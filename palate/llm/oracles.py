@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from palate.llm import license_rules, license_scan, pii, secrets
+from palate.llm import license_rules, license_scan, pii, secrets, sharding
 
 
 def re2(pattern: str) -> str:
@@ -138,3 +138,40 @@ reach AS (SELECT x, y FROM pairs UNION SELECT reach.x, pairs.y FROM reach JOIN p
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, min(t.doc_id)) AS component_id
 FROM sets s LEFT JOIN reach ON reach.x = s.r LEFT JOIN sets t ON t.r = reach.y GROUP BY s.r, s.doc_id, s.s
 """
+
+
+def shards_sql(shards: int = 16, seed: int = 7) -> str:
+    """Checksums by table and reduce, the Feistel rounds as nested selects, the cycle walk as a recursive query."""
+    word = "18446744073709551616"
+    table = "range(256)"
+    for _ in range(8):
+        table = f"[CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END FOR x IN {table}]"
+
+    def rounds(source: str) -> str:
+        select = f"SELECT row_no, n, half, low, place >> half AS l, place & low AS h FROM {source}"
+        for number in range(sharding.ROUNDS):
+            key = (seed * sharding.ROUNDS + number + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+            keep = "row_no, n, half, low, l, h"
+            select = f"SELECT {keep}, CAST((h::UHUGEINT + {key}::UHUGEINT) % {word}::UHUGEINT AS UBIGINT) AS m FROM ({select})"
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                select = (f"SELECT {keep}, CAST((xor(m, m >> {shift})::UHUGEINT * {factor}::UHUGEINT) % {word}::UHUGEINT AS UBIGINT) AS m "
+                          f"FROM ({select})")
+            select = f"SELECT row_no, n, half, low, h AS l, xor(l, xor(m, m >> 31) & low) AS h FROM ({select})"
+        return f"SELECT row_no, n, half, low, (l << half) | h AS place FROM ({select})"
+
+    return f"""
+WITH RECURSIVE crc AS (SELECT {table} AS t),
+rows AS MATERIALIZED (
+  SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+    CAST(xor(list_reduce([4294967295] || [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS BIGINT) AS text_crc32
+  FROM documents, crc),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY substr(md5(concat_ws('|', doc_id, size, text_crc32)), 1, {sharding.CELL_DIGITS}),
+    doc_id NULLS FIRST, size, text_crc32) - 1 AS row_no FROM rows),
+span AS (SELECT count(*) AS n, CAST(greatest(1, (length(bin(greatest(count(*) - 1, 1))) + 1) // 2) AS UBIGINT) AS half FROM rows),
+starts AS (SELECT row_no, n, half, (1::UBIGINT << half) - 1 AS low, CAST(row_no AS UBIGINT) AS place FROM numbered, span),
+walk AS ({rounds("starts")} UNION ALL {rounds("(SELECT * FROM walk WHERE place >= n)")})
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % {shards} AS INTEGER) AS shard, CAST(place // {shards} AS BIGINT) AS slot, row_no,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN walk USING (row_no) WHERE place < n"""

@@ -82,4 +82,4 @@ QUERIES = {
     "op10_feistel_shards": sharding_query,
 }
 
-ORACLES = {"op1_license_scan": oracles.license_sql(), "op4_pii": oracles.PERSONAL, "op7_secrets": oracles.SECRETS, "op8_jaccard_join": oracles.JACCARD}
+ORACLES = {"op1_license_scan": oracles.license_sql(), "op4_pii": oracles.PERSONAL, "op7_secrets": oracles.SECRETS, "op8_jaccard_join": oracles.JACCARD, "op10_feistel_shards": oracles.shards_sql()}

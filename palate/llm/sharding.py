@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from palate.llm.common import mix
 
 ROUNDS = 6
-CELLS = 4096
+CELL_DIGITS = 3  # hex digits of a hash that form a cell: 4,096 cells
 
 
 def feistel(numbers: np.ndarray, total: int, seed: int) -> np.ndarray:
@@ -41,16 +41,16 @@ def numbered_rows(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
     """
     celled = (
         docs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(CELLS)))
+        .withColumn("_cell", F.substring(F.md5(F.concat_ws("|", *keys)), 1, CELL_DIGITS))
     )
     earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         celled.groupBy("_cell").agg(F.sum("_copies").alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     )
-    sizes = offsets.collect()  # one row per cell, CELLS at most
+    sizes = offsets.collect()  # one row per cell
     total = sum(row["_n"] for row in sizes)
-    shifts = docs.sparkSession.createDataFrame([(row["_cell"], row["_offset"]) for row in sizes], "_cell long, _offset long")
+    shifts = docs.sparkSession.createDataFrame([(row["_cell"], row["_offset"]) for row in sizes], "_cell string, _offset long")
     inside = Window.partitionBy("_cell").orderBy(*[F.col(k).asc_nulls_first() for k in keys])
     last = F.sum("_copies").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     numbered = (
