@@ -48,7 +48,8 @@ def select_businesses(
         kept = dining.where(F.col("city").isin(list(cities)))
     else:
         # n_auto rows
-        kept = dining.join(F.broadcast(auto_cities(dining, n_auto).select("city")), "city", "left_semi")
+        cities = auto_cities(dining, n_auto).select("city")
+        kept = dining.join(cities if n_auto > BROADCAST_IDS else F.broadcast(cities), "city", "left_semi")
     return kept.withColumns({c: to_number(F.col(c)) for c in ("stars", "review_count")})
 
 

@@ -28,6 +28,10 @@ MIN_WORD_LENGTH = 3
 
 # -- businesses ---------------------------------------------------------------------------------
 
+# A cut to so many rows is broadcast.
+BROADCAST_ROWS = 100_000
+
+
 def top_categories(businesses: DataFrame, n: int = 20) -> DataFrame:
     category = F.explode(F.split("categories", ", "))
     return (
@@ -173,9 +177,10 @@ def top_reviewed_businesses(reviews: DataFrame, businesses: DataFrame, n: int =
         .groupBy("business_id").agg(F.count(F.lit(1)).alias("review_count"))
         .orderBy(F.desc("review_count"), "business_id").limit(n)
     )
-    # n rows: broadcasting the left side lets the business scan stay where it is
+    # few rows: broadcasting the left side lets the business scan stay where it is
+    ids = top.select("business_id")
     named = businesses.select("business_id", "name", "city", "stars").join(
-        F.broadcast(top.select("business_id")), "business_id", "left_semi"
+        F.broadcast(ids) if n <= BROADCAST_ROWS else ids, "business_id", "left_semi"
     )
     return top.join(named, "business_id", "left")
 

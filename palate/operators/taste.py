@@ -52,7 +52,6 @@ def recommend_by_taste(
         vectors.select(F.col("business_id").alias("item_id"), "vec"),
         k,
         exclude=interactions.select(F.col("user_id").alias("query_id"), F.col("business_id").alias("item_id")),
-        strategy="blocks",
     )
     details = businesses.select("business_id", "name", "city", "stars", "categories")
     return (
