@@ -22,7 +22,7 @@ LATIN_PATTERN = (
     r" ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]++|'(?:[stmd]|re|ve|ll)| ?[0-9]++| ?[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ɏ]++|\s+(?!\S)|\s+")
 # Pre-tokens up to this many bytes are remembered per Python worker, CACHE_ENTRIES at most at a time.
 CACHE_BYTES = 32
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 800_000
 
 
 def parse_ranks(content: bytes) -> dict[bytes, int]:
@@ -114,13 +114,15 @@ class Encoder(dict):
 
     def __init__(self, content: bytes, pattern: str):
         self.ranks = parse_ranks(content)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        token_of = {rank: token for token, rank in self.ranks.items()}
+        tokens = [token_of.get(rank, b"") for rank in range(max(token_of, default=-1) + 1)]
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(token) for token in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.width = max(64, int(len(self.ranks) ** 0.5) + 1)
         self.find = regex.compile(pattern).findall
         self.beyond_latin = re.compile(BEYOND_LATIN).search if pattern == PATTERN else None
         self.find_latin = re.compile(LATIN_PATTERN).findall
-        self.decoded = Remembered(self.tokens.__getitem__)
-        self.packed = Remembered(lambda i: i.to_bytes(4, "little"))
 
     def __missing__(self, piece: str) -> str:
         data = piece.encode("utf-8")
@@ -136,20 +138,11 @@ class Encoder(dict):
         latin = self.beyond_latin is not None and self.beyond_latin(text) is None
         return [self[piece] for piece in (self.find_latin if latin else self.find)(text)]
 
-
-class Remembered(dict):
-    """Decimal ids of a pre-token -> the joined bytes that a function gives for each id; short results are remembered."""
-
-    def __init__(self, values):
-        self.values_of = values
-
-    def __missing__(self, ids: str) -> bytes:
-        data = b"".join([self.values_of(int(i)) for i in ids.split(" ")])
-        if len(data) <= CACHE_BYTES:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[ids] = data
-        return data
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the tokens, gathered from all tokens laid end to end."""
+        sizes = self.sizes[ids]
+        shift = self.starts[ids] - (np.cumsum(sizes) - sizes)
+        return self.flat[np.arange(sizes.sum()) + np.repeat(shift, sizes)].tobytes()
 
 
 def worker_encoder(content: bytes, pattern: str) -> Encoder:
@@ -183,21 +176,22 @@ def encode_documents(
             arrays = [batch.column(i) for i in range(len(kept))]
             counts, first, second = [], [], []
             for value in batch.column(len(kept)):
-                pieces = encoder.pieces(value.as_py() or "")
-                ids = " ".join(pieces)
-                counts.append(ids.count(" ") + 1 if ids else 0)
+                text = value.as_py() or ""
+                decimal = " ".join(encoder.pieces(text))
+                ids = np.fromstring(decimal, np.int32, sep=" ") if decimal else np.zeros(0, np.int32)
+                counts.append(len(ids))
                 if digests:
-                    first.append(hashlib.sha256(ids.encode()).hexdigest())
-                    second.append(hashlib.sha256(b"".join([encoder.decoded[i] for i in pieces])).hexdigest())
+                    first.append(hashlib.sha256(decimal.encode()).hexdigest())
+                    second.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
                 else:
-                    first.append(b"".join([encoder.packed[i] for i in pieces]))
-                    second.append(b"".join([encoder.decoded[i] for i in pieces]) == (value.as_py() or "").encode())
+                    first.append(ids)
+                    second.append(encoder.decode(ids) == text.encode())
             made = [pa.array(counts, pa.int64())]
             if digests:
                 made += [pa.array(first, pa.string()), pa.array(second, pa.string())]
             else:
                 ids = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(np.frombuffer(b"".join(first), "<i4")))
+                    pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *first])))
                 made += [ids, pa.array(second, pa.bool_())]
             names = [f.name for f in kept] + ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "round_trip"])]
             yield pa.RecordBatch.from_arrays([*arrays, *made], names=names)
@@ -212,9 +206,9 @@ def decode_documents(encoded: DataFrame, path: str, columns: list[str], ids: str
     schema = fields_and(kept, "decoded string")
 
     def run(batches):
-        tokens = worker_encoder(ranks.value, PATTERN).tokens
+        encoder = worker_encoder(ranks.value, PATTERN)
         for batch in batches:
-            texts = [b"".join(tokens[i] for i in value.as_py() or []).decode("utf-8", "replace") for value in batch.column(len(kept))]
+            texts = [encoder.decode(np.array(value.as_py() or [], np.int64)).decode("utf-8", "replace") for value in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(kept))), pa.array(texts, pa.string())], names=[f.name for f in kept] + ["decoded"])
 
