@@ -10,8 +10,8 @@ from pyspark.sql.types import StructField
 
 from palate.llm.common import BASE, LOWER, VISIBLE, fields_and, map_batches, mix, release_model, sized_broadcast, text_slices, word_bounds, word_hashes, written
 
-# Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (16 MB).
-CELL_BITS = 27
+# Counts of shingles are kept per cell of this many hash bits; the twice-seen filter takes 2^CELL_BITS / 8 bytes (32 MB).
+CELL_BITS = 28
 RANGES = 1024
 # Only so many cells, the fullest, travel with their counts (12 bytes each) to order shingles.
 FULL_CELLS = 1 << 19
@@ -158,7 +158,10 @@ def prefix_table(docs: DataFrame, text: str, key: str, width: int, percent: int)
                 names=["key", "tk", "n", "uid", "gid", "tokens", "places"])
 
     schema = fields_and([StructField("key", docs.schema[key].dataType)], "tk long, n long, uid long, gid long, tokens array<long>, places array<int>")
-    return map_batches(docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text")), run, schema)
+    rows = docs.select(docs[key].alias("key"), F.xxhash64(docs[text]).alias("tk"), docs[text].alias("_text"))
+    table = written(map_batches(rows, run, schema), "prefixes")
+    model.destroy()  # nothing reads it again: the table is written
+    return table
 
 
 def list_array(lengths: list[int], parts: list[np.ndarray], kind) -> pa.ListArray:
@@ -237,7 +240,7 @@ def jaccard_components(
     the component; repeated rows and copies share it; null keys are ignored in it; an empty table gives no rows; other
     columns are ignored. Shingles and sets are compared by 64-bit hashes.
     """
-    table = written(prefix_table(docs, text, key, width, percent), "prefixes")
+    table = prefix_table(docs, text, key, width, percent)
     some = table.where("n > 0")
     groups = some.groupBy("gid", "n").agg(F.first(F.struct("tokens", "places")).alias("p"))
     tokens = groups.select("gid", "n", F.explode(F.arrays_zip("p.tokens", "p.places")).alias("t")).select(
