@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from palate.llm.common import ALNUM, fields_and, map_batches, release_model, text_slices, word_bounds, word_hashes
+from palate.llm.common import ALNUM, fields_and, map_batches, release_model, text_slices, word_bounds, word_hashes, written
 
 # Documents are summed up in blocks of STEP words; LONG and SHORT passages are compared with runs of so many words.
 STEP, LONG, SHORT = 8, 32, 16
@@ -25,6 +25,8 @@ RANK, OVERSAMPLE, POWERS = 320, 16, 1
 BLOCK = 400
 # A candidate's cosine; shares of a unit's words in common order that decide alone, or together with the answer.
 COSINE, SURE, POSSIBLE, ANSWER = 0.45, 0.8, 0.6, 0.6
+# Words whose document frequencies travel to the tasks (16 bytes each); rarer ones share the bound of those left out.
+TABLE = 1 << 18
 
 
 @dataclass
@@ -87,29 +89,65 @@ def marks_of(vocabulary: np.ndarray) -> np.ndarray:
     return marks
 
 
-def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
-    """In how many documents each word of the vocabulary occurs, over all documents (column _text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+@dataclass
+class Frequencies:
+    """In how many documents the corpus' more frequent words occur; every other word occurs in `least` at most."""
+    words: np.ndarray  # sorted hashes
+    counts: np.ndarray
+    least: int
+    total: int
+
+    def __post_init__(self):
+        self.known = np.append(np.log((self.total + 1) / (self.counts + 1)) + 1e-3, np.log((self.total + 1) / (self.least + 1)) + 1e-3)
+
+    def idf(self, hashes: np.ndarray) -> np.ndarray:
+        """Weights of words, whichever block or document they stand in; beyond the table the bound, so never too much."""
+        if not len(self.words):
+            return np.full(len(hashes), self.known[-1])
+        found = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return self.known[np.where(self.words[found] == hashes, found, len(self.words))]
+
 
+def document_frequencies(docs: DataFrame, limit: int = TABLE) -> Frequencies:
+    """Every word of all documents (column _text) is counted; the table holds at most `limit` of them, the most frequent."""
     def count(batches):
         release_model()
-        vocabulary, marks = shared.value, marks_of(shared.value)
-        totals = np.zeros(len(vocabulary), np.int64)
+        held, size = [], 0
+
+        def merged():
+            words, places = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+            counts = np.bincount(places, np.concatenate([n for _, n in held])).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
+
         for batch in batches:
             for _, _, raw, bounds in text_slices(batch.column(0)):
                 starts, ends, firsts = word_bounds(raw, bounds, ALNUM)
-                terms = term_numbers(word_hashes(raw, starts, ends), vocabulary, marks)
+                words, places = np.unique(word_hashes(raw, starts, ends), return_inverse=True)
                 rows = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-                pairs = np.unique(rows[terms >= 0] * len(vocabulary) + terms[terms >= 0])
-                totals += np.bincount(pairs % len(vocabulary), minlength=len(vocabulary))
-        met = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(totals[met], pa.int64())], names=["term", "n"])
-
-    out = np.zeros(len(vocabulary), np.int64)
-    counted = map_batches(docs.select("_text"), count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for row in counted.collect():  # one row per word of the block's vocabulary at most
-        out[row["term"]] = row["n"]
-    return out
+                pairs = np.unique(rows * len(words) + places)
+                if not len(words):
+                    continue
+                held.append((words, np.bincount(pairs % len(words), minlength=len(words))))
+                size += len(words)
+                if size > 1 << 21:
+                    yield merged()
+                    held, size = [], 0
+        if held:
+            yield merged()
+
+    total = docs.count()
+    counted = written(map_batches(docs.select("_text"), count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "frequencies")
+    least, kept = 0, 0
+    # distinct counts: at most the square root of twice the distinct (document, word) pairs
+    for row in sorted(counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["n"]):
+        kept += row["words"]
+        if kept > limit:
+            least = row["n"]
+            break
+    table = counted.where(F.col("n") > least).toPandas()  # `limit` rows of two numbers at most
+    words = table["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return Frequencies(words[order], table["n"].to_numpy(np.int64)[order], least, total)
 
 
 def summed(rows: DataFrame, work, shape: tuple[int, int]) -> np.ndarray:
@@ -177,8 +215,7 @@ def common_length(unit: np.ndarray, region: np.ndarray) -> int:
 class Index:
     """Everything a task needs to search documents for one block of passages."""
     vocabulary: np.ndarray
-    idf: np.ndarray
-    unknown: float
+    frequencies: Frequencies
     latent: np.ndarray  # idf-weighted latent vector of each word
     sides: list[tuple[int, np.ndarray, np.ndarray]]  # words in a run, passages as unit-free search rows, their units
     floor: float
@@ -197,8 +234,7 @@ class Index:
         known = np.flatnonzero(terms >= 0)
         if not len(known):
             return
-        weight = np.full(len(words), self.unknown ** 2)
-        weight[known] = self.idf[terms[known]] ** 2
+        weight = self.frequencies.idf(words) ** 2
         total = np.bincount(step, weight, minlength=offsets[-1])
         mass = np.bincount(step[known], weight[known], minlength=offsets[-1])
         owner = np.repeat(np.arange(len(counts)), steps)
@@ -259,12 +295,11 @@ class Index:
         self.marks = marks_of(self.vocabulary)
 
 
-def build_index(docs: DataFrame, units: Units, passages: list[tuple[int, np.ndarray]], total: int) -> Index:
+def build_index(docs: DataFrame, units: Units, passages: list[tuple[int, np.ndarray]], frequencies: Frequencies) -> Index:
     """TF-IDF of the passages with document frequencies of the whole corpus, their SVD, and the search rows."""
     spark = docs.sparkSession
     vocabulary = np.unique(np.concatenate([words for _, words in passages]))
-    frequencies = document_frequencies(docs, vocabulary)
-    idf = np.log((total + 1) / (frequencies + 1)) + 1e-3
+    idf = frequencies.idf(vocabulary)
     terms = [np.unique(np.searchsorted(vocabulary, words), return_counts=True) for _, words in passages]
     data = [([int(t) for t in t_], [float(w) for w in c * idf[t_]]) for t_, c in terms]
     rows = spark.createDataFrame(data, "terms array<int>, weights array<double>").repartition(max(1, len(data) // 128))
@@ -282,7 +317,7 @@ def build_index(docs: DataFrame, units: Units, passages: list[tuple[int, np.ndar
     sides = [(w, search[m], owners[m]) for w, m in ((SHORT, short), (LONG, ~short)) if m.any()]
     # no run with a smaller share of known weight reaches COSINE with any passage
     floor = COSINE ** 2 * float((kept / whole ** 2).min())
-    return Index(vocabulary, idf, float(np.log(total + 1)), latent.astype(np.float32), sides, floor, units)
+    return Index(vocabulary, frequencies, latent.astype(np.float32), sides, floor, units)
 
 
 def find_leaks(
@@ -291,7 +326,8 @@ def find_leaks(
 ) -> DataFrame:
     """(key, item, cosine, share, answered, first_word, last_word): benchmark items that documents hold.
 
-    Passages of the items are searched by cosine in a latent space of TF-IDF; a candidate is a leak if SURE of its unit's
+    Passages of the items are searched by cosine in a latent space of TF-IDF, all words of a run weighed by their document
+    frequency in the corpus, those of the block's vocabulary or not; a candidate is a leak if SURE of its unit's
     words occur in order near the place, or POSSIBLE of them together with the answer. One row per
     document row and item, of its best unit. Every run of words of every whole text is compared with every passage; the
     benchmark travels in blocks of BLOCK passages, one pass over the documents each. Null and empty texts hold nothing,
@@ -303,18 +339,18 @@ def find_leaks(
     schema = fields_and(
         [StructField("key", docs.schema[key].dataType), StructField("item", benchmark.schema[item].dataType)],
         "cosine double, share double, answered boolean, first_word long, last_word long")
-    total, out = None, docs.sparkSession.createDataFrame([], schema)
+    frequencies, out = None, docs.sparkSession.createDataFrame([], schema)
     held, block = [], 0
 
     def flush():
-        nonlocal out, total, held
+        nonlocal out, frequencies, held
         units = units_of(held, answer is not None)
         passages = list(passages_of(units))
         held = []
         if not passages:
             return
-        total = rows.count() if total is None else total
-        out = out.union(search(rows, build_index(rows, units, passages, total), schema))
+        frequencies = document_frequencies(rows) if frequencies is None else frequencies
+        out = out.union(search(rows, build_index(rows, units, passages, frequencies), schema))
 
     for row in benchmark.select(*columns).toLocalIterator():  # the driver holds one block at a time
         held.append(tuple(row))

@@ -1,9 +1,12 @@
 """Jaccard join, nearest neighbours and decontamination against brute force."""
 
+import collections
 import random
 import re
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from palate.llm import ann_hnsw, decontaminate, jaccard_join
 from tests.llm.cases import WORDS, awkward, no_rows
@@ -183,3 +186,36 @@ def test_blocks_of_passages_give_the_same_leaks(spark, sf_dir, monkeypatch):
     whole = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark).collect()}
     monkeypatch.setattr(decontaminate, "BLOCK", 40)
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, benchmark).collect()} == whole
+
+
+def test_document_frequencies_count_every_word(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.lower("text").alias("_text"))
+    counts = collections.Counter(w for r in docs.collect() for w in set(decontaminate.hashes_of(r[0] or "").tolist()))
+    whole = decontaminate.document_frequencies(docs, 1 << 20)
+    assert whole.least == 0 and dict(zip(whole.words.tolist(), whole.counts.tolist())) == counts
+    cut = decontaminate.document_frequencies(docs, 50)
+    table = dict(zip(cut.words.tolist(), cut.counts.tolist()))
+    assert 0 < len(table) <= 50 and table == {w: n for w, n in counts.items() if n > cut.least}
+    assert (cut.idf(whole.words) <= whole.idf(whole.words) + 1e-9).all()
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_leaks_of_common_words_stay_as_the_corpus_grows(spark, scale):
+    """Verbatim and reworded items of common words, among words that no item holds but documents do."""
+    rng = random.Random(9)
+    asked, other = ([f"{a}{b}" for a in WORDS for b in ends] for ends in (("", "s"), ("ing", "er", "est")))
+    items = [(i, " ".join(rng.choice(asked) for _ in range(10))) for i in range(12)]
+    docs = [" ".join(rng.choice(asked + other) for _ in range(120)) for _ in range(60)]
+    expected = set()
+    for i, text in items:
+        words = text.split()
+        for place, held in ((0, words), (1, words[:3] + [rng.choice(other)] + words[4:])):
+            expected.add((1000 + 2 * i + place, i))
+            docs.append((1000 + 2 * i + place, " ".join([*rng.choices(other, k=83), *held, *rng.choices(other, k=90)])))
+    rows = [d if isinstance(d, tuple) else (n, d) for n, d in enumerate(docs)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    grown = frame.crossJoin(spark.range(scale).withColumnRenamed("id", "copy")).select(
+        F.when(F.col("copy") == 0, F.col("doc_id")).otherwise(-1).alias("doc_id"), "text")
+    found = decontaminate.find_leaks(grown, spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.where("doc_id >= 1000").collect()}
+    assert expected <= got
