@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import re._parser as regex_parser
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,39 @@ def spaced(pattern: str) -> str:
     return re.sub(r"(\[[^\]]*\]|\\.)| ", lambda m: m[1] or f"(?:{GAP})", pattern)
 
 
+def mandatory(pattern: str) -> list[str]:
+    """Strings that every match of the pattern holds as they are."""
+    runs = [""]
+
+    def read(items):
+        for name, value in items:
+            name = str(name)
+            if name == "LITERAL":
+                runs[-1] += chr(value)
+            elif name == "SUBPATTERN":
+                read(value[3])
+            elif name != "AT":
+                runs.append("")
+                if name.endswith("_REPEAT") and value[0]:
+                    read(value[2])
+                    runs.append("")
+
+    read(regex_parser.parse(pattern))
+    return [run for run in runs if run]
+
+
+def filter_word(keyword: str, pattern: str) -> str:
+    """What a text must hold for the (spaced) pattern to match: the longest word of the keyword that every match holds, or
+    else the longest string that every match holds. A space can match any white space and comment marks, so none is in it."""
+    held = mandatory(pattern)
+    words = [word for word in keyword.split() if any(word in run for run in held)]
+    return max(words or held, key=len)
+
+
 def compiled_rules() -> list[tuple[str, int, bytes, re.Pattern]]:
     return worker_model("license_rules", lambda: [
-        (label, priority, keyword.encode(), re.compile(spaced(pattern).encode())) for label, priority, keyword, pattern in all_rules()])
+        (label, priority, filter_word(keyword, spaced(pattern)).encode(), re.compile(spaced(pattern).encode()))
+        for label, priority, keyword, pattern in all_rules()])
 
 
 def phrase_patterns() -> list[tuple[str, bytes, re.Pattern]]:

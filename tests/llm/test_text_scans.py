@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import re._parser as regex_parser
 import zlib
 
 from pyspark.sql import functions as F
@@ -69,6 +70,57 @@ def test_suppression_keeps_what_nothing_better_contains():
     assert license_scan.detections(low) == sorted((k[2], k[4], k[5], -k[0]) for k in kept)
 
 
+def one_match(items, rng):
+    """A text that the parsed pattern matches."""
+    out = ""
+    for name, value in items:
+        name = str(name)
+        if name == "LITERAL":
+            out += chr(value)
+        elif name in ("NOT_LITERAL", "ANY"):
+            out += "x"
+        elif name == "IN":
+            kinds = {"CATEGORY_WORD": "a", "CATEGORY_DIGIT": "2", "CATEGORY_SPACE": " "}
+            (first, what), plain = value[0], [chr(v) for n, v in value if str(n) == "LITERAL"]
+            out += "x" if str(first) == "NEGATE" else rng.choice(plain) if plain else kinds[str(what)]
+        elif name == "BRANCH":
+            out += one_match(rng.choice(value[1]), rng)
+        elif name == "SUBPATTERN":
+            out += one_match(value[3], rng)
+        elif name.endswith("_REPEAT"):
+            out += "".join(one_match(value[2], rng) for _ in range(rng.randint(value[0], min(value[1], value[0] + 1))))
+        else:
+            assert name == "AT"
+    return out
+
+
+def test_prefilter_loses_no_match_whatever_stands_between_words(monkeypatch):
+    """Against a scan without prefilter: every rule, its spaces one by one and together as line breaks and comment marks."""
+    rng, texts, filtered = random.Random(4), set(), license_scan.compiled_rules()
+    for (label, _, _, pattern), (_, _, keyword, compiled) in zip(license_rules.all_rules(), filtered):
+        for _ in range(3):
+            text = one_match(regex_parser.parse(pattern), rng)
+            breaks = [m.start() for m in re.finditer(" ", text)]
+            variants = [text[:at] + rng.choice(["\n * ", "\n# ", "  ", "\t"]) + text[at + 1:] for at in breaks]
+            for low in [text, text.replace(" ", "\n * "), text.replace(" ", "\n"), *variants]:
+                assert not compiled.search(low.encode()) or keyword in low.encode(), (label, low)
+                texts.add(low)
+    texts = sorted(texts)[::7]
+    got = [license_scan.detections(t.encode()) for t in texts]
+    monkeypatch.setattr(license_scan, "compiled_rules", lambda: [(label, p, b"", c) for label, p, _, c in filtered])
+    assert got == [license_scan.detections(t.encode()) for t in texts]
+
+
+def test_notices_wrapped_inside_a_keyword(spark):
+    texts = {
+        "under the GNU General\n * Public License, version 2": "gpl,gpl-2.0", 'distributed on an "AS\n# IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND': "apache-2.0",
+        "it is in the public\ndomain": "public-domain", "All rights\t reserved": "all-rights-reserved", "All rights are reserved": "all-rights-reserved"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(df, ["doc_id"]).collect()}
+    for number, labels in enumerate(texts.values()):
+        assert set(labels.split(",")) <= set(got[number].split(",")), got[number]
+
+
 def brute_phrases(piece, data):
     count = place = 0
     while place < len(piece):
