@@ -1,14 +1,14 @@
-"""Personal data: spans of protected entities, and the terms around them that corpus statistics show to reveal them.
+"""Personal data: spans of protected entities, and the terms of their texts that corpus statistics show to reveal them.
 
 Columns and SQL functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palate.llm.common import sized_broadcast, written
-from palate.llm.patterns import matches, no_spans, replaced, spans_of
+from palate.llm.patterns import no_spans, replaced, spans_of
 
 # Kinds in their listed order (fixed values); a pattern starts only where a match can start, so runs are read once.
 KINDS = ("email", "ip", "card", "phone")
@@ -18,8 +18,9 @@ CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 
-# Terms: words of four letters or more; those within CONTEXT characters of an entity may reveal it.
+# Terms: words of four letters or more; those anywhere in a text that holds an entity may reveal it.
 TERM = r"\p{L}[\p{L}\p{N}]{3,}+"
+# The SQL counterpart's reach of characters around an entity; the operator takes the whole text.
 CONTEXT = 120
 # A term goes if its mutual information with an entity is at least this share of the entity's own information,
 DISCLOSURE = 0.8
@@ -64,56 +65,73 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), value)
 
 
-def context_terms(text: Column, spans: Column) -> Column:
-    """Terms around each entity: array of (entity, term, start, end); none that overlaps an entity or leaves the context."""
-    def around(span):
-        left = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        right = F.least(span["end"] + CONTEXT, F.length(text))
-        inside = F.filter(matches(F.substring(text, left + 1, right - left), TERM), lambda m: (
-            ((m["start"] > 0) | (left == 0)) & ((m["end"] < right - left) | (right == F.length(text)))))
-        placed = F.transform(inside, lambda m: F.struct(
-            entity(span).alias("entity"), F.lower(m["found"]).alias("term"),
-            (m["start"] + left).alias("start"), (m["end"] + left).alias("end")))
-        return F.filter(placed, lambda m: ~F.exists(spans, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])))
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces for the characters of entities, so that places stay."""
+    def step(state, span):
+        start = F.greatest(span["start"], state["at"])
+        gap, blank = F.substring(text, state["at"] + 1, start - state["at"]), F.repeat(F.lit(" "), span["end"] - start)
+        moved = F.struct(span["end"].alias("at"), F.concat(state["out"], gap, blank).alias("out"))
+        return F.when(span["end"] > state["at"], moved).otherwise(state)
 
-    return F.array_distinct(F.flatten(F.transform(spans, around)))
+    return F.aggregate(
+        F.array_sort(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
 
 
-def disclosing(units: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(entity, term, share): pairs whose mutual information reaches DISCLOSURE of the entity's information.
+def words_of(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    share = ln(n_te * n / (n_t * n_e)) / ln(n / n_e), with n documents, n_e with the entity, n_t with the term anywhere
-    and n_te with the term in the entity's context. Counts cover all documents.
-    """
-    total = docs.count()
-    entities = units.select(F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"), "copies").groupBy(
-        "entity").agg(F.sum("copies").alias("n_e"))
-    pairs = (
-        units.select(F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("p"), "copies")
-        .groupBy("p.entity", "p.term").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts"))
-        .where(F.col("texts") >= SUPPORT)
-    )
-    pairs = written(pairs, "pairs")
-    wanted = written(pairs.select("term").distinct(), "terms")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0)))
-    terms = (
-        docs.select(F.explode(words).alias("term")).join(sized_broadcast(wanted), "term", "left_semi")
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    )
-    own = F.log(F.lit(float(total)) / F.col("n_e"))
-    shared = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
+
+def places_of(units: DataFrame) -> DataFrame:
+    """(_row, term, start, end) of every term of a text, places as running sums of lengths."""
+    between, found = F.split("_blank", TERM, -1), F.regexp_extract_all("_blank", F.lit(TERM), F.lit(0))
+    parts = F.transform(F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("found")), lambda p: F.struct(
+        F.length(p["gap"]).alias("gap"), F.length(p["found"]).alias("long"), F.lower(p["found"]).alias("term")))
+    end = F.sum(F.col("p.gap") + F.col("p.long")).over(Window.partitionBy("_row").orderBy("at")).cast("int")
     return (
-        pairs.join(terms, "term").join(entities, "entity").where(F.col("n_e") < total)
-        .select("entity", "term", (shared / own).alias("share")).where(F.col("share") >= DISCLOSURE)
+        units.select("_row", F.posexplode(parts).alias("at", "p")).withColumn("end", end)
+        .select("_row", "p.term", (F.col("end") - F.col("p.long")).alias("start"), "end")
     )
 
 
+def revealing_terms(units: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(_row, term): the terms of each text that disclose an entity of the text.
+
+    A pair discloses if its mutual information reaches DISCLOSURE of the entity's information: share = ln(n_te * n /
+    (n_t * n_e)) / ln(n / n_e), with n documents, n_e with the entity, n_t with the term and n_te with the entity and,
+    outside entities, the term. Counts cover all documents and whole texts. As n_te is n_e at most, only terms with
+    n_t <= n * (n_e / n) ** DISCLOSURE can disclose; pairs are made of those alone.
+    """
+    total = float(docs.count())
+    holders = units.select("_row", "copies", F.explode(F.array_distinct(F.transform("spans", entity))).alias("entity"))
+    entities = written(
+        holders.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("texts"))
+        .where((F.col("texts") >= SUPPORT) & (F.col("n_e") < total))
+        .select("entity", "n_e", (F.pow(F.col("n_e") / total, F.lit(DISCLOSURE)) * total * (1 + 1e-9)).alias("most")), "shared")
+    holders = written(holders.join(sized_broadcast(entities), "entity"), "holders")
+    widest = holders.groupBy("_row").agg(F.max("most").alias("widest"))
+    held = units.select("_row", "_blank").join(sized_broadcast(widest), "_row").select(
+        "_row", "widest", F.explode(words_of(F.col("_blank"))).alias("term"))
+    wanted = written(held.groupBy("term").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= SUPPORT).select("term"), "terms")
+    terms = written(
+        docs.select(F.explode(words_of(F.col(text))).alias("term")).join(sized_broadcast(wanted), "term", "left_semi")
+        .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "counts")
+    rare = held.join(sized_broadcast(terms), "term").where("n_t <= widest").select("_row", "term", "n_t")
+    met = written(rare.join(holders, "_row").where("n_t <= most").select("_row", "entity", "term", "copies", "n_t", "n_e"), "met")
+    own, shared = F.log(total / F.col("n_e")), F.log(F.col("n_te") * total / (F.col("n_t") * F.col("n_e")))
+    bad = written(
+        met.groupBy("entity", "term", "n_t", "n_e").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts"))
+        .where((F.col("texts") >= SUPPORT) & (shared / own >= DISCLOSURE)).select("entity", "term"), "pairs")
+    return met.join(sized_broadcast(bad), ["entity", "term"], "left_semi").select("_row", "term").distinct()
+
+
 def find_personal_data(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
     """`columns` of every row plus `spans`, array of (start, order, kind, end, found), by kind, then start.
 
-    Kinds are the entities' and 'term' for words that reveal an entity of the same text (see `disclosing`). Places are
-    code points, end exclusive. Null texts count as empty and have no spans; copies of a text share their spans and
-    count as one text in the support of a term; repeated rows stay; an empty table gives no rows.
+    Kinds are the entities' and 'term' for words that reveal an entity of the same text (see `revealing_terms`), at every
+    place of the text. Places are code points, end exclusive. Null texts count as empty and have no spans; copies of a text
+    share their spans and count as one text in the support of a term; repeated rows stay; an empty table gives no rows.
     """
     body = F.coalesce(docs[text], F.lit(""))
     rows = docs.select(*[docs[c] for c in columns], body.alias("_text")).withColumn("spans", base_spans(F.col("_text")))
@@ -121,16 +139,13 @@ def find_personal_data(docs: DataFrame, columns: list[str], text: str = "text")
         *columns, "spans",
         # rows without entities get keys too, so that the last join deals them out evenly
         F.when(F.size("spans") > 0, F.sha2("_text", 256)).otherwise(F.xxhash64("_text").cast("string")).alias("_row"),
-        F.when(F.size("spans") > 0, context_terms(F.col("_text"), F.col("spans"))).alias("terms")), "entities")
+        F.when(F.size("spans") > 0, blanked(F.col("_text"), F.col("spans"))).alias("_blank")), "entities")
     units = written(rows.where("size(spans) > 0").groupBy("_row").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("spans").alias("spans"), F.first("terms").alias("terms")), "units")
-    bad = disclosing(units, docs, text).select("entity", "term")
-    # the terms of a text meet the pairs as rows of their own, so that a common entity is spread over its texts
-    hits = (
-        units.select("_row", F.explode("terms").alias("t")).select("_row", "t.*").join(bad, ["entity", "term"])
-        .groupBy("_row").agg(F.array_sort(F.collect_set(F.struct(
-            "start", F.lit(len(KINDS)).alias("order"), F.lit("term").alias("kind"), "end", F.col("term").alias("found")))).alias("extra"))
-    )
+        F.count(F.lit(1)).alias("copies"), F.first("spans").alias("spans"), F.first("_blank").alias("_blank")), "units")
+    marked = written(revealing_terms(units, docs, text), "marked")
+    texts = units.join(sized_broadcast(marked.select("_row").distinct()), "_row", "left_semi")
+    hits = places_of(texts).join(marked, ["_row", "term"]).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
+        "start", F.lit(len(KINDS)).alias("order"), F.lit("term").alias("kind"), "end", F.col("term").alias("found")))).alias("extra"))
     return rows.join(hits, "_row", "left").select(
         *[F.col(c) for c in columns], F.concat("spans", F.coalesce("extra", no_spans())).alias("spans"))
 

@@ -255,6 +255,20 @@ def test_terms_that_reveal_an_entity_go(spark):
     assert out[12] == "money matter number 2 without a name"
 
 
+def test_terms_far_from_an_entity_and_every_mention_go(spark):
+    far = "money matter number " * 20
+    rows = [(i, f"Zanzibar {i} writes from anna@bank.example {far} again zanzibar, {far} quokka {i} end") for i in range(4)]
+    rows += [(10 + i, f"money matter number {i} writes from again without a name") for i in range(30)]
+    rows += [(50, "one +49 (30) 123-4567.8.9.10 entity over another, and a quokka"), (51, "x" * 30 + " nobody@alone.example solitary")]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"])
+    texts = dict(rows)
+    spans = {r.doc_id: [s for s in r.spans if s.kind == "term"] for r in found.collect()}
+    assert all(texts[d][s.start:s.end].lower() == s.found for d in spans for s in spans[d])
+    for i in range(4):
+        assert [s.found for s in spans[i]] == ["zanzibar", "zanzibar", "quokka"]
+    assert not any(spans[d] for d in spans if d >= 4)
+
+
 def test_registered_digests(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for query, brute in ((queries.pii_query, brute_entities), (queries.secrets_query, brute_secrets)):
