@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from palate.llm.common import mix
+from palate.llm.common import mix, sized_broadcast, written
+from palate.session import scratch_path
 
 ROUNDS = 6
 CELL_DIGITS = 3  # hex digits of a hash that form a cell: 4,096 cells
@@ -63,25 +66,65 @@ def numbered_rows(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
     return numbered, total
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's shard and slot: place p of its number in the shuffle gives shard p mod shards, slot p div shards.
-
-    Returns key, size (UTF-8 bytes + 1), text_crc32, law 'rows', shard, slot, row_no. Row counts of shards differ
-    by one at most and slots have no gaps. Null texts count as empty in size and checksum, null ids are a
-    value like any other, rows equal in key and text take different places, an empty table gives no
-    rows; other columns are ignored.
-    """
-    body = F.coalesce(F.col(text), F.lit(""))
+def placed_rows(docs: DataFrame, shards: int, seed: int, key: str, text: str) -> DataFrame:
+    """Every whole row as `_doc`, with shard, slot and row_no."""
+    body = F.coalesce(docs[text], F.lit(""))
+    keys = ["doc_id", "size", "crc", "hash"]
     rows = docs.select(
-        F.col(key).alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"))
-    numbered, total = numbered_rows(rows, ["doc_id", "size", "text_crc32"])
+        docs[key].alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("crc"),
+        F.xxhash64(*[docs[c] for c in docs.columns]).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    numbered, total = numbered_rows(rows.select(*keys[:3]), keys[:3])
+    # one number range per (doc_id, size, crc); inside it rows of different content by their hash, in slices, so that no
+    # task holds a hot key's rows
+    first = numbered.groupBy(*keys[:3]).agg(F.min("row_no").alias("first"))
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).withColumn("slice", F.pmod("hash", F.lit(4096)))
+    slices = counted.groupBy(*keys[:3], "slice").agg(F.sum("copies").alias("n"))
+    before = Window.partitionBy(*keys[:3]).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    inside = Window.partitionBy(*keys[:3], "slice").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("inside", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+
+    def same(left, right, names):
+        return functools.reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+
+    starts = (
+        slices.join(first, same(slices, first, keys[:3])).select(*[slices[k] for k in keys[:3]], "slice", (F.col("first") + F.col("before")).alias("base")))
+    starts = counted.join(starts, same(counted, starts, [*keys[:3], "slice"])).select(
+        *[counted[k] for k in keys], "copies", (F.col("base") + F.col("inside")).alias("start"))
+    starts = written(starts, "starts")
+    once, more = starts.where("copies = 1"), starts.where("copies > 1")
+    single = rows.join(once, same(rows, once, keys)).select("_doc", F.col("start").alias("row_no"))
+    # equal rows are counted before they are dealt out; rows that only share the hash follow each other
+    kept = rows.join(sized_broadcast(more), same(rows, more, keys)).groupBy("_doc", "start").agg(F.count(F.lit(1)).alias("copies"))
+    upto = Window.partitionBy("start").orderBy("_doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = kept.withColumn("last", F.col("start") + F.sum("copies").over(upto) - 1)
+    repeated = last.select("_doc", F.explode(F.sequence(F.col("last") - F.col("copies") + 1, F.col("last"))).alias("row_no"))
 
     @F.pandas_udf("long")
     def place(numbers: pd.Series) -> pd.Series:
         return pd.Series(feistel(numbers.to_numpy(), total, seed))
 
-    return numbered.withColumn("_place", place("row_no")).select(
-        F.col("doc_id").alias(key), "size", "text_crc32", F.lit("rows").alias("law"),
-        (F.col("_place") % shards).cast("int").alias("shard"), F.floor(F.col("_place") / shards).cast("long").alias("slot"),
-        "row_no")
+    return single.union(repeated).withColumn("_place", place("row_no")).select(
+        "_doc", (F.col("_place") % shards).cast("int").alias("shard"), F.floor(F.col("_place") / shards).cast("long").alias("slot"), "row_no")
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The shards as Parquet under `path`, a folder per shard, of whole rows (`_doc`) with slot and row_no; read again."""
+    placed = placed_rows(docs, shards, seed, key, text)
+    placed.write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Digests of the shards, which are written with whole rows: place p of a row's number in the shuffle gives shard
+    p mod shards, slot p div shards.
+
+    Returns key, size (UTF-8 bytes + 1), text_crc32, law 'rows', shard, slot, row_no, derived from the written texts. Row
+    counts of shards differ by one at most and slots have no gaps. Null texts count as empty in size and checksum, null ids
+    are a value like any other, equal rows take different places, an empty table gives no rows.
+    """
+    held = write_shards(docs, scratch_path(docs.sparkSession, "shards"), shards, seed, key, text)
+    body = F.coalesce(F.col("_doc")[text], F.lit(""))
+    return held.select(
+        F.col("_doc")[key].alias(key), (F.octet_length(body) + 1).cast("long").alias("size"),
+        F.crc32(body.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", "row_no")

@@ -92,6 +92,19 @@ def test_shards_are_even_gapless_and_repeatable(spark, sf_dir):
     assert sharding.shard_documents(no_rows(spark)).count() == 0
 
 
+def test_written_shards_hold_whole_rows(spark, tmp_path):
+    rows = [(1, "same", "a"), (1, "same", "b"), (1, "same", "b"), (None, None, "c"), (None, "", "d"), (None, None, "c")]
+    rows += [(i, f"text {i}", "e") for i in range(10, 60)] + [(7, "hot", "f")] * 300 + [(8, "warm", str(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    held = sharding.write_shards(df, str(tmp_path / "shards"), shards=4).collect()
+    assert sorted(map(repr, (tuple(r["_doc"]) for r in held))) == sorted(map(repr, rows))
+    assert sorted(r.row_no for r in held) == list(range(len(rows))) and len({(r.shard, r.slot) for r in held}) == len(rows)
+    assert sorted(p.name for p in (tmp_path / "shards").glob("shard=*")) == [f"shard={n}" for n in range(4)]
+    digests = {(r.doc_id, r.size, r.text_crc32, r.shard, r.slot, r.row_no) for r in sharding.shard_documents(df, shards=4).collect()}
+    assert digests == {(r["_doc"].doc_id, len((r["_doc"].text or "").encode()) + 1, zlib.crc32((r["_doc"].text or "").encode()),
+                        r.shard, r.slot, r.row_no) for r in held}
+
+
 def auc(scores, labels):
     good, bad = ([s for s, label in zip(scores, labels) if label == value] for value in (1, 0))
     return np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
