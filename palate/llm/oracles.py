@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from palate.llm import license_rules, license_scan, pii, secrets, sharding
+from palate.llm import common, license_rules, license_scan, merkle, pii, secrets, sharding, winnowing
 
 
 def re2(pattern: str) -> str:
@@ -175,3 +175,113 @@ walk AS ({rounds("starts")} UNION ALL {rounds("(SELECT * FROM walk WHERE place >
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % {shards} AS INTEGER) AS shard, CAST(place // {shards} AS BIGINT) AS slot, row_no,
   CAST(NULL AS INTEGER) AS grown_shard
 FROM numbered JOIN walk USING (row_no) WHERE place < n"""
+
+
+WORD = 2 ** 64
+
+
+def wrapped(expression: str) -> str:
+    return f"CAST(({expression}) % {WORD}::UHUGEINT AS UBIGINT)"
+
+
+def fingerprint_sql() -> str:
+    """Runs' hashes by Horner's rule over the following characters, windows by a moving minimum of (hash, place from the right)."""
+    gram, window, base = winnowing.GRAM, winnowing.WINDOW, int(common.BASE)
+    following = ", ".join(f"lead(code, {n}) OVER w AS c{n}" for n in range(1, gram))
+    steps = "SELECT *, CAST(code + 1 AS UBIGINT) AS h0 FROM ahead WHERE place < greatest(n - {0}, 1)".format(gram - 1)
+    for n in range(1, gram):
+        step = wrapped(f"h{n - 1}::UHUGEINT * {base}::UHUGEINT + c{n}::UHUGEINT + 1::UHUGEINT")
+        steps = f"SELECT * EXCLUDE (h{n - 1}), CASE WHEN c{n} IS NULL THEN h{n - 1} ELSE {step} END AS h{n} FROM ({steps})"
+    mixed = f"SELECT text_id, place, n, h{gram - 1} AS h FROM ({steps})"
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        step = wrapped(f"xor(h, h >> {shift})::UHUGEINT * {factor}::UHUGEINT")
+        mixed = f"SELECT text_id, place, n, {step} AS h FROM ({mixed})"
+    return f"""
+WITH firsts AS MATERIALIZED (SELECT DISTINCT doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS m FROM documents),
+ordered AS MATERIALIZED (
+  SELECT *, length(t) AS n, coalesce(lead(t) OVER o, first_value(t) OVER o) AS next
+  FROM firsts WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, m DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+edited AS MATERIALIZED (
+  SELECT *, substr(t, 1, CAST(n - n // 2 AS BIGINT)) || substr(next, 1, CAST(n // 2 AS BIGINT)) AS e, md5(next) AS next_id FROM ordered),
+texts AS MATERIALIZED (
+  SELECT md5(t) AS text_id, any_value(t) AS t FROM (SELECT t FROM edited UNION ALL SELECT e FROM edited) GROUP BY 1),
+places AS (
+  SELECT text_id, n, unnest(range(n)) AS place, unnest(cs) AS code FROM (
+    SELECT text_id, CAST(length(t) AS BIGINT) AS n, [unicode(c) FOR c IN regexp_extract_all(t, '(?s).')] AS cs FROM texts)),
+ahead AS (SELECT *, {following} FROM places WINDOW w AS (PARTITION BY text_id ORDER BY place)),
+hashed AS (SELECT text_id, place, greatest(n - {gram - 1}, 1) AS runs, least(xor(h, h >> 31), {WORD - 2}::UBIGINT) AS h FROM ({mixed})),
+least_ones AS (
+  SELECT text_id, place, runs, min((h::UHUGEINT << 32) + (4294967295 - place)::UHUGEINT) OVER (
+    PARTITION BY text_id ORDER BY place ROWS BETWEEN CURRENT ROW AND {window - 1} FOLLOWING) AS best FROM hashed),
+chosen AS (SELECT DISTINCT text_id, best FROM least_ones WHERE place <= greatest(runs - {window}, 0)),
+split AS (SELECT text_id, CAST(best >> 32 AS UBIGINT) AS h, CAST(4294967295 - CAST(best & 4294967295::UHUGEINT AS BIGINT) AS BIGINT) AS place FROM chosen),
+printed AS MATERIALIZED (
+  SELECT text_id, string_agg(printf('%016x:%08x', h, place), ',' ORDER BY place) AS f, list(DISTINCT h) AS hs FROM split GROUP BY text_id),
+met AS (
+  SELECT r.doc_id, r.m, CAST(r.n AS BIGINT) AS n_chars, sha256(r.e) AS edited_sha256, coalesce(a.f, '') AS fingerprint,
+    coalesce(b.f, '') AS edited_fingerprint, coalesce(a.hs, []) AS x, coalesce(b.hs, []) AS y, coalesce(c.hs, []) AS z
+  FROM edited r LEFT JOIN printed a ON a.text_id = r.m LEFT JOIN printed b ON b.text_id = md5(r.e) LEFT JOIN printed c ON c.text_id = r.next_id)
+SELECT d.doc_id, met.n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  CASE WHEN len(x) + len(y) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(x, y))::DOUBLE / (len(x) + len(y) - len(list_intersect(x, y))) END AS near_edited,
+  CASE WHEN len(x) + len(z) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(x, z))::DOUBLE / (len(x) + len(z) - len(list_intersect(x, z))) END AS near_next
+FROM documents d JOIN met ON d.doc_id IS NOT DISTINCT FROM met.doc_id AND md5(coalesce(d.text, '')) = met.m"""
+
+
+def manifest_sql(levels: int = 7) -> str:
+    """Levels one after the other, for at most 8 ** `levels` rows of a language and so many languages."""
+    fan = merkle.FAN
+
+    def field(column: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || {column}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256({})".format(" || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars")) + f" || {field(text)}")
+
+    def tree(name: str, leaves: str) -> str:
+        """Nodes of every level of the trees (g) over leaves (g, i, d), finished trees once more on each later level."""
+        parts = [f"{name}0 AS MATERIALIZED ({leaves})"]
+        for level in range(levels):
+            parts.append(f"""{name}{level + 1} AS MATERIALIZED (
+  SELECT g, i // {fan} AS i, CASE WHEN max(n) = 1 THEN max(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {name}{level}) GROUP BY g, i // {fan})""")
+        return ",\n".join(parts)
+
+    def climb(first: str, name: str, group: str, place: str, carried: str) -> tuple[str, str]:
+        """One CTE per level, and the last one's name: rows' siblings on the left (a) and right (b), their digests so far (p) and the folded value (f)."""
+        parts, before = [], first
+        for level in range(levels):
+            node = f"""
+  SELECT r.* EXCLUDE (p, f), r.p || coalesce(string_agg(s.d, '' ORDER BY s.i), '') AS p,
+    CASE WHEN any_value(k.n) = 1 THEN r.f ELSE sha256(coalesce(string_agg(s.d, '' ORDER BY s.i) FILTER (WHERE s.i < r.{place} // {fan ** level}), '') || r.f ||
+      coalesce(string_agg(s.d, '' ORDER BY s.i) FILTER (WHERE s.i > r.{place} // {fan ** level}), '')) END AS f
+  FROM {before} r JOIN (SELECT g, count(*) AS n FROM {name}{level} GROUP BY g) k ON k.g = r.{group}
+  LEFT JOIN {name}{level} s ON s.g = r.{group} AND s.i // {fan} = r.{place} // {fan ** (level + 1)} AND s.i <> r.{place} // {fan ** level}
+  GROUP BY {carried}, r.p, r.f"""
+            before = f"{first}_{level}"
+            parts.append(f"{before} AS MATERIALIZED ({node})")
+        return ",\n".join(parts), before
+
+    table = "range(256)"
+    for _ in range(8):
+        table = f"[CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END FOR x IN {table}]"
+    carried = "r.r, r.doc_id, r.leaf, r.g, r.i, r.top"
+    inner, after = climb("start", "node", "g", "i", carried)
+    outer, last = climb("middle", "crown", "top", "g", carried)
+    return f"""
+WITH crc AS (SELECT {table} AS t),
+hashed AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, lang, {leaf("text")} AS leaf, {leaf("shown")} AS shown FROM (
+    SELECT *, CASE WHEN xor(list_reduce([4294967295] || [CAST('0x' || x AS BIGINT) FOR x IN regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..')],
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 3 = 0
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS shown FROM documents, crc)),
+placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM hashed),
+{tree("node", "SELECT g, i, leaf AS d FROM placed")},
+{tree("crown", f"SELECT 0 AS g, g AS i, d FROM node{levels}")},
+start AS (SELECT r, doc_id, leaf, g, i, 0 AS top, '' AS p, shown AS f FROM placed),
+{inner},
+middle AS (SELECT * FROM {after}),
+{outer}
+SELECT doc_id, leaf, n.d AS subroot, c.d AS root, sha256(p) AS proof_sha256, f AS folded_root, f = c.d AS verified
+FROM {last} l JOIN node{levels} n ON n.g = l.g, crown{levels} c"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from palate.llm import ann_hnsw, bpe, decontaminate, importance, jaccard_join, language_id, license_scan, oracles, pii, secrets, sharding
+from palate.llm import ann_hnsw, bpe, decontaminate, importance, jaccard_join, language_id, license_scan, merkle, oracles, pii, secrets, sharding, whitening, winnowing
 from palate.llm.common import joined_spans, table
 
 
@@ -69,6 +69,22 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprint_sequence(table(spark, sf_dir, "documents"))
+
+
+def manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    return merkle.manifest(docs, presented={"text": text}).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_license_scan": license_query,
     "op2_hnsw": nearest_query,
@@ -80,6 +96,12 @@ QUERIES = {
     "op8_jaccard_join": jaccard_query,
     "op9_byte_bpe": bpe_query,
     "op10_feistel_shards": sharding_query,
+    "op11_winnowing": fingerprint_query,
+    "op12_merkle_manifest": manifest_query,
+    "op13_jacobi_davidson": whitening_query,
 }
 
-ORACLES = {"op1_license_scan": oracles.license_sql(), "op4_pii": oracles.PERSONAL, "op7_secrets": oracles.SECRETS, "op8_jaccard_join": oracles.JACCARD, "op10_feistel_shards": oracles.shards_sql()}
+ORACLES = {
+    "op1_license_scan": oracles.license_sql(), "op4_pii": oracles.PERSONAL, "op7_secrets": oracles.SECRETS, "op8_jaccard_join": oracles.JACCARD,
+    "op10_feistel_shards": oracles.shards_sql(), "op11_winnowing": oracles.fingerprint_sql(), "op12_merkle_manifest": oracles.manifest_sql(),
+}
