@@ -111,12 +111,14 @@ def analyse(items) -> tuple[set[str] | None, frozenset]:
             if found is not None and (least, most) == (0, 1):
                 options = found | {""}
             elif least:
+                inner = asked if found is None else from_strings(found)
                 if found is not None and len(found) ** least <= MOST_STRINGS:
-                    options_now = {"".join(c) for c in itertools.product(found, repeat=least)}
-                    strings = {a + b for a in strings for b in options_now} if len(strings) * len(options_now) <= MOST_STRINGS else strings
+                    repeated = {"".join(c) for c in itertools.product(found, repeat=least)}
+                    if len(strings) * len(repeated) > MOST_STRINGS:
+                        flush()
+                    strings = {a + b for a in strings for b in repeated}
                     if least == most:
                         continue
-                inner = asked
         elif name in ("AT", "ASSERT", "ASSERT_NOT"):
             continue
         if options is not None and len(options) * len(strings) <= MOST_STRINGS:
@@ -164,19 +166,20 @@ def scan_secrets(docs: DataFrame, columns: list[str], text: str = "text", rules:
 
     Places are code points, end exclusive; matches of a rule are leftmost and do not overlap, those its condition
     rejects are dropped. A rule with mandatory trigrams is tried only on rows whose postings satisfy its query, others
-    on every row. Null texts count as empty and have no spans; repeated rows stay; an empty table gives no rows.
+    on every row. Null texts count as empty and have no spans; repeated rows stay; an empty table gives no rows. A kept
+    column named `spans` gives way to the result, other names cannot clash. A very long text is matched as a whole.
     """
     queries = [trigram_query(rule.pattern) for rule in rules]
     vocabulary = sorted({t for query in queries for clause in query for t in clause})
-    rows = docs.select(
-        *[docs[c] for c in columns], F.coalesce(docs[text], F.lit("")).alias("_text")).withColumn("_row", F.xxhash64("_text"))
+    kept = F.struct(*[docs[c] for c in columns if c != "spans"]).alias("_kept")
+    rows = docs.select(kept, F.coalesce(docs[text], F.lit("")).alias("_text")).withColumn("_row", F.xxhash64("_text"))
     found = written(candidates(postings(rows, "_row", "_text", vocabulary), "_row", rules), "candidates")
     joined = rows.join(sized_broadcast(found), "_row", "left")
     arrays = []
     for number, (rule, query) in enumerate(zip(rules, queries)):
         spans = spans_of(F.col("_text"), rule.kind, number, rule.pattern, rule.keep, rule.group)
         arrays.append(spans if query == ANY else F.when(F.array_contains("rules", number), spans).otherwise(no_spans()))
-    return joined.select(*[F.col(c) for c in columns], F.array_sort(F.concat(*arrays)).alias("spans"))
+    return joined.select("_kept.*", F.array_sort(F.concat(*arrays)).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
