@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField
 
 from palate.llm.common import ALNUM, LOWER, VISIBLE, fields_and, map_batches, mix, text_slices, word_bounds, word_hashes, written
@@ -14,7 +14,7 @@ BUCKETS = 1 << 16
 SMOOTHING = 1.0
 # Bound of the labelled sample that the target model is fitted on; models and weights cover all documents.
 TARGET_ROWS = 20_000
-# Features of a typical text that a log ratio per feature is scaled to, so that length alone does not decide.
+# Features of a text whose mean log ratio the score is the logistic of.
 TYPICAL = 64.0
 
 MARKS = VISIBLE & ~ALNUM  # what is neither white space nor part of a word
@@ -35,12 +35,17 @@ def features(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate([rows, rows[inner]]), buckets.astype(np.int64)
 
 
+def hashed(key: Column) -> Column:
+    """A number for keys of any type; equal keys of different types, such as 7 and '7', are the same key."""
+    return F.xxhash64(key.cast("string"))
+
+
 def target_rows(labels: DataFrame, key: str, label: str) -> np.ndarray:
-    """Keys of at most about TARGET_ROWS rows labelled 1, chosen by a hash of the key: what the target model is fitted on."""
-    good = labels.where((F.col(label) == 1) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"))
+    """Keys (hashed) of at most about TARGET_ROWS rows labelled 1, chosen by that hash: what the target model is fitted on."""
+    good = labels.where((labels[label] == 1) & labels[key].isNotNull()).select(hashed(labels[key]).alias("key"))
     steps = 1 << 30
     share = min(1.0, TARGET_ROWS / max(1, good.count()))
-    chosen = good.where(F.pmod(F.xxhash64("key"), F.lit(steps)) < int(steps * share)).distinct()
+    chosen = good.where(F.pmod("key", F.lit(steps)) < int(steps * share)).distinct()
     return np.sort(chosen.toPandas()["key"].to_numpy(np.int64))
 
 
@@ -100,24 +105,28 @@ def importance_weights(docs: DataFrame, ratio: np.ndarray, key: str, text: str)
 
 def resample(
     docs: DataFrame, labels: DataFrame, share: float = 0.5, seed: int = 11, key: str = "doc_id", text: str = "text", label: str = "quality",
+    per_features: float | None = None,
 ) -> DataFrame:
     """Every row's importance for text like the target's, and whether a sample of `share` of the rows holds it.
 
-    Returns key, n_features, log_weight, score (0 to 1: logistic of the mean log ratio per feature), gumbel_key and
-    selected. Raw counts cover all documents; the target's are of at most about TARGET_ROWS labelled rows. The sample is
-    the top k of mean ratio scaled to a typical length plus Gumbel noise, a draw without replacement by importance; the
-    noise is a hash of key, text and seed. Its cut is found from counts, so k is met up to ties, which stay together.
+    Returns key, n_features, log_weight, score (0 to 1: logistic of TYPICAL mean log ratios), gumbel_key and selected.
+    Raw counts cover all documents; the target's are of at most about TARGET_ROWS labelled rows. The sample is the top
+    k of log_weight, the log ratio of the two models' probabilities of the text, plus Gumbel noise: a draw without
+    replacement by importance. With `per_features` every text counts as if it had so many features, so that length does not
+    decide. The noise is a hash of key, text and seed. Its cut is found from counts, so k is met up to ties, which stay together.
     Null texts and those of white space have weight 0 and score 0.5, repeated rows share their draw, null keys match no
-    label, without labelled rows the target is uniform, an empty table gives no rows; other columns are ignored.
+    label, without labelled rows the target is uniform, an empty table gives no rows; other columns are ignored, keys may
+    have any type that casts to a string. A very long text takes memory in proportion to its own length.
     """
     body = F.coalesce(docs[text], F.lit(""))
-    keyed = docs.select(docs[key].cast("long").alias("key"), body.alias("_text"))
+    keyed = docs.select(F.when(docs[key].isNotNull(), hashed(docs[key])).alias("key"), body.alias("_text"))
     raw, target = bucket_counts(keyed, target_rows(labels, key, label))
     marked = docs.select(docs[key], docs[text]).withColumn("_both", F.struct(
         docs[key], F.xxhash64(docs[key], docs[text], F.lit(seed)).alias("noise")))
     weights = importance_weights(marked, log_ratio(raw, target), "_both", text)
     uniform = (F.pmod(F.col("key.noise"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    scored = weights.withColumn("gumbel_key", F.col("mean_ratio") * TYPICAL + -F.log(-F.log(uniform)))
+    weight = F.col("log_weight") if per_features is None else F.col("mean_ratio") * per_features
+    scored = weights.withColumn("gumbel_key", weight - F.log(-F.log(uniform)))
     scored = written(scored, "weights")
     total = scored.count()
     cut = smallest_kept(scored, "gumbel_key", int(total * share), total)
