@@ -16,6 +16,8 @@ BUILD_BREADTH = 64
 SEARCH_BREADTH = 128
 QUERY_BLOCK = 1024
 EXPANDED = 4
+# Nodes that an upper layer hands down to the search, so that clusters the layers above cut off are reached.
+ENTRIES = 8
 
 
 class Graph:
@@ -113,6 +115,34 @@ def build_graph(vectors: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndar
     return levels, np.concatenate([layer.ravel() for layer in layers]), entry
 
 
+def frame(vectors: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """Powers of two and a centre that bring the vectors to entries of at most 1 around zero, in `framed`.
+
+    Distances within are those of the vectors times one factor, so that neither their scale nor a common offset takes digits.
+    """
+    def power(block):
+        most = float(np.abs(block).max(initial=0))
+        return 2.0 ** -min(1000, max(-1000, np.frexp(most)[1])) if most else 1.0
+
+    first = power(vectors)
+    centre = (vectors * first).mean(axis=0)
+    return first, centre, power(vectors * first - centre)
+
+
+def framed(vectors: np.ndarray, scale: float, centre: np.ndarray, second: float) -> np.ndarray:
+    return (vectors * scale - centre) * second
+
+
+def euclidean(differences: np.ndarray) -> np.ndarray:
+    """Lengths of the rows; extreme ones are squared after scaling."""
+    most = np.abs(differences).max(initial=0)
+    if most == 0 or 1e-120 < most < 1e120:
+        return np.sqrt((differences ** 2).sum(axis=1))
+    with np.errstate(over="ignore"):
+        scale = 2.0 ** -np.clip(np.frexp(np.abs(differences).max(axis=1))[1], -1000, 1000).astype(float)
+        return np.sqrt(((differences * scale[:, None]) ** 2).sum(axis=1)) / scale
+
+
 def layer_views(levels: np.ndarray, flat: np.ndarray) -> list[np.ndarray]:
     count, out, at = len(levels), [], 0
     for layer in range(int(levels.max()) + 1):
@@ -123,12 +153,15 @@ def layer_views(levels: np.ndarray, flat: np.ndarray) -> list[np.ndarray]:
 
 
 def search_graph(queries: np.ndarray, vectors: np.ndarray, layers: list[np.ndarray], entry: int, breadth: int) -> list[list[int]]:
-    """Per query the nodes found, nearest first by the build's single-precision distance."""
+    """Per query the nodes found, nearest first; all nodes, if the beam can hold them."""
     graph, out = Graph(vectors), []
     for query in queries:
+        if len(vectors) <= breadth:
+            out.append(np.argsort(graph.norms - 2 * (vectors @ query), kind="stable").tolist())
+            continue
         entries = np.array([entry])
         for layer in range(len(layers) - 1, 0, -1):
-            entries, _ = graph.beam(query, layers[layer], entries, 1)
+            entries, _ = graph.beam(query, layers[layer], entries, ENTRIES)
         out.append(graph.beam(query, layers[0], entries, breadth)[0].tolist())
     return out
 
@@ -164,7 +197,7 @@ def build_index(rows: DataFrame, key: str, vector: str, k: int, shard_rows: int
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("first").reset_index(drop=True)
         vectors = np.array(part["v"].tolist())
-        levels, neighbours, entry = build_graph(vectors.astype(np.float32))
+        levels, neighbours, entry = build_graph(framed(vectors, *frame(vectors)))
         return pd.DataFrame({
             "shard": [part["shard"].iloc[0]], "dim": [vectors.shape[1]], "members": [[list(k) for k in part["keys"]]],
             "vectors": [vectors.tobytes()], "levels": [levels.tolist()], "neighbours": [neighbours.tobytes()], "entry": [entry]})
@@ -198,10 +231,11 @@ def search_index(index: DataFrame, queries: DataFrame, key: str, vector: str, k:
                 levels = np.asarray(row.levels)
                 layers = layer_views(levels, np.frombuffer(row.neighbours, np.int32))
                 wanted = np.array([q["v"] for q in row.asked])
-                found = search_graph(wanted.astype(np.float32), vectors.astype(np.float32), layers, row.entry, max(breadth, 2 * k + 2))
+                inner = frame(vectors)
+                found = search_graph(framed(wanted, *inner), framed(vectors, *inner), layers, row.entry, max(breadth, 2 * k + 2))
                 out = []
                 for one, exact, nodes in zip(row.asked, wanted, found):
-                    scores = np.sqrt(((vectors[nodes] - exact) ** 2).sum(axis=1)).tolist()
+                    scores = euclidean(vectors[nodes] - exact).tolist()
                     hits = [(s, m) for s, n in zip(scores, nodes) for m in row.members[n] if m != one["query"]]
                     out += [(one["query"], m, s) for s, m in sorted(hits)[:k]]
                 yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
@@ -219,8 +253,10 @@ def nearest_neighbours(
     """The k nearest rows of every query, approximately: see `build_index` and `search_index`.
 
     Null, empty and zero vectors and those with null, NaN or infinite components take no part, as rows or queries.
-    Ties go to the smaller key; repeated rows count once; fewer than k candidates are all returned if the search
-    reaches them; an empty table gives no rows; other columns are ignored. Keys are longs, not null.
+    Ties go to the smaller key; repeated rows count once; fewer candidates than the beam are all seen, so all of them are
+    returned if they are no more than k; an empty table gives no rows; other columns are ignored. Keys are longs, not null.
+    Distances are computed in double precision, in a frame that takes scale and common offset out; scores on the vectors
+    as they are.
     """
     keyed = rows.where(F.col(key).isNotNull())
     return search_index(build_index(keyed, key, vector, k, shard_rows), queries.where(F.col(key).isNotNull()), key, vector, k, breadth)
