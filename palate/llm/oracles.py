@@ -12,6 +12,10 @@ def re2(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def placed_matches(source: str, columns: str, rules: list[tuple[int, str, str, int]], text: str = "t") -> str:
     """(columns, o, k, s, e, f) of all matches of (order, kind, pattern, group) rules in source.text."""
     parts = " UNION ALL ".join(
@@ -46,8 +50,8 @@ def license_sql() -> str:
     rules = [(number, rule, re2(license_scan.spaced(rule[3]))) for number, rule in enumerate(license_rules.all_rules())]
     found = " UNION ALL ".join(
         f"SELECT r, {number} AS o, {priority} AS k, '{label}' AS l, regexp_extract_all(t, {p}) AS w, string_split_regex(t, {p}) AS g "
-        f"FROM texts WHERE contains(t, '{keyword}') AND regexp_matches(t, {p})"
-        for number, (label, priority, keyword, _), p in rules)
+        f"FROM texts WHERE contains(t, {quoted(license_scan.filter_word(keyword, license_scan.spaced(pattern)))}) AND regexp_matches(t, {p})"
+        for number, (label, priority, keyword, pattern), p in rules)
     sure = " ".join(f"WHEN {priority} THEN {value}" for priority, value in license_scan.CONFIDENCE.items())
     return f"""
 WITH texts AS MATERIALIZED (
@@ -98,18 +102,16 @@ spans0 AS MATERIALIZED (
     ELSE length(d) BETWEEN 13 AND 19 AND list_sum([CASE
       WHEN i % 2 = 1 THEN CAST(d[length(d) - i + 1] AS INT) WHEN CAST(d[length(d) - i + 1] AS INT) > 4
       THEN 2 * CAST(d[length(d) - i + 1] AS INT) - 9 ELSE 2 * CAST(d[length(d) - i + 1] AS INT) END FOR i IN range(1, length(d) + 1)]) % 10 = 0 END),
-around AS (
-  SELECT r, t, entity, greatest(s - {pii.CONTEXT}, 0) AS a, least(e + {pii.CONTEXT}, length(t)) AS z, length(t) AS size,
-    substring(t, CAST(greatest(s - {pii.CONTEXT}, 0) + 1 AS BIGINT), CAST(least(e + {pii.CONTEXT}, length(t)) - greatest(s - {pii.CONTEXT}, 0) AS BIGINT)) AS c
-  FROM spans0 JOIN base USING (r)),
-words AS ({placed_matches("around", "r, t, entity, a, z, size", [(4, "term", re2(pii.TERM), 0)], "c")}),
-near AS MATERIALIZED (
-  SELECT DISTINCT r, t, entity, lower(f) AS term, s + a AS s, e + a AS e FROM words w
-  WHERE (s > 0 OR a = 0) AND (e < z - a OR z = size)
-    AND NOT EXISTS (SELECT 1 FROM spans0 x WHERE x.r = w.r AND x.s < w.e + w.a AND w.s + w.a < x.e)),
+blanked AS MATERIALIZED (
+  SELECT r, t, array_to_string([CASE WHEN len([x FOR x IN ss IF x.s < i AND i <= x.e]) > 0 THEN ' ' ELSE cs[i] END FOR i IN range(1, len(cs) + 1)], '') AS b
+  FROM (SELECT r, t, regexp_extract_all(t, '(?s).') AS cs FROM base)
+  JOIN (SELECT r, list({{'s': s, 'e': e}}) AS ss FROM spans0 GROUP BY r) USING (r)),
+words AS ({placed_matches("blanked", "r, t", [(4, "term", re2(pii.TERM), 0)], "b")}),
+near AS MATERIALIZED (SELECT r, t, lower(f) AS term, s, e FROM words),
+held AS (SELECT DISTINCT r, entity FROM spans0),
 total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM base),
 entities AS (SELECT entity, count(DISTINCT r) AS n_e FROM spans0 GROUP BY entity),
-pairs AS (SELECT entity, term, count(DISTINCT r) AS n_te FROM near GROUP BY entity, term HAVING count(DISTINCT t) >= {pii.SUPPORT}),
+pairs AS (SELECT entity, term, count(DISTINCT r) AS n_te FROM near JOIN held USING (r) GROUP BY entity, term HAVING count(DISTINCT t) >= {pii.SUPPORT}),
 terms AS (
   SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), {re2(pii.TERM)}))) AS term FROM base)
   GROUP BY term),
@@ -118,7 +120,7 @@ bad AS (
   WHERE n_e < n AND ln(n_te * n / (n_t * n_e)) / ln(n / n_e) >= {pii.DISCLOSURE}),
 spans AS (
   SELECT r, o, k, s, e FROM spans0
-  UNION ALL SELECT DISTINCT r, 4, 'term', s, e FROM near JOIN bad USING (entity, term))
+  UNION ALL SELECT DISTINCT r, 4, 'term', s, e FROM near JOIN held USING (r) JOIN bad USING (entity, term))
 {digest(counts(pii.KINDS), "o, s", "o < 4")}
 """
 

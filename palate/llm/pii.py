@@ -20,8 +20,6 @@ OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]
 
 # Terms: words of four letters or more; those anywhere in a text that holds an entity may reveal it.
 TERM = r"\p{L}[\p{L}\p{N}]{3,}+"
-# The SQL counterpart's reach of characters around an entity; the operator takes the whole text.
-CONTEXT = 120
 # A term goes if its mutual information with an entity is at least this share of the entity's own information,
 DISCLOSURE = 0.8
 # estimated from at least so many different texts.
