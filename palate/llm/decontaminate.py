@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -9,6 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
@@ -74,19 +76,28 @@ def passages_of(units: Units) -> Iterator[tuple[int, np.ndarray]]:
             yield number, words[begin:begin + LONG]
 
 
-def term_numbers(hashes: np.ndarray, vocabulary: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """Places in the sorted vocabulary, -1 for other words; `marks` has the vocabulary's top 20 bits."""
-    out = np.full(len(hashes), -1, np.int64)
-    likely = np.flatnonzero(marks[hashes >> np.uint64(44)])
-    found = np.minimum(np.searchsorted(vocabulary, hashes[likely]), len(vocabulary) - 1)
-    out[likely] = np.where(vocabulary[found] == hashes[likely], found, -1)
-    return out
+class Lookup:
+    """Places of hashes in a sorted table, len(table) for others: a directory by the top bits, then a step or few."""
 
+    def __init__(self, table: np.ndarray):
+        self.table = np.append(table, np.uint64(2 ** 64 - 1))
+        self.shift = np.uint64(64 - min(20, max(1, len(table).bit_length() + 1)))
+        cells = np.arange((1 << (64 - int(self.shift))) + 1)
+        self.begin = np.searchsorted(table >> self.shift, cells).astype(np.int32)
+        self.most = int(np.diff(self.begin).max(initial=0))
 
-def marks_of(vocabulary: np.ndarray) -> np.ndarray:
-    marks = np.zeros(1 << 20, bool)
-    marks[vocabulary >> np.uint64(44)] = True
-    return marks
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        cells = (hashes >> self.shift).astype(np.int64)
+        place, end = self.begin[cells], self.begin[cells + 1]
+        out = np.full(len(hashes), len(self.table) - 1, np.int32)
+        open_ = np.flatnonzero(place < end)
+        for _ in range(self.most):
+            at = place[open_]
+            met = self.table[at] == hashes[open_]
+            out[open_[met]] = at[met]
+            place[open_] += 1
+            open_ = open_[~met & (place[open_] < end[open_])]
+        return out
 
 
 @dataclass
@@ -96,16 +107,21 @@ class Frequencies:
     counts: np.ndarray
     least: int
     total: int
+    counted: DataFrame | None = None  # the whole table (word, n) in the shared folder
 
     def __post_init__(self):
         self.known = np.append(np.log((self.total + 1) / (self.counts + 1)) + 1e-3, np.log((self.total + 1) / (self.least + 1)) + 1e-3)
 
     def idf(self, hashes: np.ndarray) -> np.ndarray:
         """Weights of words, whichever block or document they stand in; beyond the table the bound, so never too much."""
-        if not len(self.words):
-            return np.full(len(hashes), self.known[-1])
-        found = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return self.known[np.where(self.words[found] == hashes, found, len(self.words))]
+        return self.known[Lookup(self.words)(hashes)]
+
+    def exact(self, spark, hashes: np.ndarray) -> np.ndarray:
+        """Weights of a block's vocabulary by their own counts, however rare they are in the corpus."""
+        own = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "word long")
+        met = {r["word"]: r["n"] for r in self.counted.join(F.broadcast(own), "word").collect()}  # a block's words at most
+        counts = np.array([met.get(int(h), 0) for h in hashes.view(np.int64)])
+        return np.log((self.total + 1) / (counts + 1)) + 1e-3
 
 
 def document_frequencies(docs: DataFrame, limit: int = TABLE) -> Frequencies:
@@ -147,7 +163,7 @@ def document_frequencies(docs: DataFrame, limit: int = TABLE) -> Frequencies:
     table = counted.where(F.col("n") > least).toPandas()  # `limit` rows of two numbers at most
     words = table["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
-    return Frequencies(words[order], table["n"].to_numpy(np.int64)[order], least, total)
+    return Frequencies(words[order], table["n"].to_numpy(np.int64)[order], least, total, counted)
 
 
 def summed(rows: DataFrame, work, shape: tuple[int, int]) -> np.ndarray:
@@ -197,7 +213,7 @@ def randomised_svd(rows: DataFrame, width: int, rank: int, seed: int = 3) -> np.
 
 
 def common_length(unit: np.ndarray, region: np.ndarray) -> int:
-    """Length of the longest common subsequence, one machine-word operation per region word (bit-parallel)."""
+    """Length of the longest common subsequence, one machine-word operation per region word of the unit (bit-parallel)."""
     places: dict[int, int] = {}
     for place, word in enumerate(unit.tolist()):
         places[word] = places.get(word, 0) | 1 << place
@@ -211,33 +227,39 @@ def common_length(unit: np.ndarray, region: np.ndarray) -> int:
     return len(unit) - row.bit_count()
 
 
-@dataclass
 class Index:
     """Everything a task needs to search documents for one block of passages."""
-    vocabulary: np.ndarray
-    frequencies: Frequencies
-    latent: np.ndarray  # idf-weighted latent vector of each word
-    sides: list[tuple[int, np.ndarray, np.ndarray]]  # words in a run, passages as unit-free search rows, their units
-    floor: float
-    units: Units
+
+    def __init__(self, vocabulary: np.ndarray, weights: np.ndarray, frequencies: Frequencies, axes: np.ndarray, sides: list, floor: float, units: Units):
+        size, words = len(vocabulary), np.union1d(vocabulary, frequencies.words)
+        terms = np.minimum(np.searchsorted(vocabulary, words), size - 1)
+        known = vocabulary[terms] == words
+        self.lookup, self.size = Lookup(words), size
+        # per word of the table, and last for any other one: its term (`size`: not in the vocabulary) and squared weight
+        self.terms = np.append(np.where(known, terms, size), size).astype(np.int32)
+        self.squares = np.append(np.where(known, weights[terms], frequencies.idf(words)), frequencies.known[-1]) ** 2
+        self.latent = (weights[:, None] * axes).astype(np.float32)  # idf-weighted latent vector of each term
+        self.sides = sides  # words in a run, passages as unit-free search rows, their units
+        self.floor, self.units = floor, units
+        self.unit_terms = [np.searchsorted(vocabulary, words) for words in units.words]
 
     def hits(self, raw: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, float, bool, int, int]]:
         """(row, unit, cosine, share in order, answer found, first word, last word + 1) of verified candidates."""
         starts, ends, firsts = word_bounds(raw, bounds, ALNUM)
         words = word_hashes(raw, starts, ends)
-        terms = term_numbers(words, self.vocabulary, self.marks)
+        places = self.lookup(words)
+        terms, weight = self.terms[places], self.squares[places]
         counts = np.diff(firsts)
         steps = -(-counts // STEP)
         offsets = np.concatenate([[0], np.cumsum(steps)])
-        rows = np.repeat(np.arange(len(counts)), counts)
-        step = offsets[rows] + (np.arange(len(words)) - firsts[rows]) // STEP
-        known = np.flatnonzero(terms >= 0)
-        if not len(known):
-            return
-        weight = self.frequencies.idf(words) ** 2
-        total = np.bincount(step, weight, minlength=offsets[-1])
-        mass = np.bincount(step[known], weight[known], minlength=offsets[-1])
         owner = np.repeat(np.arange(len(counts)), steps)
+        # the first word of every step: a row's steps follow each other
+        begins = firsts[owner] + (np.arange(offsets[-1]) - offsets[owner]) * STEP
+        known = terms < self.size
+        if not known.any():
+            return
+        total = np.add.reduceat(weight, begins)
+        mass = np.add.reduceat(np.where(known, weight, 0), begins)
 
         def over(values, run):
             # sums over `run` steps of one row; runs at a row's end are shorter
@@ -254,13 +276,12 @@ class Index:
             runs.append((width, search, numbers, hopeful, np.sqrt(norms)))
             for ahead in range(width // STEP):
                 needed[hopeful + ahead] = True
-        slots = np.where(needed, np.cumsum(needed) - 1, -1)
-        here = known[needed[step[known]]]
-        if not len(here):
+        needed = np.flatnonzero(needed[:offsets[-1]])
+        if not len(needed):
             return
-        sums = np.zeros((int(needed.sum()) + 1, self.latent.shape[1]), np.float32)  # the last row stays zero
-        edges = np.flatnonzero(np.diff(step[here], prepend=-1))
-        sums[slots[step[here[edges]]]] = np.add.reduceat(self.latent[terms[here]], edges, axis=0)
+        slots = np.full(offsets[-1] + LONG, -1)
+        slots[needed] = np.arange(len(needed))
+        sums = self.projected(terms, begins[needed], np.append(begins, len(words))[needed + 1])
         owner = np.concatenate([owner, np.full(LONG, -1)])
         candidates: dict[tuple[int, int], list] = {}
         for width, search, numbers, hopeful, lengths in runs:
@@ -268,18 +289,29 @@ class Index:
                 part = hopeful[begin:begin + 2048]
                 vectors = sums[slots[part]]
                 for ahead in range(1, width // STEP):
-                    vectors = vectors + sums[np.where(owner[part + ahead] == owner[part], slots[part + ahead], -1)]
+                    vectors += sums[np.where(owner[part + ahead] == owner[part], slots[part + ahead], -1)]
+                # no cosine is larger than what the projection keeps of the run's length
+                likely = np.einsum("ij,ij->i", vectors, vectors) >= self.floor * lengths[part] ** 2
+                part, vectors = part[likely], vectors[likely]
                 cosines = (vectors @ search.T) / lengths[part][:, None]
                 for at, passage in zip(*np.nonzero(cosines >= COSINE)):
                     place = int(part[at])
                     candidates.setdefault((int(owner[place]), int(numbers[passage])), []).append(
                         (-float(cosines[at, passage]), (place - int(offsets[owner[place]])) * STEP, width))
+        present = np.zeros(self.size + 1, bool)
         for (row, unit), found in sorted(candidates.items()):
-            own, answer = self.units.words[unit], self.units.answers[unit]
+            own, answer, own_terms = self.units.words[unit], self.units.answers[unit], self.unit_terms[unit]
             best = None
             for cosine, begin, width in sorted(found):
                 first = int(firsts[row]) + max(0, begin - len(own))
                 last = min(int(firsts[row + 1]), int(firsts[row]) + begin + width + len(own))
+                near = terms[first:last]
+                # words of the unit that stand near the place at all: no common subsequence is longer
+                present[near] = True
+                most = int(present[own_terms].sum()) / len(own)
+                present[near] = False
+                if most < POSSIBLE or best is not None and most <= best[3]:
+                    continue
                 region = words[first:last]
                 share = common_length(own, region) / len(own)
                 if best is not None and share <= best[3]:
@@ -288,18 +320,26 @@ class Index:
                 best = (row, unit, -cosine, share, answered, first - int(firsts[row]), last - int(firsts[row]))
                 if share >= SURE:
                     break
-            if best[3] >= SURE or best[3] >= POSSIBLE and best[4]:
+            if best is not None and (best[3] >= SURE or best[3] >= POSSIBLE and best[4]):
                 yield best
 
-    def __post_init__(self):
-        self.marks = marks_of(self.vocabulary)
+    def projected(self, terms: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Sums of the latent vectors of steps of words; the last row stays zero."""
+        sums = np.zeros((len(begins) + 1, self.latent.shape[1]), np.float32)
+        places = begins[:, None] + np.arange(STEP)
+        inside = np.where(places < ends[:, None], terms[np.minimum(places, len(terms) - 1)], self.size)
+        inside.sort(axis=1)  # words outside the vocabulary go last
+        for column in inside.T:
+            rows = np.flatnonzero(column < self.size)
+            sums[rows] += self.latent[column[rows]]
+        return sums
 
 
 def build_index(docs: DataFrame, units: Units, passages: list[tuple[int, np.ndarray]], frequencies: Frequencies) -> Index:
     """TF-IDF of the passages with document frequencies of the whole corpus, their SVD, and the search rows."""
     spark = docs.sparkSession
     vocabulary = np.unique(np.concatenate([words for _, words in passages]))
-    idf = frequencies.idf(vocabulary)
+    idf = frequencies.exact(spark, vocabulary)
     terms = [np.unique(np.searchsorted(vocabulary, words), return_counts=True) for _, words in passages]
     data = [([int(t) for t in t_], [float(w) for w in c * idf[t_]]) for t_, c in terms]
     rows = spark.createDataFrame(data, "terms array<int>, weights array<double>").repartition(max(1, len(data) // 128))
@@ -317,7 +357,7 @@ def build_index(docs: DataFrame, units: Units, passages: list[tuple[int, np.ndar
     sides = [(w, search[m], owners[m]) for w, m in ((SHORT, short), (LONG, ~short)) if m.any()]
     # no run with a smaller share of known weight reaches COSINE with any passage
     floor = COSINE ** 2 * float((kept / whole ** 2).min())
-    return Index(vocabulary, frequencies, latent.astype(np.float32), sides, floor, units)
+    return Index(vocabulary, idf, frequencies, axes, sides, floor, units)
 
 
 def find_leaks(
@@ -330,9 +370,10 @@ def find_leaks(
     frequency in the corpus, those of the block's vocabulary or not; a candidate is a leak if SURE of its unit's
     words occur in order near the place, or POSSIBLE of them together with the answer. One row per
     document row and item, of its best unit. Every run of words of every whole text is compared with every passage; the
-    benchmark travels in blocks of BLOCK passages, one pass over the documents each. Null and empty texts hold nothing,
-    null or wordless items are never found, repeated rows and copies all appear, an empty table or benchmark gives no
-    rows; other columns are ignored.
+    benchmark travels in blocks of about BLOCK passages (an item is never cut), one pass over the documents each, whose
+    leaks are written before the next. Null and empty texts hold nothing, null or wordless items are never found,
+    repeated rows and copies all appear, an empty table or benchmark gives no rows; other columns are ignored, whatever
+    their names. A very long text is searched in one piece, with memory in proportion to its own length.
     """
     columns = [benchmark[item], benchmark[item_text], *([benchmark[answer]] if answer else [])]
     rows = docs.select(docs[key].alias("key"), F.lower(F.coalesce(docs[text], F.lit(""))).alias("_text"))
@@ -363,11 +404,13 @@ def find_leaks(
 
 
 def search(rows: DataFrame, index: Index, schema: StructType) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    """The index's leaks in all rows, written. It travels as bytes that hold its classes, so workers need no copy of them."""
+    shared = rows.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
     kind = to_arrow_type(schema["item"].dataType)
 
     def run(batches):
-        index = shared.value
+        release_model()
+        index = pickle.loads(shared.value)
         for batch in batches:
             keys, found = batch.column(0), []
             for first, _, raw, bounds in text_slices(batch.column(1)):
@@ -384,4 +427,6 @@ def search(rows: DataFrame, index: Index, schema: StructType) -> DataFrame:
                 if found else [keys[:0], pa.array([], kind), *(pa.array([], t) for t in types)],
                 names=["key", "item", "cosine", "share", "answered", "first_word", "last_word"])
 
-    return map_batches(rows, run, schema)
+    leaks = written(map_batches(rows, run, schema), "leaks")
+    shared.destroy()
+    return leaks
