@@ -1,8 +1,12 @@
 """Jaccard join, nearest neighbours and decontamination against brute force."""
 
 import collections
+import os
+import pathlib
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -219,3 +223,75 @@ def test_leaks_of_common_words_stay_as_the_corpus_grows(spark, scale):
     found = decontaminate.find_leaks(grown, spark.createDataFrame(items, "item_id long, text string"))
     got = {(r.doc_id, r.item_id) for r in found.where("doc_id >= 1000").collect()}
     assert expected <= got
+
+
+def test_reworded_items_are_found(spark):
+    """Rewordings that keep the operator's own rule (share in order, answer) among whole documents: nearly all are found."""
+    rng = random.Random(12)
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    fillers = [w for _, text in docs[:200] for w in text.split()]
+    units = decontaminate.units_of([(r.item_id, r.text) for r in benchmark.collect()], False)
+    texts = {r.item_id: r.text.split() for r in benchmark.collect()}
+    planted, expected = [], set()
+    for number in range(240):
+        item = rng.choice(sorted(texts))
+        changed, rate = [], rng.uniform(0.1, 0.38)
+        for word in texts[item]:
+            move = rng.choice(("drop", "replace", "insert")) if rng.random() < rate else "keep"
+            changed += {"drop": [], "replace": [rng.choice(fillers)], "insert": [word, rng.choice(fillers)], "keep": [word]}[move]
+        around = rng.choice(docs)[1].split()[:300]
+        cut = rng.randrange(len(around) + 1)
+        key = 10_000_000 + number
+        planted.append((key, " ".join([*around[:cut], *changed, *around[cut:]])))
+        region = decontaminate.hashes_of(" ".join(changed))
+        for own, words, answer in zip(units.items, units.words, units.answers):
+            if own == item:
+                share = decontaminate.common_length(words, region) / len(words)
+                answered = decontaminate.common_length(answer, region) >= decontaminate.ANSWER * len(answer)
+                if share >= decontaminate.SURE or share >= decontaminate.POSSIBLE and answered:
+                    expected.add((key, item))
+    frame = spark.createDataFrame(docs + planted, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame, benchmark).where("doc_id >= 10000000").collect()}
+    assert len(expected) > 100 and len(expected & got) >= 0.98 * len(expected)
+
+
+def test_block_vocabulary_is_weighed_by_exact_frequencies(spark):
+    docs = spark.createDataFrame([(f"common word{n % 7} rare{n}",) for n in range(50)], "_text string")
+    frequencies = decontaminate.document_frequencies(docs, 3)  # the table holds few of the words
+    words = np.unique(np.concatenate([decontaminate.hashes_of(t) for t in ("common word3 rare4 nowhere",)]))
+    exact = dict(zip(words.tolist(), frequencies.exact(spark, words)))
+    for word, count in (("common", 50), ("word3", 7), ("rare4", 1), ("nowhere", 0)):
+        assert exact[int(decontaminate.hashes_of(word)[0])] == pytest.approx(np.log(51 / (count + 1)) + 1e-3)
+
+
+def test_lookup_finds_every_hash():
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 2, 50, 5_000):
+        table = np.unique(rng.integers(0, 2 ** 64, size, np.uint64, endpoint=False))
+        table = np.unique(np.concatenate([table, table[:20] + np.uint64(1)]))  # some share all their top bits
+        asked = np.concatenate([table, rng.integers(0, 2 ** 64, 1_000, np.uint64, endpoint=False), np.array([0, 2 ** 64 - 1], np.uint64)])
+        place = {int(h): n for n, h in enumerate(table)}
+        assert decontaminate.Lookup(table)(asked).tolist() == [place.get(int(h), len(table)) for h in asked]
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, {root!r})
+from palate.session import get_session
+import corpus_pipeline
+from palate.llm import queries
+spark = get_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+print("rows", *[queries.QUERIES[name](spark, {data!r}).count() for name in {names!r}], corpus_pipeline.run(spark, {data!r}).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path, sf_dir):
+    """The driver alone finds the package: workers start in another folder, without a Python path."""
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    names = ["op5_decontamination", "op11_winnowing", "op12_merkle_manifest", "op13_jacobi_davidson"]
+    script = tmp_path / "elsewhere.py"
+    script.write_text(ELSEWHERE.format(root=root, data=sf_dir, names=names))
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=900)
+    assert "rows" in done.stdout, done.stderr[-3000:]
