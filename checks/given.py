@@ -59,17 +59,21 @@ RATE = 0.5
 
 def model() -> rerank.RankerModel:
     first = rerank.Tree(*map(np.array, ([0, -1, 1, -1, -1], [150.0, 0.0, 3.0, 0.0, 0.0], [1, -1, 3, -1, -1], [2, -1, 4, -1, -1],
-                                        [0.1, 0.5, 0.4, -0.2, 0.8], [5.0, 0.0, 2.0, 0.0, 0.0])))
-    second = rerank.Tree(*map(np.array, ([1, -1, -1], [2.9, 0.0, 0.0], [1, -1, -1], [2, -1, -1], [0.05, 0.3, -0.1], [3.0, 0.0, 0.0])))
+                                        [0.1, 0.5, 0.4, -0.2, 0.8], [5.0, 0.0, 2.0, 0.0, 0.0], [100.0, 40.0, 60.0, 24.0, 36.0])))
+    second = rerank.Tree(*map(np.array, ([1, -1, -1], [2.9, 0.0, 0.0], [1, -1, -1], [2, -1, -1], [0.05, 0.3, -0.1], [3.0, 0.0, 0.0], [100.0, 30.0, 70.0])))
     return rerank.RankerModel(FEATURES, RATE, [first, second])
 
 
 CTES["inputs"] = (("frame",), """
     SELECT user_id, business_id, label, CAST(coalesce(b_global_review_count, -1) AS DOUBLE) AS f0, CAST(coalesce(u_avg_stars, -1) AS DOUBLE) AS f1 FROM frame""")
 CTES["steps"] = (("inputs",), """
-    SELECT *, CASE WHEN f0 <= 150 THEN 0.5 WHEN f1 <= 3 THEN -0.2 ELSE 0.8 END::DOUBLE AS v1, CASE WHEN f1 <= 2.9 THEN 0.3 ELSE -0.1 END::DOUBLE AS v2,
-           CASE WHEN f0 <= 150 THEN 0.4 ELSE 0.3 END::DOUBLE AS c0,
-           (CASE WHEN f0 <= 150 THEN 0 WHEN f1 <= 3 THEN -0.6 ELSE 0.4 END + CASE WHEN f1 <= 2.9 THEN 0.25 ELSE -0.15 END)::DOUBLE AS c1 FROM inputs""")
+    SELECT *, CASE WHEN f0 <= 150 THEN 0.5 WHEN f1 <= 3 THEN -0.2 ELSE 0.8 END::DOUBLE AS v1, CASE WHEN f1 <= 2.9 THEN 0.3 ELSE -0.1 END::DOUBLE AS v2 FROM inputs""")
+# The first tree's value with neither, one or both features known; unknown splits average by cover, 40 : 60 and 24 : 36.
+CTES["known"] = (("steps",), """
+    SELECT *, 0.4 * 0.5 + 0.6 * (0.4 * -0.2 + 0.6 * 0.8) AS k, CASE WHEN f0 <= 150 THEN 0.5 ELSE 0.4 * -0.2 + 0.6 * 0.8 END::DOUBLE AS k0,
+           (0.4 * 0.5 + 0.6 * CASE WHEN f1 <= 3 THEN -0.2 ELSE 0.8 END)::DOUBLE AS k1, v2 - (0.3 * 0.3 + 0.7 * -0.1) AS second FROM steps""")
+CTES["shares"] = (("known",), """
+    SELECT *, ((k0 - k) + (v1 - k1)) / 2 AS c0, ((k1 - k) + (v1 - k0)) / 2 + second AS c1 FROM known""")
 CTES["graded"] = (("frame",), """
     SELECT user_id, business_id, label, 2.0 ** label AS gain, CASE WHEN p <= 30 THEN 1 / log2(p + 1) ELSE 0 END AS discount
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY business_id) AS p FROM frame)""")
@@ -90,6 +94,13 @@ def lambda_gradients(spark, sf_dir):
     return canonical(rerank.lambda_gradients(rows, 30).select("user_id", "business_id", "lam", "weight"))
 
 
+def contributions(spark, sf_dir):
+    """Shapley values of every row; score from the trees themselves, in SQL the sum of the expected value and the parts."""
+    explained = model().score(model().contributions(_frame(spark, sf_dir).drop("score")))
+    parts = [F.col("contributions")[place].alias(f"c{place}") for place in range(2)]
+    return canonical(explained.select("user_id", "business_id", *parts, "score"))
+
+
 # A band matrix: each component takes half of the one before it.
 def _moved(spark, sf_dir):
     rows = view(spark, sf_dir, "review_vectors").select("review_id", "business_id", "embedding")
@@ -131,8 +142,11 @@ CHECKS = {
         lambda spark, sf_dir: canonical(rerank.feature_importance(model(), view(spark, sf_dir, "interactions"))),
         "SELECT 'b_global_review_count' AS feature, 5.0::DOUBLE AS gain, 50.0::DOUBLE AS gain_pct UNION ALL SELECT 'u_avg_stars', 5.0, 50.0"),
     "ranker_attribution_given": Check(lambda spark, sf_dir: canonical(rerank.ranker_attribution(model(), _frame(spark, sf_dir))), compose("""
-        SELECT 'b_global_review_count' AS feature, avg(abs(0.5 * c0)) AS mean_abs_contribution FROM steps
-        UNION ALL SELECT 'u_avg_stars', avg(abs(0.5 * c1)) FROM steps""", ["steps"], ["mean_abs_contribution"])),
+        SELECT 'b_global_review_count' AS feature, avg(abs(0.5 * c0)) AS mean_abs_contribution FROM shares
+        UNION ALL SELECT 'u_avg_stars', avg(abs(0.5 * c1)) FROM shares""", ["shares"], ["mean_abs_contribution"])),
+    "ranker_contributions_given": Check(contributions, compose("""
+        SELECT user_id, business_id, 0.5 * c0 AS c0, 0.5 * c1 AS c1, 0.5 * (k + 0.3 * 0.3 + 0.7 * -0.1) + 0.5 * c0 + 0.5 * c1 AS score FROM shares""",
+        ["shares"], ["c0", "c1", "score"])),
     "lambda_gradients": Check(lambda_gradients, compose("""
         SELECT user_id, business_id, coalesce(sum(lam), 0) AS lam, coalesce(sum(weight), 0) AS weight FROM (
           SELECT user_id, business_id, 0.0::DOUBLE AS lam, 0.0::DOUBLE AS weight FROM frame
