@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import ranking, search
 from checks.common import Check, canonical, compose, view
 from checks.views import CTES
-from palate.operators import als, candidates as c, corpus, encode, rerank
+from palate.operators import als, candidates as c, contrast, corpus, encode, rerank
 from palate.session import cut_lineage
 
 # Factors: the embeddings, dealt to users and businesses by their numbers.
@@ -117,6 +117,40 @@ CTES["moved"] = (("review_vectors",), """
           FROM (SELECT review_id, embedding::DOUBLE[] AS v FROM review_vectors))""")
 
 
+BAND = np.eye(64) + 0.5 * np.eye(64, k=1)
+
+
+def contrastive_gradient(spark, sf_dir):
+    """One step's gradient at the band matrix, over all groups of the mined pairs."""
+    vectors = view(spark, sf_dir, "review_vectors")
+    pairs = corpus.mine_pairs(vectors, cut_lineage(corpus.retrieval_split(vectors)).where("role = 'train'"), 2_000)
+    loss, count, gradient = contrast.summed_loss(contrast.pair_groups(pairs, vectors), BAND)
+    rows = [(i, j, float(v) / count, loss / count) for i, line in enumerate(gradient) for j, v in enumerate(line)]  # d x d
+    return canonical(spark.createDataFrame(rows, "i long, j long, value double, loss double"))
+
+
+CTES["sides"] = (("review_vectors",), """
+    SELECT review_id, business_id, x, m, sqrt(list_dot_product(m, m)) AS norm, [v / sqrt(list_dot_product(m, m)) FOR v IN m] AS u
+    FROM (SELECT review_id, business_id, x, [x[j] + CASE WHEN j > 1 THEN 0.5 * x[j - 1] ELSE 0 END FOR j IN range(1, 65)] AS m
+          FROM (SELECT review_id, business_id, embedding::DOUBLE[] AS x FROM review_vectors))""")
+CTES["drawn_pairs"] = (("vec_pairs", "sides"), """
+    SELECT pair_id, pair_id // 64 AS g, p.business_id AS own, a.x AS ax, a.u AS au, a.norm AS an, b.x AS bx, b.u AS bu, b.norm AS bn
+    FROM vec_pairs p JOIN sides a ON a.review_id = anchor_id JOIN sides b ON b.review_id = positive_id""")
+CTES["logits"] = (("drawn_pairs",), """
+    SELECT p.pair_id AS i, q.pair_id AS j, 20 * list_dot_product(p.au, q.bu) AS s, p.pair_id = q.pair_id AS same
+    FROM drawn_pairs p JOIN drawn_pairs q ON p.g = q.g AND (p.pair_id = q.pair_id OR p.own <> q.own)""")
+CTES["pulls"] = (("logits",), """
+    SELECT i, j, 20 * (exp(s) / sum(exp(s)) OVER (PARTITION BY i) - same::INT) AS w,
+           CASE WHEN same THEN ln(sum(exp(s)) OVER (PARTITION BY i)) - s END AS loss FROM logits""")
+CTES["towards"] = (("pulls", "drawn_pairs"), """
+    SELECT pair_id, x, u, norm, list(t ORDER BY k) AS t FROM (
+      SELECT i AS pair_id, 0 AS side, k, sum(w * v) AS t FROM (SELECT i, w, unnest(q.bu) AS v, unnest(range(64)) AS k FROM pulls JOIN drawn_pairs q ON q.pair_id = j) GROUP BY ALL
+      UNION ALL
+      SELECT j, 1, k, sum(w * v) FROM (SELECT j, w, unnest(p.au) AS v, unnest(range(64)) AS k FROM pulls JOIN drawn_pairs p ON p.pair_id = i) GROUP BY ALL)
+    JOIN (SELECT pair_id, 0 AS side, ax AS x, au AS u, an AS norm FROM drawn_pairs UNION ALL SELECT pair_id, 1, bx, bu, bn FROM drawn_pairs) USING (pair_id, side)
+    GROUP BY pair_id, side, x, u, norm""")
+
+
 def pair_covariance(spark, sf_dir):
     vectors = view(spark, sf_dir, "review_vectors")
     pairs = corpus.mine_pairs(vectors, cut_lineage(corpus.retrieval_split(vectors)).where("role = 'train'"), 2_000)
@@ -154,6 +188,11 @@ CHECKS = {
           UNION ALL SELECT user_id, lo, -0.5 * swing, 0.25 * swing FROM swings) GROUP BY 1, 2""", ["frame", "swings"], ["lam", "weight"])),
     "adapt_embeddings_given": Check(adapt_embeddings, compose(
         "SELECT review_id, CAST(j - 1 AS BIGINT) AS place, CAST(vec[j] AS DOUBLE) AS value FROM moved, range(1, 65) r(j)", ["moved"], ["value"])),
+    "contrastive_gradient_given": Check(contrastive_gradient, compose("""
+        SELECT CAST(i - 1 AS BIGINT) AS i, CAST(j - 1 AS BIGINT) AS j, sum(x[i] * across[j]) / 2000 AS value, any_value(total) / 2000 AS loss
+        FROM (SELECT x, [(t[k] - u[k] * list_dot_product(u, t)) / norm FOR k IN range(1, 65)] AS across FROM towards),
+             (SELECT sum(loss) AS total FROM pulls), range(1, 65) r(i), range(1, 65) s(j) GROUP BY 1, 2""",
+        ["towards", "pulls"], ["value", "loss"], extra=search.pair_ctes("review_vectors", "vec", 2000))),
     "pair_covariance": Check(pair_covariance, compose("""
         SELECT CAST(i - 1 AS BIGINT) AS i, CAST(j - 1 AS BIGINT) AS j, sum(d[i] * d[j]) / (2.0 * 2000) AS value
         FROM (SELECT [a.vec[x] - b.vec[x] FOR x IN range(1, 65)] AS d FROM vec_pairs

@@ -8,7 +8,7 @@ from checks.common import Check, canonical, compose, view
 from checks.views import CTES
 from palate.config import Settings
 from palate.functions.text import WHITESPACE_CHARS
-from palate.operators import corpus as c, encode, search as s
+from palate.operators import corpus as c, encode, search as s, wordvec
 from palate.plans.search import build_search, corpus_of
 from palate.session import cut_lineage
 
@@ -78,6 +78,12 @@ CTES["vec_items"] = (("review_vectors",), "SELECT review_id AS item_id, embeddin
 CTES["vec_all_queries"] = (("review_vectors",), "SELECT review_id AS query_id, embedding::DOUBLE[] AS vec FROM review_vectors")
 CTES["vec_eval_queries"] = (("vec_all_queries", "vec_queries"), """
     SELECT * FROM vec_all_queries WHERE query_id IN (SELECT review_id FROM vec_queries)""")
+CTES["neighbours"] = (("corpus",), """
+    SELECT t[i] AS a, t[i + d] AS b FROM (SELECT t, unnest(range(1, len(t) + 1)) AS i
+      FROM (SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS t FROM corpus)), range(1, 4) r(d) WHERE i + d <= len(t)""")
+CTES["contexts"] = (("neighbours",), """
+    SELECT word, context, count(*) AS n FROM (SELECT a AS word, b AS context FROM neighbours UNION ALL SELECT b, a FROM neighbours) GROUP BY 1, 2""")
+CTES["margins"] = (("contexts",), "SELECT word, sum(n) AS n FROM contexts GROUP BY word")
 CTES["hits10"] = (("vec_items", "vec_all_queries"), _top_sql("vec_all_queries", "vec_items", 10))
 CTES["hits200"] = (("vec_items", "vec_all_queries"), _top_sql("vec_all_queries", "vec_items", 200))
 CTES["all_hits"] = (("vec_items", "vec_all_queries"), _top_sql("vec_all_queries", "vec_items", 1_000_000_000))
@@ -178,6 +184,19 @@ def encode_corpus(spark, sf_dir):
                           F.round(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x), 4).alias("norm"))
 
 
+def encode_words(spark, sf_dir):
+    """Vectors by the learnt encoder: dimension and squared norm of every review's."""
+    corpus = _corpus(spark, sf_dir)
+    encoded = wordvec.fit_word_encoder(corpus).encode(corpus)
+    return encoded.select("review_id", F.size("embedding").alias("dim"),
+                          F.round(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x), 4).alias("norm"))
+
+
+def word_information(spark, sf_dir):
+    """The table that the learnt encoder factorises, over the whole corpus."""
+    return canonical(wordvec.shifted_information(cut_lineage(wordvec.context_counts(_corpus(spark, sf_dir))), 2.0))
+
+
 def _adapted(spark, sf_dir):
     vectors = _vectors(spark, sf_dir).select("review_id", "business_id", "embedding")
     split = cut_lineage(c.retrieval_split(vectors))
@@ -268,6 +287,12 @@ CHECKS = {
              (SELECT query_id, min(place) AS first FROM eval_hits WHERE own = found AND place <= 10 GROUP BY 1) USING (query_id)""",
         ["vec_eval_queries", "eval_hits"], ["hit", "mrr"])),
     "encode_corpus": Check(encode_corpus),
+    "encode_words": Check(encode_words),
+    "word_information": Check(word_information, compose("""
+        SELECT word, context, value FROM (
+          SELECT c.word, c.context, ln(c.n * total / (a.n * b.n::DOUBLE)) - ln(2.0) AS value
+          FROM contexts c JOIN margins a ON a.word = c.word JOIN margins b ON b.word = c.context, (SELECT sum(n)::DOUBLE AS total FROM contexts))
+        WHERE value > 0""", ["contexts", "margins"], ["value"])),
     "adapt_embeddings": Check(adapt_embeddings),
     "retrieval_lift": Check(retrieval_lift),
     "build_search": Check(run_build_search),

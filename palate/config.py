@@ -61,4 +61,6 @@ class Settings:
     eval_queries: int | None = None
     search_pool: int | None = None
     snippet_chars: int = 160
-    encoder_dim: int = 1024
+    encoder: str = "learnt"  # or "hashed": term frequencies in as many buckets as the dimension
+    encoder_dim: int = 256
+    adapt_epochs: int = 3  # contrastive passes after the closed form

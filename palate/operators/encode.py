@@ -14,6 +14,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from palate.operators.contrast import EPOCHS, contrastive_matrix
+from palate.operators.transform import apply_adaptation
+from palate.operators.wordvec import WordEncoder
+
 # Ridge on the within-business covariance, as a share of its mean variance.
 RIDGE = 1e-2
 
@@ -100,20 +104,24 @@ def adaptation_matrix(covariance: np.ndarray, ridge: float = RIDGE) -> np.ndarra
     return (directions / np.sqrt(values)) @ directions.T
 
 
-def apply_adaptation(vectors: DataFrame, matrix: np.ndarray, column: str = "embedding") -> DataFrame:
-    """Multiply every vector by the matrix and renormalise, batch by batch in place."""
-    def transform(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not batch.empty:
-                moved = np.stack(batch[column].to_numpy()).astype(np.float64) @ matrix
-                norms = np.linalg.norm(moved, axis=1, keepdims=True)
-                moved = np.divide(moved, norms, out=np.zeros_like(moved), where=norms > 0)
-                batch = batch.assign(**{column: list(moved.astype(np.float32))})
-            yield batch
+def adapted_matrix(vectors: DataFrame, pairs: DataFrame, ridge: float = RIDGE, epochs: int = EPOCHS) -> np.ndarray:
+    """The closed form of the pairs' covariance, moved on by `epochs` of contrastive steps."""
+    start = adaptation_matrix(pair_covariance(pairs, vectors), ridge)
+    return contrastive_matrix(vectors, pairs, start, epochs) if epochs else start
+
+
+def adapt_embeddings(vectors: DataFrame, pairs: DataFrame, ridge: float = RIDGE, epochs: int = EPOCHS) -> DataFrame:
+    """Vectors moved so that reviews of one business come closer together than to others."""
+    return apply_adaptation(vectors, adapted_matrix(vectors, pairs, ridge, epochs))
+
 
-    return vectors.mapInPandas(transform, vectors.schema)
+def load_encoder(folder: str) -> TextEncoder | WordEncoder:
+    """Whichever encoder was saved there."""
+    kind = SparkSession.getActiveSession().read.text(f"{folder}/kind").first()[0]
+    return (WordEncoder if kind == "WordEncoder" else TextEncoder).load(folder)
 
 
-def adapt_embeddings(vectors: DataFrame, pairs: DataFrame, ridge: float = RIDGE) -> DataFrame:
-    """Vectors moved so that reviews of one business come closer together."""
-    return apply_adaptation(vectors, adaptation_matrix(pair_covariance(pairs, vectors), ridge))
+def save_encoder(encoder: TextEncoder | WordEncoder, folder: str) -> str:
+    encoder.save(folder)
+    SparkSession.getActiveSession().createDataFrame([(type(encoder).__name__,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/kind")
+    return folder

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from palate.config import Settings
 from palate.operators.corpus import build_corpus, eval_query_ids, mine_pairs, retrieval_split
-from palate.operators.encode import TextEncoder, adaptation_matrix, apply_adaptation, fit_encoder, pair_covariance
+from palate.operators.encode import TextEncoder, adapted_matrix, fit_encoder, load_encoder, save_encoder
+from palate.operators.transform import apply_adaptation
+from palate.operators.wordvec import WordEncoder, fit_word_encoder
 from palate.operators.search import eval_retrieval, retrieval_lift, search_businesses, search_reviews
 from palate.session import keep_table
 from palate.sources.artifacts import write_artifact
@@ -18,7 +20,7 @@ from palate.sources.artifacts import write_artifact
 class SearchIndex:
     vectors: DataFrame  # review_id, business_id, embedding (adapted) and the corpus columns given
     report: DataFrame
-    encoder: TextEncoder | None  # puts a text into the space of `vectors`; None if the vectors were given
+    encoder: TextEncoder | WordEncoder | None  # puts a text into the space of `vectors`; None if the vectors were given
 
     def reviews(self, texts: DataFrame, businesses: DataFrame, k: int = 10) -> DataFrame:
         """Free text (query_id, text) to the k nearest reviews with their businesses."""
@@ -43,13 +45,14 @@ def build_search(corpus: DataFrame, settings: Settings = Settings(), folder: str
     """
     encoder = None
     if "embedding" not in corpus.columns:
-        encoder = fit_encoder(corpus, dim=settings.encoder_dim)
+        fit = fit_word_encoder if settings.encoder == "learnt" else fit_encoder
+        encoder = fit(corpus, dim=settings.encoder_dim)
         corpus = encoder.encode(corpus)
     base = keep_table(corpus, "vectors")
     split = keep_table(retrieval_split(base, settings.eval_share, settings.seed), "split")
     queries = keep_table(eval_query_ids(base, split, settings.eval_queries, settings.seed), "queries")
     pairs = mine_pairs(base, split.where(F.col("role") == "train"), settings.n_pairs, settings.seed)
-    matrix = adaptation_matrix(pair_covariance(pairs, base))
+    matrix = adapted_matrix(base, keep_table(pairs, "pairs"), epochs=settings.adapt_epochs)
     adapted = apply_adaptation(base, matrix)
     if encoder is not None:
         encoder = replace(encoder, matrix=matrix)
@@ -58,7 +61,7 @@ def build_search(corpus: DataFrame, settings: Settings = Settings(), folder: str
     else:
         adapted = base.sparkSession.read.parquet(write_artifact(adapted, f"{folder}/vectors"))
         if encoder is not None:
-            encoder.save(f"{folder}/encoder")
+            save_encoder(encoder, f"{folder}/encoder")
     report = retrieval_lift(
         eval_retrieval(base, queries, settings.eval_k), eval_retrieval(adapted, queries, settings.eval_k)
     )
@@ -67,4 +70,4 @@ def build_search(corpus: DataFrame, settings: Settings = Settings(), folder: str
 
 def open_search(vectors: DataFrame, folder: str) -> SearchIndex:
     """An index from vectors read back and the encoder saved beside them; it has no report."""
-    return SearchIndex(vectors, vectors.limit(0), TextEncoder.load(f"{folder}/encoder"))
+    return SearchIndex(vectors, vectors.limit(0), load_encoder(f"{folder}/encoder"))
