@@ -5,7 +5,8 @@ Three physical strategies give the same answer:
 * broadcast: the query matrix is small (its size and the k rows kept per query are checked), so it travels to the
   corpus. The corpus is scanned in place, each task keeps k rows per query, and only those are shuffled.
 * items: the item matrix is small (its size is checked), so it travels to the queries, which meet their
-  exclusions (item ids, at most as many as there are items) and are answered in place.
+  exclusions (item numbers, at most as many as there are items) and are answered in place. Items are scored by falling
+  length until none of those left can reach the k-th best score.
 * blocks: neither side may be broadcast. Both are hashed into blocks of bounded size, every
   (query block, corpus block) cell is one matrix product in one task, and each cell emits k rows per
   query. Pairs to leave out are hashed to the cell they fall in and masked there, so a query with a huge
@@ -29,6 +30,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_BLOCK = 2048
 ITEM_BLOCK = 16384
 CHUNK = 256
+# Items by falling length that are scored before a query is asked whether it is done.
+LENGTH_BLOCK = 512
 MAX_TASKS = 50_000
 # Rows that a task of the broadcast strategy may keep: queries * k.
 KEPT_ROWS = 2_000_000
@@ -98,39 +101,98 @@ def _broadcast_topk(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     return _cut(items.select("item_id", "vec").mapInPandas(scan, schema), k)
 
 
-def _items_topk(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None) -> DataFrame:
+class OrderedItems:
+    """Items by falling length, in blocks: a query is done once its length times that of the next item cannot reach its k-th score.
+
+    Scores are inner products, at most the product of both lengths; a margin covers rounding. What is left out can neither
+    enter the k best nor tie with them.
+    """
+
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray):
+        lengths = np.linalg.norm(matrix, axis=1)
+        self.order = np.argsort(-lengths, kind="stable")  # `ids` come sorted: equal lengths stay in id order
+        self.ids, self.matrix, self.lengths = ids[self.order], matrix[self.order].T.copy(), lengths[self.order]
+        self.place = np.empty(len(ids), np.int64)
+        self.place[self.order] = np.arange(len(ids))
+
+    def best(self, queries: np.ndarray, left_out: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """(row, place, score) of every query's k best items, and how many scores were computed; `left_out` are item numbers."""
+        gone = [self.place[n] for n in left_out]
+        own = np.repeat(np.arange(len(queries)), [len(g) for g in gone])
+        at = np.concatenate(gone) if gone else np.zeros(0, np.int64)
+        by_place = np.argsort(at, kind="stable")
+        own, at = own[by_place], at[by_place]
+        lengths = np.linalg.norm(queries, axis=1)
+        rows, top = np.arange(len(queries)), np.full((len(queries), k), -np.inf)  # the k best scores so far
+        kth = np.full(len(queries), -np.inf)
+        kept, computed, first = [], 0, 0
+        while len(rows) and first < len(self.ids):
+            last = min(first + LENGTH_BLOCK, len(self.ids))
+            block = queries[rows] @ self.matrix[:, first:last]
+            computed += block.size
+            lo, hi = np.searchsorted(at, [first, last])
+            if hi > lo:
+                where = np.full(len(queries), -1)
+                where[rows] = np.arange(len(rows))
+                here = where[own[lo:hi]]
+                block[here[here >= 0], at[lo:hi][here >= 0] - first] = -np.inf
+            # only scores that can still be among the k best are rounded, kept and merged
+            r, c = np.nonzero(block >= np.maximum(kth[rows] - 10.0 ** -SCORE_DIGITS, np.finfo(float).min)[:, None])
+            values = np.round(block[r, c], SCORE_DIGITS)
+            kept.append((rows[r], c + first, values))
+            counts = np.bincount(r, minlength=len(rows))
+            fresh = np.full((len(rows), int(counts.max(initial=0))), -np.inf)
+            fresh[r, np.arange(len(r)) - np.repeat(np.cumsum(counts) - counts, counts)] = values
+            both = np.concatenate([top[rows], fresh], axis=1)
+            top[rows] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+            kth[rows] = top[rows].min(axis=1)
+            first = last
+            if first < len(self.ids):
+                reach = lengths[rows] * self.lengths[first]
+                rows = rows[kth[rows] <= reach * (1 + 1e-9) + 2 * 10.0 ** -SCORE_DIGITS]
+        if not kept:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0
+        r, c, values = (np.concatenate(parts) for parts in zip(*kept))
+        final = values >= kth[r]
+        r, c, values = r[final], c[final], values[final]
+        # by query, falling score, id: of those equal to the k-th the smallest ids stay
+        order = np.lexsort((self.order[c], -values, r))
+        r, c, values = r[order], c[order], values[order]
+        starts = np.searchsorted(r, np.arange(len(queries)))
+        within = np.arange(len(r)) - starts[r] < k
+        return r[within], c[within], values[within], computed
+
+
+def _items_topk(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame | None, scored=None) -> DataFrame:
     # the caller has checked the size of the item table
     table = items.orderBy("item_id").toPandas()
     schema = _output_schema(queries, items)
     schema.add("rank", T.IntegerType())
     if table.empty:
         return queries.sparkSession.createDataFrame([], schema)
-    shared = queries.sparkSession.sparkContext.broadcast((table["item_id"].to_numpy(), _matrix(table["vec"]).T))
-    kind = items.schema["item_id"].dataType
+    spark = queries.sparkSession
+    shared = spark.sparkContext.broadcast((table["item_id"].to_numpy(), _matrix(table["vec"])))
     if exclude is None:
-        asked = queries.withColumn("left_out", F.lit(None).cast(T.ArrayType(kind)))
+        asked = queries.withColumn("left_out", F.lit(None).cast("array<int>"))
     else:
-        known = exclude.join(F.broadcast(items.select("item_id")), "item_id", "left_semi")
-        left_out = known.groupBy("query_id").agg(F.collect_set(F.col("item_id").cast(kind)).alias("left_out"))
-        asked = queries.join(left_out, "query_id", "left")
+        # items by number: a query's list is at most as long as the checked item table
+        numbers = spark.createDataFrame(
+            [(i, n) for n, i in enumerate(table["item_id"].tolist())], T.StructType([items.schema["item_id"], T.StructField("number", T.IntegerType())]))
+        known = exclude.join(F.broadcast(numbers), "item_id")
+        asked = queries.join(known.groupBy("query_id").agg(F.collect_set("number").alias("left_out")), "query_id", "left")
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = shared.value
-        order = pd.Index(ids)
+        items = OrderedItems(*shared.value)
         for batch in batches:
             for start in range(0, len(batch), CHUNK):
                 part = batch.iloc[start:start + CHUNK]
-                scores = np.round(_matrix(part["vec"]) @ matrix, SCORE_DIGITS)
-                for row, gone in enumerate(part["left_out"]):
-                    if gone is not None and len(gone):
-                        scores[row, order.get_indexer(gone)] = -np.inf
-                r, c = _best(scores, k)
-                found = pd.DataFrame({"q": r, "item_id": ids[c], "score": scores[r, c]}).sort_values(
-                    ["q", "score", "item_id"], ascending=[True, False, True])
-                rank = found.groupby("q").cumcount() + 1
+                gone = [np.zeros(0, np.int64) if g is None else np.asarray(g, np.int64) for g in part["left_out"]]
+                r, c, scores, computed = items.best(_matrix(part["vec"]), gone, k)
+                if scored is not None:
+                    scored.add(computed)
+                rank = np.arange(len(r)) - np.searchsorted(r, r) + 1
                 yield pd.DataFrame({
-                    "query_id": part["query_id"].to_numpy()[found["q"].to_numpy()], "item_id": found["item_id"].to_numpy(),
-                    "score": found["score"].to_numpy(), "rank": rank.to_numpy(np.int32)})
+                    "query_id": part["query_id"].to_numpy()[r], "item_id": items.ids[c], "score": scores, "rank": rank.astype(np.int32)})
 
     return asked.select("query_id", "vec", "left_out").mapInPandas(answer, schema)
 
@@ -269,10 +331,12 @@ def topk_inner_product(
     exclude: DataFrame | None = None,
     strategy: str = "auto",
     block: int | None = None,
+    scored=None,
 ) -> DataFrame:
     """For every query the k items with the largest inner product: query_id, item_id, score, rank.
 
-    queries: query_id, vec; items: item_id, vec; exclude: (query_id, item_id) pairs to leave out.
+    queries: query_id, vec; items: item_id, vec; exclude: (query_id, item_id) pairs to leave out. `scored`, an accumulator of
+    the session, adds up the scores that the items strategy computes (the others compute all).
     """
     if strategy not in ("auto", "broadcast", "items", "blocks"):
         raise ValueError(strategy)
@@ -288,5 +352,5 @@ def topk_inner_product(
     if strategy == "items" and not few:
         raise ValueError("items needs a small item table")
     if strategy == "items" or (strategy == "auto" and few):
-        return _items_topk(queries, items, k, exclude)
+        return _items_topk(queries, items, k, exclude, scored)
     return _blocked_topk(queries, items, k, exclude, size.n, n_items, block)

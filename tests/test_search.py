@@ -43,6 +43,31 @@ def test_both_strategies_equal_brute_force(spark, ids):
         assert rows(got, "query_id", "item_id", "rank") == brute(q, x, 7, pairs)
 
 
+@pytest.mark.parametrize("spread", [0.0, 1.0, 3.0])
+def test_length_order_prunes_without_loss(spark, monkeypatch, spread):
+    """Lengths from equal to far apart, ties, zero vectors, more wanted than there are, huge exclusion lists."""
+    from palate.operators import topk
+    monkeypatch.setattr(topk, "LENGTH_BLOCK", 32)
+    rng = np.random.default_rng(int(spread))
+    x = {i: np.round(np.exp(spread * rng.normal()) * rng.normal(size=6), 2) for i in range(1200)}
+    x.update({2000 + i: x[i] for i in range(40)})
+    x.update({3000: np.zeros(6), 3001: np.zeros(6)})
+    q = {i: np.round(rng.normal(size=6), 2) for i in range(40)} | {100: np.zeros(6)}
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in q.items()], "query_id long, vec array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "item_id long, vec array<double>")
+    pairs = {(3, i) for i in x if i != 7} | {(4, i) for i in range(0, 1200, 2)} | {(i, 5) for i in q} | {(999, 1)}
+    exclude = spark.createDataFrame(list(pairs), "query_id long, item_id long")
+    scored = spark.sparkContext.accumulator(0)
+    for k in (1, 9, 2000):
+        for left in (None, exclude):
+            got = topk_inner_product(queries, items, k, exclude=left, strategy="items", scored=scored)
+            expected = brute(q, x, k, pairs) if left is not None else brute(q, x, k)
+            assert rows(got, "query_id", "item_id", "rank") == expected
+    scored = spark.sparkContext.accumulator(0)
+    topk_inner_product(queries.where("query_id < 100"), items, 9, strategy="items", scored=scored).collect()
+    assert scored.value <= 40 * len(x) and (spread < 3 or scored.value < 0.3 * 40 * len(x))
+
+
 def test_cells_have_partitions_of_their_own(spark):
     """One task per cell of the block strategy: no exchange after the one that places cells."""
     queries = spark.range(64).selectExpr("id AS query_id", "array(1.0D, id) AS vec")
