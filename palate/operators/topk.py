@@ -200,58 +200,98 @@ def _items_topk(queries: DataFrame, items: DataFrame, k: int, exclude: DataFrame
 def best_groups(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """For every query the k groups with the best item: query_id, group_id, item_id (the best one), score, rank.
 
-    items: item_id, group_id, vec. Each task of the item scan keeps the best k groups per query, each with its best
-    item; a group among the best k overall is among the best k of the task that holds its best item, so nothing is
-    lost. Queries travel in blocks of bounded size, one pass over the items each. Equal groups go by id.
+    items: item_id, group_id, vec. Each part of the items keeps the best k groups per query, each with its best item; a
+    group among the best k overall is among the best k of the part that holds its best item, so nothing is lost. Few
+    queries (size checked) travel to the items, whose parts are the scan's tasks; else both sides are dealt into cells of
+    bounded size, one job for any number of queries. Equal groups go by id.
     """
     queries, items = queries.select("query_id", "vec"), items.select("item_id", "group_id", "vec")
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
-    blocks = max(1, math.ceil(size.n * (size.dim or 0) * 8 / BROADCAST_BYTES), math.ceil(size.n * k / KEPT_ROWS))
     schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType), T.StructField("group_id", items.schema["group_id"].dataType),
         T.StructField("item_id", items.schema["item_id"].dataType), T.StructField("score", T.DoubleType())])
-
-    def pass_over(block: int) -> DataFrame:
-        part = queries.where(_block("query_id", blocks) == block) if blocks > 1 else queries
-        table = part.orderBy("query_id").toPandas()  # a block of bounded size
-        if table.empty:
-            return queries.sparkSession.createDataFrame([], schema)
-        shared = queries.sparkSession.sparkContext.broadcast((table["query_id"].to_numpy(), _matrix(table["vec"])))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, matrix = shared.value
-            kept = None
-            for batch in batches:
-                if batch.empty:
-                    continue
-                batch = batch.sort_values(["group_id", "item_id"], kind="stable")
-                groups, item_ids = batch["group_id"].to_numpy(), batch["item_id"].to_numpy()
-                first = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
-                item_matrix = _matrix(batch["vec"]).T
-                parts = [] if kept is None else [kept]
-                for start in range(0, len(matrix), CHUNK):
-                    scores = np.round(matrix[start:start + CHUNK] @ item_matrix, SCORE_DIGITS)
-                    r, c = _best(np.maximum.reduceat(scores, first, axis=1), k)
-                    ends = np.append(first[1:], scores.shape[1])
-                    best = [lo + int(scores[row, lo:hi].argmax()) for row, lo, hi in zip(r, first[c], ends[c])]
-                    parts.append(pd.DataFrame({"q": r + start, "group_id": groups[best], "item_id": item_ids[best], "score": scores[r, best]}))
-                merged = pd.concat(parts).sort_values(["q", "score", "item_id"], ascending=[True, False, True])
-                merged = merged.drop_duplicates(["q", "group_id"]).sort_values(["q", "score", "group_id"], ascending=[True, False, True])
-                kept = merged.groupby("q", sort=False).head(k)
-            if kept is not None:
-                yield pd.DataFrame({"query_id": ids[kept["q"].to_numpy()], **{c: kept[c].to_numpy() for c in ("group_id", "item_id", "score")}})
-
-        return items.mapInPandas(scan, schema)
-
-    found = pass_over(0)
-    for block in range(1, blocks):
-        found = found.unionByName(pass_over(block))
+    if size.n * (size.dim or 0) * 8 <= BROADCAST_BYTES and size.n * k <= KEPT_ROWS:
+        found = _scanned_groups(queries, items, k, schema)
+    else:
+        found = _celled_groups(queries, items, k, schema, size.n)
     best = found.groupBy("query_id", "group_id").agg(F.min(F.struct((-F.col("score")).alias("score"), "item_id")).alias("b")).select(
         "query_id", "group_id", F.col("b.item_id").alias("item_id"), (-F.col("b.score")).alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "group_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _grouped(batch: pd.DataFrame, matrix: np.ndarray, k: int) -> pd.DataFrame:
+    """(q, group_id, item_id, score): the best k groups of the batch's items for every query row, with their best items."""
+    batch = batch.sort_values(["group_id", "item_id"], kind="stable")
+    groups, item_ids = batch["group_id"].to_numpy(), batch["item_id"].to_numpy()
+    first = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+    ends = np.append(first[1:], len(groups))
+    item_matrix, parts = _matrix(batch["vec"]).T, []
+    for start in range(0, len(matrix), CHUNK):
+        scores = np.round(matrix[start:start + CHUNK] @ item_matrix, SCORE_DIGITS)
+        r, c = _best(np.maximum.reduceat(scores, first, axis=1), k)
+        best = [lo + int(scores[row, lo:hi].argmax()) for row, lo, hi in zip(r, first[c], ends[c])]
+        parts.append(pd.DataFrame({"q": r + start, "group_id": groups[best], "item_id": item_ids[best], "score": scores[r, best]}))
+    return pd.concat(parts)
+
+
+def _scanned_groups(queries: DataFrame, items: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    table = queries.orderBy("query_id").toPandas()  # the caller has checked its size
+    if table.empty:
+        return queries.sparkSession.createDataFrame([], schema)
+    shared = queries.sparkSession.sparkContext.broadcast((table["query_id"].to_numpy(), _matrix(table["vec"])))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, matrix = shared.value
+        kept = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            found = _grouped(batch, matrix, k)
+            merged = (found if kept is None else pd.concat([kept, found])).sort_values(["q", "score", "item_id"], ascending=[True, False, True])
+            merged = merged.drop_duplicates(["q", "group_id"]).sort_values(["q", "score", "group_id"], ascending=[True, False, True])
+            kept = merged.groupby("q", sort=False).head(k)
+        if kept is not None:
+            yield pd.DataFrame({"query_id": ids[kept["q"].to_numpy()], **{c: kept[c].to_numpy() for c in ("group_id", "item_id", "score")}})
+
+    return items.mapInPandas(scan, schema)
+
+
+def _celled_groups(queries: DataFrame, items: DataFrame, k: int, schema: T.StructType, n_queries: int) -> DataFrame:
+    none = {f.name: F.lit("" if isinstance(f.dataType, T.StringType) else 0).cast(f.dataType) for f in schema.fields}
+
+    def solve(cell: pd.DataFrame) -> pd.DataFrame:
+        asked, held = cell[cell["kind"] == 0], cell[cell["kind"] == 1]
+        if asked.empty or held.empty:
+            return cell[["query_id", "group_id", "item_id"]][:0].assign(score=np.zeros(0))
+        found = _grouped(held, _matrix(asked["vec"]), k)
+        return pd.DataFrame({
+            "query_id": asked["query_id"].to_numpy()[found["q"].to_numpy()], **{c: found[c].to_numpy() for c in ("group_id", "item_id", "score")}})
+
+    kind = items.schema["vec"].dataType
+    asked = queries.select("query_id", none["group_id"].alias("group_id"), none["item_id"].alias("item_id"), F.col("vec").cast(kind).alias("vec"))
+    held = items.select(none["query_id"].alias("query_id"), "group_id", "item_id", "vec")
+    spread = _celled(asked, held, math.ceil(n_queries / QUERY_BLOCK), math.ceil(items.count() / ITEM_BLOCK))
+    return spread.groupBy("part", "qb", "ib").applyInPandas(solve, schema)
+
+
+def _celled(asked: DataFrame, held: DataFrame, query_blocks: int, item_blocks: int, more: DataFrame | None = None) -> DataFrame:
+    """Queries (kind 0) and items (kind 1) dealt into cells (qb, ib), every cell in a partition of its own.
+
+    Cells are heavy in work, not in bytes: their partition is found by number, not by a hash.
+    """
+    query_blocks, item_blocks = max(1, query_blocks), max(1, item_blocks)
+    cells = asked.select(
+        _block("query_id", query_blocks).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"), F.lit(0).alias("kind"), "*",
+    ).unionByName(held.select(
+        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), _block("item_id", item_blocks).alias("ib"), F.lit(1).alias("kind"), "*"))
+    if more is not None:
+        cells = cells.unionByName(more.select(
+            _block("query_id", query_blocks).alias("qb"), _block("item_id", item_blocks).alias("ib"), F.lit(2).alias("kind"), "*"))
+    parts = min(query_blocks * item_blocks, MAX_TASKS)
+    return cells.withColumn("part", (F.col("qb") * item_blocks + F.col("ib")) % parts).repartitionById(parts, "part")
+
+
 def _block(key: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(blocks)).cast("int")
 
@@ -303,24 +343,10 @@ def _blocked_topk(
         F.lit("" if isinstance(schema[name].dataType, T.StringType) else 0).cast(schema[name].dataType)
         for name in ("query_id", "item_id")
     )
-    cells = queries.select(
-        _block("query_id", query_blocks).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("ib"),
-        F.lit(0).alias("kind"), "query_id", no_item.alias("item_id"), F.col("vec").cast(items.schema["vec"].dataType),
-    ).unionByName(items.select(
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
-        _block("item_id", item_blocks).alias("ib"),
-        F.lit(1).alias("kind"), no_query.alias("query_id"), "item_id", "vec",
-    ))
-    if exclude is not None:
-        cells = cells.unionByName(exclude.select("query_id", "item_id").distinct().select(
-            _block("query_id", query_blocks).alias("qb"),
-            _block("item_id", item_blocks).alias("ib"),
-            F.lit(2).alias("kind"), "query_id", "item_id", no_vec.alias("vec"),
-        ))
-    # cells are heavy in work, not in bytes: each has a partition of its own, found by its number, not by a hash
-    parts = min(query_blocks * item_blocks, MAX_TASKS)
-    spread = cells.withColumn("part", (F.col("qb") * item_blocks + F.col("ib")) % parts).repartitionById(parts, "part")
+    asked = queries.select("query_id", no_item.alias("item_id"), F.col("vec").cast(items.schema["vec"].dataType).alias("vec"))
+    held = items.select(no_query.alias("query_id"), "item_id", "vec")
+    left_out = None if exclude is None else exclude.select("query_id", "item_id").distinct().select("query_id", "item_id", no_vec.alias("vec"))
+    spread = _celled(asked, held, query_blocks, item_blocks, left_out)
     return _cut(spread.groupBy("part", "qb", "ib").applyInPandas(_cell_topk(k), schema), k)
 
 

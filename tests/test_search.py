@@ -107,6 +107,35 @@ def test_hot_business_does_not_crowd_out_others(spark):
     assert again == got
 
 
+def test_groups_of_many_queries_are_one_job(spark, monkeypatch):
+    """50,000 queries: cells of bounded size instead of a pass and a broadcast per block; the same groups either way."""
+    from palate.operators import topk
+    rng = np.random.default_rng(4)
+    items = spark.createDataFrame(
+        [(i, f"g{i % 37 if i % 3 else 0}", rng.integers(-3, 4, 3).astype(float).tolist()) for i in range(400)], "item_id long, group_id string, vec array<float>")
+    queries = spark.range(50_000).selectExpr("id AS query_id", "array(double(id % 7) - 3, double(id % 5) - 2, double(id % 3)) AS vec")
+    some = queries.where("query_id < 105")
+    scanned = rows(topk.best_groups(some, items, 5))
+    monkeypatch.setattr(topk, "KEPT_ROWS", 100)
+    monkeypatch.setattr(topk, "ITEM_BLOCK", 90)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4_000)
+    assert rows(topk.best_groups(some, items, 5)) == scanned
+    found = topk.best_groups(queries, items, 5)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") == 1
+    assert found.count() == 250_000
+    # queries repeat with period 105, and so do their groups
+    assert found.groupBy(F.expr("query_id % 105"), "rank").agg(F.count_distinct("group_id", "item_id").alias("n")).where("n > 1").isEmpty()
+    brute_best = {}
+    for r in items.collect():
+        for q in some.collect():
+            score = round(float(np.dot(q.vec, r.vec)), 9)
+            best = brute_best.setdefault(q.query_id, {})
+            if r.group_id not in best or (-score, r.item_id) < best[r.group_id]:
+                best[r.group_id] = (-score, r.item_id)
+    expected = [(q, g, i, -s, n) for q, best in brute_best.items() for n, (s, g, i) in enumerate(sorted((s, g, i) for g, (s, i) in best.items())[:5], 1)]
+    assert scanned == sorted(expected, key=repr)
+
+
 def test_text_scores_one_against_its_own_adapted_vector(spark, sf_dir, tmp_path):
     corpus = c.build_corpus(view(spark, sf_dir, "reviews"))
     index = build_search(corpus, Settings(encoder_dim=64, n_pairs=500), f"file://{tmp_path}/index")
