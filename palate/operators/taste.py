@@ -135,6 +135,7 @@ def _listed(array: str, n: int, separator: str, fallback: str):
 
 def profile_text(stats: DataFrame) -> DataFrame:
     """One or two sentences per user built from profile_stats."""
+    # The phrases and the limits between tones define the profile.
     average = F.col("avg_stars")
     tone = (
         F.when(average < 3.5, "a tough grader")
