@@ -107,3 +107,25 @@ def test_als_beats_the_reverse_order(fitted):
     best = e.evaluate_rankings(c.rank_by(scored, "als_score"), own).first().ndcg
     worst = e.evaluate_rankings(c.rank_by(scored, -F.col("als_score")), own).first().ndcg
     assert best > worst
+
+
+def test_als_users_solve_their_normal_equations(spark, sf_dir):
+    """The last half-step is the users': their factors are the ridge solution given the items' and the confidences."""
+    import numpy as np
+
+    from checks.common import view
+    from palate.operators.als import als_fit, als_ratings
+    history, alpha, ridge = view(spark, sf_dir, "interactions"), 12.0, 0.05
+    fitted = als_fit(history, factors=6, iterations=3, regularization=ridge, alpha=alpha)
+    items = {r.business_id: np.array(r.vec) for r in fitted.items.collect()}
+    ratings = {}
+    for r in als_ratings(history, alpha).collect():
+        ratings.setdefault(r.user_id, []).append((r.business_id, r.rating))
+    gram = sum(np.outer(v, v) for v in items.values())
+    users = fitted.users.collect()
+    assert {r.user_id for r in users} == set(ratings)
+    for user in users:
+        own = ratings[user.user_id]
+        left = gram + ridge * len(own) * np.eye(6) + sum(alpha * w * np.outer(items[b], items[b]) for b, w in own)
+        right = sum((1 + alpha * w) * items[b] for b, w in own)
+        assert np.allclose(np.linalg.solve(left, right), user.vec, rtol=1e-3, atol=1e-4)
