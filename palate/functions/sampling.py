@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from palate.session import keep_table
+
 # md5 hex digits that form a cell: 65,536 cells bound the sampling histogram, 4,096 the numbering one.
 SAMPLE_DIGITS = 4
 INDEX_DIGITS = 3
@@ -55,6 +57,24 @@ def hash_sample(df: DataFrame, key: str, size: int | Column, seed: int | str) ->
     return df.where(seeded_hash(F.col(key), seed) <= F.lit(last))
 
 
+def ordered_index(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Number all rows 1..n in the given order (unique) without a global sort in one task.
+
+    Spark's range partitioner deals the rows into cells that follow each other; places inside a cell are shifted by the
+    sizes of the earlier ones, of which one row per cell reaches the driver.
+    """
+    spark = df.sparkSession
+    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keep_table(df.repartitionByRange(cells, *order).withColumn("_cell", F.spark_partition_id()), "ordered")
+    shifts, total = [], 0
+    for row in sorted(dealt.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()):
+        shifts.append((row["_cell"], total))
+        total += row["n"]
+    shift = F.broadcast(spark.createDataFrame(shifts, "_cell int, _shift long"))
+    inside = F.row_number().over(Window.partitionBy("_cell").orderBy(*order))
+    return dealt.withColumn("_inside", inside).join(shift, "_cell").withColumn(out, F.col("_inside") + F.col("_shift")).select(*df.columns, out)
+
+
 def dense_index(df: DataFrame, key: str, out: str, groups: Sequence[str] = ()) -> DataFrame:
     """Number rows 0..n-1 (per group) in the order (3 hex digits of md5(key), key); key is unique per group.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from palate.config import STAR_TO_GAIN
-from palate.functions.sampling import dense_index, hash_sample
+from palate.functions.sampling import dense_index, hash_sample, ordered_index
 from palate.operators.features import cross_features
 from palate.session import cut_lineage
 
@@ -68,8 +68,7 @@ def popularity_candidates(targets: DataFrame, history: DataFrame, n: int = 100)
     """Top-n businesses by history volume that the user has not visited, shaped like ALS candidates."""
     # one global order; a user reads it only as far as n places beyond what the user has seen
     volume = history.groupBy("business_id").agg(F.count(F.lit(1)).cast("double").alias("volume"))
-    place = F.row_number().over(Window.orderBy(F.desc("volume"), "business_id"))
-    order = cut_lineage(volume.withColumn("place", place))  # one row per business
+    order = cut_lineage(ordered_index(volume, [F.desc("volume"), F.asc("business_id")], "place"))  # one row per business
     seen = cut_lineage(seen_pairs(history, targets).distinct())
     ranked = seen.join(order.select(F.col("business_id").alias("item_id"), "place"), "item_id")
     reach = (

@@ -71,3 +71,12 @@ def test_crowded_cells_are_cut_until_small(spark, monkeypatch):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     fractions = (0.0, 0.1, 0.5, 0.899, 0.95, 1.0)
     assert np.allclose(list(exact_quantiles(df, F.col("v"), fractions, 1000.0).first()), np.quantile(values, fractions))
+
+
+def test_ordered_index_numbers_rows_in_order(spark):
+    from palate.functions.sampling import ordered_index
+    data = [(i, (i * 7919) % 13) for i in range(500)]  # few values, many ties
+    df = spark.createDataFrame(data, "id long, volume long").repartition(5)
+    got = {r.id: r.place for r in ordered_index(df, [F.desc("volume"), F.asc("id")], "place").collect()}
+    assert got == {i: n for n, (i, _) in enumerate(sorted(data, key=lambda r: (-r[1], r[0])), 1)}
+    assert ordered_index(df.limit(0), [F.asc("id")], "place").count() == 0
