@@ -41,7 +41,8 @@ class Settings:
     fit_share: float = 0.85
     rank_rounds: int = 600
     rank_learning_rate: float = 0.05
-    rank_max_depth: int = 6
+    rank_max_leaves: int = 63
+    rank_max_depth: int | None = None
     rank_min_rows: int = 100
     rank_row_share: float = 0.8
     rank_column_share: float = 0.8
