@@ -13,6 +13,7 @@ from palate.operators import als, candidates as c
 from palate.operators.cohort import temporal_split
 from palate.operators.rerank import RankerModel, feature_importance as importance_of, rank_ltr as rank_by_model, ranker_attribution as attribution_of
 from palate.plans import train
+from palate.plans.stages import is_finished, mark_finished
 from palate.session import cut_lineage, keep_table, shared_dir
 from palate.sources.artifacts import read_artifact
 
@@ -28,10 +29,10 @@ def _folder(spark, sf_dir) -> str:
     """The artifacts of a training run over these tables: whichever key comes first writes them, the others read."""
     name = hashlib.md5(f"{spark.sparkContext.applicationId}|{sf_dir}".encode()).hexdigest()
     folder = f"{shared_dir(spark)}/recommender-{name}"
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/comparison/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    if not is_finished(spark, folder):
         rows = keep_table(temporal_split(view(spark, sf_dir, "interactions")), "split")
-        train.write_recommender(train.train_recommender(rows, _static(spark, sf_dir), DEFAULTS), folder)
+        train.write_recommender(train.train_recommender(rows, _static(spark, sf_dir), DEFAULTS, f"{folder}/stages"), folder)
+        mark_finished(spark, folder)
     return folder
 
 

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -7,7 +9,9 @@ from palate.config import Settings
 from palate.operators.features import FEATURE_COLUMNS
 from palate.plans.descriptive import descriptive_report, write_descriptive_report
 from palate.plans.prepare import prepare_cohort, write_cohort
+from palate.plans import train
 from palate.plans.search import build_search
+from palate.plans.stages import Stages, content_digest
 from palate.plans.train import StaticTables, train_recommender, write_recommender
 from palate.session import scratch_path
 from palate.sources.artifacts import read_artifact, read_report
@@ -68,6 +72,63 @@ def test_recommender_reports(spark, trained):
     assert read_artifact(spark, f"{folder}/test_frame").count() == done.test_frame.count()
 
 
+def test_training_goes_on_after_the_last_finished_stage(spark, sf_dir, trained, monkeypatch):
+    interactions, done = trained
+    static = StaticTables(
+        text_ids(view(spark, sf_dir, "businesses")), *[text_ids(view(spark, sf_dir, name)) for name in ("users", "checkins", "tips")])
+    folder = scratch_path(spark, "stages")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(train, "fit_ranker", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            train_recommender(interactions, static, SETTINGS, folder)
+    # finished stages must not be computed again: the parts that they call are gone
+    with monkeypatch.context() as gone:
+        real = train.fit_factors
+        calls = []
+        gone.setattr(train, "fit_factors", lambda *given: calls.append(1) or real(*given))
+        again = train_recommender(interactions, static, SETTINGS, folder)
+    assert again.ran[0] == "ranker" and "fit_frame" not in again.ran and len(calls) == 1
+    for name in ("fit_factors", "fit_ranker", "als_frame", "rank_ltr", "evaluate_rankings"):
+        monkeypatch.setattr(train, name, lost)
+    third = train_recommender(interactions, static, SETTINGS, folder)
+    assert third.ran == () and third.model.history == again.model.history
+    assert third.comparison.collect() == again.comparison.collect()
+    # another setting of the booster repeats what reads it, another input everything
+    other = dataclasses.replace(SETTINGS, rank_rounds=1)
+    with pytest.raises(RuntimeError, match="lost"):
+        train_recommender(interactions, static, other, folder)
+    with pytest.raises(RuntimeError, match="lost"):
+        train_recommender(interactions.where("user_id <> '1'"), static, SETTINGS, folder)
+
+
+def test_half_written_stages_do_not_count(spark):
+    path = scratch_path(spark, "half")
+    stages = Stages(spark, SETTINGS, path, rows=spark.range(3))
+
+    def half():
+        yield spark.range(2)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        stages.tables("pair", ["one", "two"], half, ["rows"])
+    one, two = stages.tables("pair", ["one", "two"], lambda: [spark.range(4), spark.range(5)], ["rows"])
+    assert (one.count(), two.count()) == (4, 5)
+
+
+def test_content_digest_ignores_order_and_sees_every_cell(spark):
+    df = spark.createDataFrame(
+        [(1, None, {"a": "b"}), (None, 1, None), (1, None, {"a": "b"})], "`x.y` int, z int, m map<string,string>")
+    same = content_digest(df)
+    assert content_digest(df.repartition(3)) == same
+    others = [df.dropDuplicates(["z"]), df.withColumn("z", F.coalesce("z", F.lit(2))), df.select(df["z"].alias("x.y"), F.col("`x.y`").alias("z"), "m"),
+              df.withColumn("m", F.lit(None).cast("map<string,string>")), df.where("false"), df.withColumnRenamed("z", "w")]
+    assert len({same, *(content_digest(other) for other in others)}) == 7
+
+
 def test_descriptive_report(spark, sf_dir):
     reviews = view(spark, sf_dir, "reviews").withColumn("date", F.lit("2020-02-03").cast("timestamp"))
     users = view(spark, sf_dir, "users").withColumn("is_elite", is_elite(F.col("elite")))
