@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from palate.llm.common import fields_and, map_batches, worker_model
+from palate.llm.common import kept_and, kept_beside, map_batches, worker_model
 
 # The pre-token pattern of the byte-level rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -163,12 +163,12 @@ def encode_documents(
 
     `path` is a rank file, `pattern` splits text into pre-tokens, each of which is
     encoded on its own without special tokens; decoded_sha256 is of the bytes decoded from the ids.
-    Null texts count as empty (no ids), repeated rows stay, an empty table gives no rows.
+    Null texts count as empty (no ids), repeated rows stay, an empty table gives no rows. A kept column named like a result
+    gives way to it. A very long text is encoded as a whole.
     """
-    kept = [docs.schema[c] for c in columns]
     ranks = shared_ranks(docs.sparkSession, path)
     types = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids array<int>, round_trip boolean"
-    schema = fields_and(kept, types)
+    kept, schema = kept_and(docs, columns, types)
 
     def run(batches):
         encoder = worker_encoder(ranks.value, pattern)
@@ -196,14 +196,13 @@ def encode_documents(
             names = [f.name for f in kept] + ["n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids", "round_trip"])]
             yield pa.RecordBatch.from_arrays([*arrays, *made], names=names)
 
-    return map_batches(docs.select(*[docs[c] for c in columns], docs[text].alias("_text")), run, schema)
+    return map_batches(kept_beside(docs, kept, docs[text]), run, schema)
 
 
 def decode_documents(encoded: DataFrame, path: str, columns: list[str], ids: str = "ids") -> DataFrame:
     """`columns` of every row plus the text its ids decode to; bytes that are no UTF-8 become U+FFFD, null ids ''."""
-    kept = [encoded.schema[c] for c in columns]
     ranks = shared_ranks(encoded.sparkSession, path)
-    schema = fields_and(kept, "decoded string")
+    kept, schema = kept_and(encoded, columns, "decoded string")
 
     def run(batches):
         encoder = worker_encoder(ranks.value, PATTERN)
@@ -212,4 +211,4 @@ def decode_documents(encoded: DataFrame, path: str, columns: list[str], ids: str
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(kept))), pa.array(texts, pa.string())], names=[f.name for f in kept] + ["decoded"])
 
-    return map_batches(encoded.select(*[encoded[c] for c in columns], encoded[ids].alias("_ids")), run, schema)
+    return map_batches(kept_beside(encoded, kept, encoded[ids]), run, schema)

@@ -69,6 +69,30 @@ def fields_and(fields: list[StructField], ddl: str) -> StructType:
     return StructType([*fields, *DataType.fromDDL(ddl).fields])
 
 
+def kept_and(docs: DataFrame, columns: list[str], ddl: str) -> tuple[list[StructField], StructType]:
+    """The fields of kept columns and the schema of those and a DDL string's; a column named like one of these gives way."""
+    made = DataType.fromDDL(ddl).fields
+    taken = {f.name.lower() for f in made}
+    kept = [docs.schema[c] for c in columns if c.lower() not in taken]
+    return kept, StructType([*kept, *made])
+
+
+def kept_beside(docs: DataFrame, kept: list[StructField], value: Column) -> DataFrame:
+    """Kept columns under names of their own, which mapInArrow needs to differ, and the column to work on, last."""
+    return docs.select(*[docs[f"`{f.name}`"].alias(f"kept_{i}") for i, f in enumerate(kept)], value.alias("value"))
+
+
+def has_map(kind: DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A 64-bit hash of whole rows: which cells are null counts, maps go in as JSON."""
+    fields = sorted(docs.schema.fields, key=lambda f: f.name)
+    cells = [F.to_json(F.struct(docs[f"`{f.name}`"])) if has_map(f.dataType) else docs[f"`{f.name}`"] for f in fields]
+    return F.xxhash64(*cells, *[docs[f"`{f.name}`"].isNull() for f in fields])
+
+
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of an Arrow string column and the row offsets into them (rows + 1); null counts as empty."""
     kind = np.int64 if str(column.type).startswith("large") else np.int32

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from palate.llm.common import fields_and, map_batches, text_slices, worker_model
+from palate.llm.common import kept_and, kept_beside, map_batches, text_slices, worker_model
 
 # Bounds of the training sample: this many documents of a language on average, the letters at the start of each, and
 # bytes of normalised text per language.
@@ -172,10 +172,10 @@ def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[st
 
     Only the text decides. Whole texts are parsed; PIECE bytes at a time start a phrase of their own, the same for every
     language. Null texts and texts without a letter, or nothing to learn from, give 'und' with score 0 and bits null; ties
-    go to the first language by name. Repeated rows stay, an empty table gives no rows, other columns are ignored.
+    go to the first language by name. Repeated rows stay, an empty table gives no rows, other columns are ignored,
+    a kept column named like a result gives way to it.
     """
-    kept = [docs.schema[c] for c in columns]
-    schema = fields_and(kept, "lang_pred string, score double, bits double, foreign boolean")
+    kept, schema = kept_and(docs, columns, "lang_pred string, score double, bits double, foreign boolean")
 
     def run(batches):
         parsers = worker_parsers(texts)
@@ -203,4 +203,4 @@ def predict_languages(docs: DataFrame, texts: dict[str, bytes], columns: list[st
                  pa.array(bits, pa.float64()), pa.array(foreign, pa.bool_())],
                 names=[f.name for f in kept] + ["lang_pred", "score", "bits", "foreign"])
 
-    return map_batches(docs.select(*[docs[c] for c in columns], letters(docs[text]).alias("_letters")), run, schema)
+    return map_batches(kept_beside(docs, kept, letters(docs[text])), run, schema)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from palate.llm.common import ALNUM, LOWER, fields_and, map_batches, text_slices, word_bounds, worker_model
+from palate.llm.common import ALNUM, LOWER, kept_and, kept_beside, map_batches, text_slices, word_bounds, worker_model
 from palate.llm.license_rules import all_rules
 
 # Base phrases of consecutive words and their labels (fixed values).
@@ -103,11 +103,11 @@ def scan_licenses(docs: DataFrame, columns: list[str], text: str = "text", spans
     n_words; n_base, first_word, last_word and base_labels of the base phrases (word numbers from 0); labels of both the
     base phrases and the rules; score, the confidence of the surest detection (0: none); with `spans` also the kept
     detections as 'label:start:end' in bytes of the text. Labels are distinct, sorted and comma-joined. Null and
-    empty texts have no words and no labels; repeated rows stay; an empty table gives no rows.
+    empty texts have no words and no labels; repeated rows stay; an empty table gives no rows. A kept column
+    named like a result gives way to it. A very long text is scanned as a whole.
     """
-    kept = [docs.schema[c] for c in columns]
-    schema = fields_and(kept, "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-                        + (", detections string" if spans else ""))
+    kept, schema = kept_and(docs, columns, "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+                            + (", detections string" if spans else ""))
 
     def run(batches):
         phrases = phrase_patterns()
@@ -140,4 +140,4 @@ def scan_licenses(docs: DataFrame, columns: list[str], text: str = "text", spans
                 [*(batch.column(i) for i in range(len(kept))), *(pa.array(list(v), t) for v, t, _ in zip(made, types, names))],
                 names=[f.name for f in kept] + names)
 
-    return map_batches(docs.select(*[docs[c] for c in columns], docs[text].alias("_text")), run, schema)
+    return map_batches(kept_beside(docs, kept, docs[text]), run, schema)

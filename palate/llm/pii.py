@@ -24,6 +24,9 @@ TERM = r"\p{L}[\p{L}\p{N}]{3,}+"
 DISCLOSURE = 0.8
 # estimated from at least so many different texts.
 SUPPORT = 2
+# copies of a text that meet its terms under one key, and the most keys that a text gets
+COPIES = 1_000
+MOST_PARTS = 4_096
 
 
 def digits(found: Column) -> Column:
@@ -129,12 +132,15 @@ def find_personal_data(docs: DataFrame, columns: list[str], text: str = "text")
 
     Kinds are the entities' and 'term' for words that reveal an entity of the same text (see `revealing_terms`), at every
     place of the text. Places are code points, end exclusive. Null texts count as empty and have no spans; copies of a text
-    share their spans and count as one text in the support of a term; repeated rows stay; an empty table gives no rows.
+    share their spans and count as one text in the support of a term; repeated rows stay; an empty table gives no rows. A kept
+    column named `spans` gives way to the result, other names cannot clash. A very long text is searched as a whole.
     """
+    kept = [docs[c].alias(c) for c in columns if c != "spans"]
+    kept = [F.struct(*kept).alias("_kept")] if kept else []
     body = F.coalesce(docs[text], F.lit(""))
-    rows = docs.select(*[docs[c] for c in columns], body.alias("_text")).withColumn("spans", base_spans(F.col("_text")))
+    rows = docs.select(*kept, body.alias("_text")).withColumn("spans", base_spans(F.col("_text")))
     rows = written(rows.select(
-        *columns, "spans",
+        *(["_kept"] if kept else []), "spans", F.pmod(F.monotonically_increasing_id(), F.lit(MOST_PARTS)).alias("_place"),
         # rows without entities get keys too, so that the last join deals them out evenly
         F.when(F.size("spans") > 0, F.sha2("_text", 256)).otherwise(F.xxhash64("_text").cast("string")).alias("_row"),
         F.when(F.size("spans") > 0, blanked(F.col("_text"), F.col("spans"))).alias("_blank")), "entities")
@@ -144,8 +150,17 @@ def find_personal_data(docs: DataFrame, columns: list[str], text: str = "text")
     texts = units.join(sized_broadcast(marked.select("_row").distinct()), "_row", "left_semi")
     hits = places_of(texts).join(marked, ["_row", "term"]).groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
         "start", F.lit(len(KINDS)).alias("order"), F.lit("term").alias("kind"), "end", F.col("term").alias("found")))).alias("extra"))
-    return rows.join(hits, "_row", "left").select(
-        *[F.col(c) for c in columns], F.concat("spans", F.coalesce("extra", no_spans())).alias("spans"))
+    # a text of many copies gets several keys, so that no task meets all of them
+    parts = F.least(F.ceil(F.col("copies") / F.lit(COPIES)), F.lit(MOST_PARTS)).cast("long")
+    hot = sized_broadcast(written(
+        units.where(F.col("copies") > COPIES).join(sized_broadcast(marked.select("_row").distinct()), "_row", "left_semi")
+        .select("_row", parts.alias("parts")), "hot"))
+    known = F.coalesce("parts", F.lit(1).cast("long"))
+    dealt = hits.join(hot, "_row", "left").select(
+        "_row", "extra", F.explode(F.sequence(F.lit(0).cast("long"), known - 1)).alias("_part"))
+    met = rows.join(hot, "_row", "left").withColumn("_part", F.pmod("_place", known))
+    return met.join(dealt, ["_row", "_part"], "left").select(
+        *(["_kept.*"] if kept else []), F.concat("spans", F.coalesce("extra", no_spans())).alias("spans"))
 
 
 def sanitised(text: Column, spans: Column) -> Column:
