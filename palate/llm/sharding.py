@@ -8,11 +8,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from palate.llm.common import mix, sized_broadcast, written
+from palate.llm.common import has_map, mix, row_hash, sized_broadcast, written
 from palate.session import scratch_path
 
 ROUNDS = 6
 CELL_DIGITS = 3  # hex digits of a hash that form a cell: 4,096 cells
+RUN = 4_096  # copies of a row that one task's step deals out
 
 
 def feistel(numbers: np.ndarray, total: int, seed: int) -> np.ndarray:
@@ -35,8 +36,8 @@ def feistel(numbers: np.ndarray, total: int, seed: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def numbered_rows(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
-    """Rows reduced to `keys` with `row_no` 0 .. n - 1, and n.
+def number_ranges(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """Distinct `keys` with the first of the numbers 0 .. n - 1 that their rows take (`first`), and n.
 
     Equal rows are counted before the shuffle and share a range of numbers. Numbers run inside cells of a
     hash of the keys and are shifted by the sizes of the earlier cells, so no cell holds a hot value's rows:
@@ -59,24 +60,37 @@ def numbered_rows(docs: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
     numbered = (
         celled.withColumn("_last", last)
         .join(F.broadcast(shifts), "_cell")
-        .withColumn("row_no", F.explode(F.sequence(
-            F.col("_offset") + F.col("_last") - F.col("_copies"), F.col("_offset") + F.col("_last") - 1)))
-        .select(*keys, "row_no")
+        .select(*keys, (F.col("_offset") + F.col("_last") - F.col("_copies")).alias("first"))
     )
     return numbered, total
 
 
+def dealt_out(rows: DataFrame, run: int = RUN) -> DataFrame:
+    """A row per copy: `_doc` with row_no from `first` on, `copies` times; other columns go.
+
+    Copies are cut into runs of at most `run` numbers, and the runs are spread by their number before they are dealt out, so
+    neither an array nor a task holds all copies of a hot row.
+    """
+    starts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / F.lit(run)))
+    runs = (
+        rows.select("_doc", "first", "copies", F.explode(starts).alias("run"))
+        .select("_doc", (F.col("first") + F.col("run") * run).alias("from"), (F.col("first") + F.col("copies") - 1).alias("end"))
+        .repartition(F.col("from"))
+    )
+    upto = F.least(F.col("from") + F.lit(run - 1), F.col("end"))
+    return runs.select("_doc", F.explode(F.sequence("from", upto)).alias("row_no"))
+
+
 def placed_rows(docs: DataFrame, shards: int, seed: int, key: str, text: str) -> DataFrame:
     """Every whole row as `_doc`, with shard, slot and row_no."""
     body = F.coalesce(docs[text], F.lit(""))
     keys = ["doc_id", "size", "crc", "hash"]
     rows = docs.select(
         docs[key].alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("crc"),
-        F.xxhash64(*[docs[c] for c in docs.columns]).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
-    numbered, total = numbered_rows(rows.select(*keys[:3]), keys[:3])
+        row_hash(docs).alias("hash"), F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    first, total = number_ranges(rows.select(*keys[:3]), keys[:3])
     # one number range per (doc_id, size, crc); inside it rows of different content by their hash, in slices, so that no
     # task holds a hot key's rows
-    first = numbered.groupBy(*keys[:3]).agg(F.min("row_no").alias("first"))
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).withColumn("slice", F.pmod("hash", F.lit(4096)))
     slices = counted.groupBy(*keys[:3], "slice").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy(*keys[:3]).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,9 +110,10 @@ def placed_rows(docs: DataFrame, shards: int, seed: int, key: str, text: str) ->
     single = rows.join(once, same(rows, once, keys)).select("_doc", F.col("start").alias("row_no"))
     # equal rows are counted before they are dealt out; rows that only share the hash follow each other
     kept = rows.join(sized_broadcast(more), same(rows, more, keys)).groupBy("_doc", "start").agg(F.count(F.lit(1)).alias("copies"))
-    upto = Window.partitionBy("start").orderBy("_doc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = kept.withColumn("last", F.col("start") + F.sum("copies").over(upto) - 1)
-    repeated = last.select("_doc", F.explode(F.sequence(F.col("last") - F.col("copies") + 1, F.col("last"))).alias("row_no"))
+    # maps have no order of their own
+    order = F.to_json("_doc") if has_map(rows.schema["_doc"].dataType) else F.col("_doc")
+    upto = Window.partitionBy("start").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    repeated = dealt_out(kept.withColumn("first", F.col("start") + F.sum("copies").over(upto) - F.col("copies")))
 
     @F.pandas_udf("long")
     def place(numbers: pd.Series) -> pd.Series:
