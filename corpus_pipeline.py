@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from palate.llm import bpe, decontaminate, jaccard_join, language_id, secrets
-from palate.llm.common import sized_broadcast, table, written
+from palate.llm.common import row_hash, sized_broadcast, table, written
 
 # SQL has neither automata nor a rank queue; the stages are tested against brute force instead.
 ORACLE_SQL = None
@@ -14,7 +14,7 @@ ORACLE_SQL = None
 
 def carried(docs: DataFrame) -> DataFrame:
     """doc_id and text, the whole row as _doc, so that no column of it can clash, and _row, a hash equal rows share."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"), F.xxhash64(*sorted(docs.columns)).alias("_row"))
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"), row_hash(docs).alias("_row"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
