@@ -4,10 +4,13 @@ import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
 
+from checks.common import view
+from palate.operators.candidates import confidence_matrix
 from palate.operators.descriptive import city_summary
+from palate.operators.features import cohort_users, enrich_businesses, user_features
 from palate.session import scratch_path, shared_dir
 from palate.sources import jsonl
-from palate.sources.artifacts import read_artifact, read_report, write_artifact, write_report
+from palate.sources.artifacts import read_artifact, read_report, write_artifact, write_bucketed, write_report
 from palate.streaming.ingest import append_interactions, stream_cohort_reviews
 
 
@@ -73,3 +76,26 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 def test_shared_dir_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or shared_dir(spark) == configured
+
+
+def test_bucketed_interactions_are_grouped_without_exchange(spark, sf_dir, capsys):
+    history = view(spark, sf_dir, "interactions")
+    businesses, users = enrich_businesses(view(spark, sf_dir, "businesses")), view(spark, sf_dir, "users")
+    targets = history.select("user_id").distinct()
+    bucketed = write_bucketed(history, "bucketed_interactions", scratch_path(spark, "bucketed"), "user_id", 4)
+    try:
+        def jobs(rows):
+            return confidence_matrix(rows), user_features(rows, businesses, cohort_users(users, targets), only=targets)
+
+        for plain, kept in zip(jobs(history), jobs(bucketed)):
+            capsys.readouterr()
+            kept.explain()
+            exchanges = [line for line in capsys.readouterr().out.splitlines() if "hashpartitioning(user_id" in line]
+            plain.explain()
+            before = [line for line in capsys.readouterr().out.splitlines() if "hashpartitioning(user_id" in line]
+            assert len(exchanges) < len(before), (exchanges, before)
+            columns = [c for c in plain.columns if plain.schema[c].dataType.simpleString() != "double"]
+            assert plain.count() == kept.count() and plain.select(columns).exceptAll(kept.select(columns)).isEmpty()
+            assert kept.columns != ["user_id", "business_id", "confidence"] or not exchanges
+    finally:
+        spark.sql("DROP TABLE bucketed_interactions")
