@@ -13,7 +13,7 @@ from palate.config import Settings
 from palate.functions.text import WHITESPACE_CHARS
 from palate.operators import corpus as c, encode, search as s, wordvec
 from palate.plans.search import build_search, corpus_of, open_search
-from palate.session import cut_lineage, shared_dir
+from palate.session import cut_lineage, scratch_path, shared_dir
 from palate.sources.artifacts import write_artifact
 
 
@@ -160,6 +160,12 @@ def vector_topk_blocks(spark, sf_dir):
     return canonical(found)
 
 
+def vector_topk_cells(spark, sf_dir):
+    folder = scratch_path(spark, "cells")
+    s.write_vector_index(_vectors(spark, sf_dir), folder, cells=32, piece_rows=200)
+    return canonical(s.indexed_topk(spark, _all_queries(spark, sf_dir), folder, block=64))
+
+
 def search_reviews(spark, sf_dir):
     found = s.search_reviews(_all_queries(spark, sf_dir), _vectors(spark, sf_dir), view(spark, sf_dir, "businesses"))
     return _digest(found)
@@ -286,6 +292,8 @@ CHECKS = {
     "mine_pairs": Check(mine_pairs, compose("SELECT * FROM text_pairs", ["text_pairs"], extra=pair_ctes("corpus", "text", 25_000))),
     "vector_topk": Check(vector_topk, compose(
         "SELECT query_id, item_id AS review_id, score, rank FROM hits10", ["hits10"], ["score"])),
+    "vector_topk_cells": Check(vector_topk_cells, compose(
+        "SELECT query_id, item_id AS review_id, score, rank FROM hits10", ["hits10"], ["score"])),
     "vector_topk_blocks": Check(vector_topk_blocks, compose(
         "SELECT query_id, item_id AS review_id, score, rank FROM hits10", ["hits10"], ["score"])),
     "search_reviews": Check(search_reviews, compose("""

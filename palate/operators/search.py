@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from palate.functions.numbers import percent_lift
+from palate.operators.cells import build_cells, cell_topk
 from palate.operators.topk import best_groups, topk_inner_product
 from palate.session import cut_lineage
 
@@ -40,6 +41,17 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, **how) -> Da
     ).withColumnRenamed("item_id", "review_id")
 
 
+def write_vector_index(corpus: DataFrame, folder: str, **how) -> None:
+    """corpus: review_id, embedding -> an index of cells in `folder`."""
+    build_cells(corpus.select(F.col("review_id").alias("item_id"), F.col("embedding").alias("vec")), folder, **how)
+
+
+def indexed_topk(spark: SparkSession, queries: DataFrame, folder: str, k: int = 10, **how) -> DataFrame:
+    """The rows of `vector_topk` from an index that was written: only cells that can hold a hit are read."""
+    asked = queries.select("query_id", F.col("embedding").alias("vec"))
+    return cell_topk(spark, asked, folder, k, **how).withColumnRenamed("item_id", "review_id")
+
+
 def _beside_corpus(hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return F.broadcast(hits) if queries.count() * k <= BROADCAST_HITS else hits
 

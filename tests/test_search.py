@@ -68,6 +68,54 @@ def test_length_order_prunes_without_loss(spark, monkeypatch, spread):
     assert scored.value <= 40 * len(x) and (spread < 3 or scored.value < 0.3 * 40 * len(x))
 
 
+@pytest.mark.parametrize("kind", ["clusters", "ties", "hot", "lengths"])
+def test_cells_equal_brute_force(spark, tmp_path, kind):
+    """Tight clusters, many equal scores, a third of the items one vector, lengths far apart; null vectors take no part."""
+    from palate.operators.cells import build_cells, cell_topk
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(20, 6)) * 5
+    x = {
+        "clusters": {i: middles[i % 20] + rng.normal(size=6) * 0.05 for i in range(900)},
+        "ties": {i: rng.integers(-2, 3, 6).astype(float) for i in range(900)},
+        "hot": {i: middles[0] if i % 3 == 0 else middles[i % 20] + rng.normal(size=6) for i in range(900)},
+        "lengths": {i: rng.normal(size=6) * np.exp(2 * rng.normal()) for i in range(900)},
+    }[kind]
+    q = {f"q{i}": middles[i % 20] * 0.1 + rng.normal(size=6) * (kind != "clusters") for i in range(60)} | {"zero": np.zeros(6)}
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in q.items()] + [("none", None)], "query_id string, vec array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()] + [(5000, None)], "item_id long, vec array<double>").repartition(4)
+    folder = str(tmp_path / "index")
+    build_cells(items, folder, cells=20, piece_rows=100)
+    for k in (9, 1000) if kind == "hot" else (9,):
+        scored = spark.sparkContext.accumulator(0)
+        got = cell_topk(spark, queries, folder, k, block=32, scored=scored)
+        assert rows(got, "query_id", "item_id", "rank") == brute(q, x, k)
+        assert scored.value <= len(q) * len(x)
+        if kind == "clusters":
+            assert scored.value < 0.5 * len(q) * len(x)
+
+
+def test_cells_of_empty_tables_and_few_items(spark, tmp_path):
+    from palate.operators.cells import build_cells, cell_topk
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vec array<float>")
+    for n in (0, 1, 3):
+        folder = str(tmp_path / f"index{n}")
+        build_cells(spark.createDataFrame([(i, [float(i), 1.0]) for i in range(n)], "item_id long, vec array<float>"), folder, cells=8)
+        assert rows(cell_topk(spark, queries, folder, 5), "item_id", "rank") == [(n - 1 - r, r + 1) for r in reversed(range(n))]
+        assert cell_topk(spark, queries.where("false"), folder, 5).isEmpty()
+
+
+def test_cells_read_only_their_folders(spark, tmp_path):
+    """The scan of the items is pruned to the folders of the cells that are read."""
+    from palate.operators import cells
+    folder = str(tmp_path / "index")
+    cells.build_cells(spark.range(400).selectExpr("id AS item_id", "array(double(id % 4) * 100, 1.0D) AS vec"), folder, cells=4)
+    queries = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vec array<double>")
+    scored = spark.sparkContext.accumulator(0)
+    found = cells.cell_topk(spark, queries, folder, 5, scored=scored)
+    assert rows(found, "item_id") == [(i,) for i in sorted([3, 7, 11, 15, 19], key=lambda i: repr((i,)))]
+    assert scored.value <= 200
+
+
 def test_cells_have_partitions_of_their_own(spark):
     """One task per cell of the block strategy: no exchange after the one that places cells."""
     queries = spark.range(64).selectExpr("id AS query_id", "array(1.0D, id) AS vec")
