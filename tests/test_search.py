@@ -340,3 +340,37 @@ def test_profile_stats(spark):
     assert (u.n_reviews, u.avg_stars, u.top_categories, u.price_pref, u.top_cities, u.favorites) == (
         4, 3.75, ["Thai", "Sushi"], "$$", ["b", "a"], ["X", "Y"])
     assert (v.n_reviews, v.top_categories, v.price_pref, v.favorites) == (1, [], "n/a", [])
+
+
+def test_block_strategy_copies_rows_by_tasks_not_by_block(spark, monkeypatch):
+    """Small blocks: no more cells than tasks are wanted; ties, repeated query ids and pairs to leave out as by brute force."""
+    from palate.operators import topk
+    dealt, deal = [], topk._celled
+    monkeypatch.setattr(topk, "_celled", lambda asked, held, qb, ib, more=None: dealt.append(qb * ib) or deal(asked, held, qb, ib, more))
+    rng = np.random.default_rng(8)
+    q = {i: rng.integers(-2, 3, 4).astype(float) for i in range(900)}
+    x = {i: rng.integers(-2, 3, 4).astype(float) for i in range(700)}
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in q.items()], "query_id long, vec array<float>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "item_id long, vec array<float>").repartition(5)
+    pairs = {(i, j) for i in range(0, 900, 7) for j in range(0, 700, 3)} | {(5, j) for j in range(698)}
+    exclude = spark.createDataFrame(list(pairs), "query_id long, item_id long")
+    found = topk_inner_product(queries, items, 6, exclude=exclude, strategy="blocks", block=8)
+    assert rows(found, "query_id", "item_id", "rank") == brute(q, x, 6, pairs)
+    assert dealt[0] <= 4 * spark.sparkContext.defaultParallelism
+    twice = topk_inner_product(queries.unionAll(queries), items, 6, strategy="blocks", block=8)
+    assert twice.groupBy("query_id").count().where("count <> 6").isEmpty()
+
+
+def test_cells_copy_rows_by_units_not_by_pieces(spark, tmp_path, monkeypatch):
+    """Small pieces and blocks: a cell is still one unit, so every item is sent once a round."""
+    from palate.operators import cells
+    rng = np.random.default_rng(9)
+    x = {i: rng.integers(-2, 3, 4).astype(float) for i in range(600)}
+    q = {i: rng.normal(size=4) for i in range(200)}
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in q.items()], "query_id long, vec array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "item_id long, vec array<double>").repartition(3)
+    folder, plans, read = str(tmp_path / "index"), [], cells._cut
+    cells.build_cells(items, folder, cells=4, piece_rows=20)
+    monkeypatch.setattr(cells, "_cut", lambda hits, k: plans.append(hits) or read(hits, k))
+    assert rows(cells.cell_topk(spark, queries, folder, 5, block=8), "query_id", "item_id", "rank") == brute(q, x, 5)
+    assert plans[0].rdd.getNumPartitions() <= 4
