@@ -34,6 +34,8 @@ FIT_ROUNDS = 10
 # What a task takes on at most: scores that it computes, rows that it receives (beyond the tasks that MAX_TASKS allows: more).
 TASK_SCORES = QUERY_BLOCK * ITEM_BLOCK // 4
 TASK_ROWS = 4 * ITEM_BLOCK
+# Items and queries of a unit, whatever the sizes of pieces and blocks: the larger a unit, the less often its rows are copied.
+UNIT_ROWS = ITEM_BLOCK
 
 
 def build_cells(items: DataFrame, folder: str, cells: int | None = None, piece_rows: int = ITEM_BLOCK, seed: int = 42) -> None:
@@ -107,7 +109,9 @@ def cell_topk(spark: SparkSession, queries: DataFrame, folder: str, k: int, bloc
     floors = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
     open_cells = asked.join(floors, "query_id", "left").mapInPandas(
         _others(shared), T.StructType([*queries.schema.fields]).add("floor", T.DoubleType()).add("more", numbers))
-    second = keep_table(open_cells.select("query_id", "vec", "floor", F.explode("more").alias("cell")), "visits")
+    # a query is kept once, with the list of its cells
+    visits = keep_table(open_cells, "visits")
+    second = visits.select("query_id", "vec", "floor", F.explode("more").alias("cell"))
     far = _read(second, items, cells, k, block, schema, scored)
     return _cut(near.drop("rank").unionByName(far), k)
 
@@ -149,29 +153,32 @@ def _others(shared) -> Callable:
 
 
 def _read(visits: DataFrame, items: DataFrame, cells: pd.DataFrame, k: int, block: int, schema: T.StructType, scored) -> DataFrame:
-    """The k best items per query and unit that reach the query's floor; a unit is one piece of a cell and one block of its queries."""
+    """The k best items per query and unit that reach the query's floor; a unit is some pieces of a cell and some blocks of its queries."""
     spark = visits.sparkSession
     wanted = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a cell
     units, total, scores, moved = [], 0, 0, 0
     for cell, n, pieces in zip(cells["cell"].tolist(), cells["n"].tolist(), cells["pieces"].tolist()):
         if cell in wanted:
-            blocks = math.ceil(wanted[cell] / block)
-            units.append((cell, pieces, blocks, total))
-            total += pieces * blocks
+            # pieces and blocks are put together up to UNIT_ROWS rows, so that rows are copied less often
+            joint = max(1, UNIT_ROWS * pieces // n)
+            groups = math.ceil(pieces / joint)
+            blocks = math.ceil(wanted[cell] / max(block, UNIT_ROWS))
+            units.append((cell, joint, groups, blocks, total))
+            total += groups * blocks
             scores += n * wanted[cell]
-            moved += n * blocks + wanted[cell] * pieces
+            moved += n * blocks + wanted[cell] * groups
     if not units:
         return spark.createDataFrame([], schema)
-    plan = F.broadcast(spark.createDataFrame(units, "cell int, pieces int, blocks int, before long"))
+    plan = F.broadcast(spark.createDataFrame(units, "cell int, joint long, groups int, blocks int, before long"))
     no_query, no_item = (
         F.lit("" if isinstance(schema[c].dataType, T.StringType) else 0).cast(schema[c].dataType).alias(c) for c in ("query_id", "item_id"))
-    vector, unit = items.schema["vec"].dataType, F.col("before") + F.col("piece") * F.col("blocks") + F.col("qb")
+    vector, unit = items.schema["vec"].dataType, F.col("before") + F.col("group") * F.col("blocks") + F.col("qb")
     asked = visits.join(plan, "cell").select(
-        "*", _block("query_id", F.col("blocks")).alias("qb"), F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"),
+        "*", _block("query_id", F.col("blocks")).alias("qb"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"),
     ).select(unit.alias("unit"), F.lit(0).alias("kind"), "query_id", no_item, F.col("vec").cast(vector).alias("vec"), "floor")
     # only the folders of the cells that some query reads
     held = items.where(F.col("cell").isin([u[0] for u in units])).join(plan, "cell").select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qb"),
+        "*", F.expr("piece div joint").alias("group"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qb"),
     ).select(unit.alias("unit"), F.lit(1).alias("kind"), no_query, "item_id", "vec", F.lit(0.0).alias("floor"))
     # small units share a task
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(scores / TASK_SCORES), math.ceil(moved / TASK_ROWS))
@@ -183,11 +190,12 @@ def _read(visits: DataFrame, items: DataFrame, cells: pd.DataFrame, k: int, bloc
         if ask.empty or have.empty:
             return pd.DataFrame({"query_id": ask["query_id"][:0], "item_id": have["item_id"][:0], "score": np.zeros(0)})
         left, right, floors, found = _matrix(ask["vec"]), _matrix(have["vec"]).T, ask["floor"].to_numpy(), []
-        for start in range(0, len(ask), CHUNK):
-            scores = np.round(left[start:start + CHUNK] @ right, SCORE_DIGITS)
+        chunk = min(block, CHUNK)
+        for start in range(0, len(ask), chunk):
+            scores = np.round(left[start:start + chunk] @ right, SCORE_DIGITS)
             if scored is not None:
                 scored.add(scores.size)
-            scores[scores < floors[start:start + CHUNK, None]] = -np.inf
+            scores[scores < floors[start:start + chunk, None]] = -np.inf
             r, c = _best(scores, k)
             found.append((r + start, c, scores[r, c]))
         r, c, score = (np.concatenate(parts) for parts in zip(*found))
