@@ -164,3 +164,14 @@ def test_search_runs_with_either_encoder(spark, tmp_path):
         asked = spark.createDataFrame([(1, "topicaaaword topicaabword")], "query_id long, text string")
         first = index.reviews(asked, businesses, 5).select("review_id", F.round("score", 6)).collect()
         assert len(first) == 5 and sorted(first) == sorted(again.reviews(asked, businesses, 5).select("review_id", F.round("score", 6)).collect())
+
+
+def test_contexts_are_shuffled_once(spark):
+    """One exchange of counts, both ways round; with the vocabulary given only its pairs are counted."""
+    df = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    found = wordvec.context_counts(df, "text", 3)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    counts = brute_contexts(TEXTS, 3)
+    some = sorted({a for a, _ in counts})[::2]
+    only = wordvec.context_counts(df, "text", 3, some)
+    assert {(r.word, r.context): r.n for r in only.collect()} == {p: n for p, n in counts.items() if p[0] in some and p[1] in some}
