@@ -129,3 +129,43 @@ def test_als_users_solve_their_normal_equations(spark, sf_dir):
         left = gram + ridge * len(own) * np.eye(6) + sum(alpha * w * np.outer(items[b], items[b]) for b, w in own)
         right = sum((1 + alpha * w) * items[b] for b, w in own)
         assert np.allclose(np.linalg.solve(left, right), user.vec, rtol=1e-3, atol=1e-4)
+
+
+def test_popularity_reads_no_hot_place(spark):
+    """Lists are made in place: no exchange or window by place, and the first unseen businesses of every user."""
+    history = spark.createDataFrame(
+        [(u, b) for u in range(40) for b in range(12) if (u * b) % 5 != 1 and b < 3 + u % 10] + [(99, 50)], "user_id long, business_id long")
+    targets = spark.createDataFrame([(u,) for u in [*range(0, 40, 2), 777]], "user_id long")
+    seen = {(r.user_id, r.business_id) for r in history.collect()}
+    volume = {}
+    for _, b in seen:
+        volume[b] = volume.get(b, 0) + 1
+    order = sorted(volume, key=lambda b: (-volume[b], b))
+    want = []
+    for u in [*range(0, 40, 2), 777]:
+        want += [(u, b, p) for p, b in enumerate([b for b in order if (u, b) not in seen][:4])]
+    found = c.popularity_candidates(targets, history, 4)
+    assert rows(found, "user_id", "business_id", "cf_rank") == sorted(want, key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning(place" not in plan
+
+
+def test_frame_moves_narrow_candidates(spark):
+    """Labels come with the user, few businesses travel: one exchange by user and none by business; repeated keys stay."""
+    found = spark.createDataFrame([(1, 10, 2.0, 0), (1, 11, 1.0, 1), (2, 10, 3.0, 0), (3, 12, 1.0, 0), (4, None, 1.0, 0)],
+                                  "user_id long, business_id long, als_score double, cf_rank int")
+    labels = spark.createDataFrame([(1, 11, 5.0), (1, 11, 3.0), (2, None, 5.0), (None, 10, 5.0)], "user_id long, business_id long, stars double")
+    users = spark.createDataFrame([(1, 4.0, 1.0, "a", "x"), (2, 3.0, None, "b", "y"), (2, 2.0, None, "b", "y"), (4, 1.0, 1.0, "a", "x")],
+                                  "user_id long, u_avg_stars double, u_avg_price double, u_modal_city string, u_top_cat string")
+    places = spark.createDataFrame([(10, 3.0, 2, "a", "x"), (11, 2.0, -1, "b", "y")],
+                                   "business_id long, b_avg_stars double, b_price_range int, b_city string, b_primary_category string")
+    frame = c.ranking_frame(found, labels, users, places)
+    assert frame.columns[:5] == ["business_id", "user_id", "als_score", "cf_rank", "label"]
+    assert rows(frame, "user_id", "business_id", "label", "u_avg_stars") == [(1, 10, 0, 4.0), (1, 11, 3, 4.0), (2, 10, 0, 2.0), (2, 10, 0, 3.0)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = c.ranking_frame(found, labels, users, places)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin [business_id" in plan and "SortMergeJoin [business_id" not in plan
