@@ -1,4 +1,7 @@
+import gc
 import math
+import threading
+import time
 
 import numpy as np
 import pytest
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.common import view
 from palate.operators import als, candidates as c, evaluate as e
 from palate.operators.cohort import temporal_split
-from palate.session import cut_lineage
+from palate.session import cut_lineage, freeing_shuffles
 
 
 def test_confidence_sums_repeat_visits(spark):
@@ -169,3 +172,36 @@ def test_frame_moves_narrow_candidates(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin [business_id" in plan and "SortMergeJoin [business_id" not in plan
+
+
+def test_a_fit_frees_the_shuffles_of_earlier_iterations(spark, monkeypatch):
+    """Files of iterations before a checkpoint go while the fit runs, not half an hour later."""
+    def shuffles():
+        blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+        return {name.split("_")[1] for name in (blocks.apply(i).toString() for i in range(blocks.size())) if name.startswith("shuffle_")}
+
+    before = shuffles()
+    spark.range(100).repartition(3).count()
+    made = shuffles() - before
+    assert made
+    with freeing_shuffles(spark, 0.2):
+        for _ in range(100):
+            gc.collect()
+            if not made & shuffles():
+                break
+            time.sleep(0.2)
+    assert not made & shuffles()
+
+    used = []
+
+    class Noted(als.ALS):
+        def fit(self, df):
+            used.append((self.getCheckpointInterval(), threading.active_count()))
+            return super().fit(df)
+
+    monkeypatch.setattr(als, "ALS", Noted)
+    history = spark.createDataFrame([(u, b, 5.0) for u in range(6) for b in range(4) if (u + b) % 2], "user_id long, business_id long, stars double")
+    idle = threading.active_count()
+    fitted = als.als_fit(history, factors=2, iterations=3)
+    assert fitted.users.count() == 6 and fitted.items.count() == 4
+    assert used == [(2, idle + 1)]
