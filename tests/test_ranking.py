@@ -174,6 +174,22 @@ def test_frame_moves_narrow_candidates(spark):
     assert "BroadcastHashJoin [business_id" in plan and "SortMergeJoin [business_id" not in plan
 
 
+def test_frame_neither_broadcasts_nor_sorts_candidates(spark, monkeypatch):
+    """Candidates compress to few bytes: they go by rows to tasks that hold the features of their own users."""
+    monkeypatch.setattr(c, "FRAME_ROWS", 50)
+    found = spark.range(300).selectExpr("id % 20 AS user_id", "id div 20 AS business_id", "1.0D AS als_score", "0 AS cf_rank")
+    labels = spark.createDataFrame([(3, 4, 5.0), (3, 4, 4.0), (7, 99, 5.0)], "user_id long, business_id long, stars double")
+    users = spark.range(19).selectExpr("id AS user_id", "2.0D AS u_avg_stars", "1.0D AS u_avg_price", "'c' AS u_modal_city", "'t' AS u_top_cat")
+    places = spark.range(15).selectExpr("id AS business_id", "3.0D AS b_avg_stars", "2 AS b_price_range", "'c' AS b_city", "'x' AS b_primary_category")
+    frame = c.ranking_frame(found, labels, users, places)
+    got = frame.withColumn("task", F.spark_partition_id()).toPandas()
+    assert len(got) == 19 * 15 and [tuple(r) for r in got[got.label > 0][["user_id", "business_id", "label"]].to_numpy()] == [(3, 4, 3)]
+    assert got.groupby("user_id").task.nunique().max() == 1
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [user_id" in plan and "BuildLeft" not in plan
+    assert plan.count(", 6), REPARTITION_BY_NUM") == 2
+
+
 def test_a_fit_frees_the_shuffles_of_earlier_iterations(spark, monkeypatch):
     """Files of iterations before a checkpoint go while the fit runs, not half an hour later."""
     def shuffles():
