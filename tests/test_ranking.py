@@ -190,6 +190,15 @@ def test_frame_neither_broadcasts_nor_sorts_candidates(spark, monkeypatch):
     assert plan.count(", 6), REPARTITION_BY_NUM") == 2
 
 
+def test_metrics_sort_a_ranking_once(spark):
+    frame = spark.range(40).selectExpr("id % 4 AS user_id", "id AS business_id", "id * 0.5D AS taste")
+    gains = spark.createDataFrame([(1, 5, 3), (2, 6, 1), (9, 9, 2)], "user_id long, business_id long, gain int")
+    metrics = e.user_metrics(c.rank_by(frame, "taste"), gains, 3)
+    plan = metrics._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Window [" in line and "score" in line]) == 1
+    assert sorted(r.user_id for r in metrics.collect()) == [1, 2]
+
+
 def test_a_fit_frees_the_shuffles_of_earlier_iterations(spark, monkeypatch):
     """Files of iterations before a checkpoint go while the fit runs, not half an hour later."""
     def shuffles():
