@@ -190,6 +190,14 @@ def test_frame_neither_broadcasts_nor_sorts_candidates(spark, monkeypatch):
     assert plan.count(", 6), REPARTITION_BY_NUM") == 2
 
 
+def test_a_task_ranks_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(c, "FRAME_ROWS", 10)
+    frame = spark.range(60).selectExpr("id % 12 AS user_id", "id AS business_id", "id * 0.5D AS als_score")
+    ranks = c.rank_als(frame, 60)
+    assert ", 6), REPARTITION_BY_NUM" in ranks._jdf.queryExecution().executedPlan().toString()
+    assert rows(ranks) == rows(c.rank_als(frame)) == sorted(((u, u + 12 * i, 5 - i) for u in range(12) for i in range(5)), key=repr)
+
+
 def test_metrics_sort_a_ranking_once(spark):
     frame = spark.range(40).selectExpr("id % 4 AS user_id", "id AS business_id", "id * 0.5D AS taste")
     gains = spark.createDataFrame([(1, 5, 3), (2, 6, 1), (9, 9, 2)], "user_id long, business_id long, gain int")
