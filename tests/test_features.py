@@ -91,3 +91,24 @@ def test_cross_features(spark):
 
 def test_model_columns():
     assert len(f.USER_NUMERIC) == 14 and len(f.BUSINESS_NUMERIC) == 22 and len(set(f.FEATURE_COLUMNS)) == 42
+
+
+def test_visits_meet_businesses_and_users_without_being_sorted(spark, history, businesses):
+    users = f.cohort_users(spark.createDataFrame(
+        [("u", datetime(2020, 2, 28), "2019", "7")], "user_id string, signup_date timestamp, elite string, fans string"), history)
+    stamps = f.checkin_stats(spark.createDataFrame([("x", "2021-01-01 00:00:00")], "business_id string, date string"))
+    tips = f.tip_counts(spark.createDataFrame([("x",), ("x",)], "business_id string"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for made, n in (
+            (f.user_features(history, businesses, users, only=history.select("user_id").distinct()), 2),
+            (f.business_features(history, businesses, stamps, tips), 3),
+        ):
+            plan = made._jdf.queryExecution().sparkPlan().toString()
+            # of many rows a key only the window's users may still be found by a sort
+            assert plan.count("ShuffledHashJoin") >= 3 and "LeftOuter" in plan
+            assert not [line for line in plan.splitlines() if "SortMergeJoin" in line and "LeftSemi" not in line]
+            assert made.count() == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

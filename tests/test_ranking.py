@@ -238,3 +238,20 @@ def test_a_fit_frees_the_shuffles_of_earlier_iterations(spark, monkeypatch):
     fitted = als.als_fit(history, factors=2, iterations=3)
     assert fitted.users.count() == 6 and fitted.items.count() == 4
     assert used == [(2, idle + 1)]
+
+
+def test_popular_places_are_hashed_not_met_by_a_sorted_history(spark):
+    history = spark.createDataFrame([(u, b) for u in range(6) for b in range(u + 1)], "user_id long, business_id long")
+    targets = history.select("user_id").distinct()
+    threshold, seen = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keep = c.keep_table
+    c.keep_table = lambda df, label: seen.append(df._jdf.queryExecution().sparkPlan().toString()) or keep(df, label)
+    try:
+        got = rows(c.popularity_candidates(targets, history, 2), "user_id", "business_id", "cf_rank")
+    finally:
+        c.keep_table = keep
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(seen) == 1 and "ShuffledHashJoin" in seen[0]
+    assert not [line for line in seen[0].splitlines() if "SortMergeJoin" in line and "item_id" in line]
+    assert got == [(u, b, i) for u in range(6) for i, b in enumerate(range(u + 1, min(u + 3, 6)))]
