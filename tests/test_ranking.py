@@ -255,3 +255,24 @@ def test_popular_places_are_hashed_not_met_by_a_sorted_history(spark):
     assert len(seen) == 1 and "ShuffledHashJoin" in seen[0]
     assert not [line for line in seen[0].splitlines() if "SortMergeJoin" in line and "item_id" in line]
     assert got == [(u, b, i) for u in range(6) for i, b in enumerate(range(u + 1, min(u + 3, 6)))]
+
+
+def test_blocks_give_the_factors_of_sparks_als(spark, monkeypatch):
+    """Same start, steps and objective, whatever the number of blocks; short, padded and long rows."""
+    from pyspark.ml.recommendation import ALS
+
+    from palate.operators import factorize
+
+    monkeypatch.setattr(factorize, "BLOCK_RATINGS", 40)
+    monkeypatch.setattr(factorize, "LONG_ROW", 12)
+    monkeypatch.setattr(factorize, "BATCH_CELLS", 256)
+    # numbers have gaps; user 0 rates everything, others from one item to many
+    pairs = {(u, i) for u in range(0, 60, 2) for i in range(0, 40, 3) if u == 0 or (u * 7 + i * 5) % (2 + u % 5) == 0}
+    ratings = spark.createDataFrame([(u, i, 0.5 + (u + i) % 4) for u, i in sorted(pairs)], "user_ix int, item_ix int, rating double")
+    als_of = ALS(userCol="user_ix", itemCol="item_ix", ratingCol="rating", implicitPrefs=True, rank=6, maxIter=4, regParam=0.1, alpha=9.0, seed=5)
+    model, start = als_of.fit(ratings), als_of.copy({als_of.maxIter: 0}).fit(ratings).userFactors
+    found = factorize.fit_blocks(ratings, start, 4, 0.1, 9.0)
+    for made, wanted in zip(found, (model.userFactors, model.itemFactors)):
+        made, wanted = ({r["id"]: r["features"] for r in side.collect()} for side in (made, wanted))
+        assert made.keys() == wanted.keys()
+        assert all(abs(a - b) < 1e-5 for key in wanted for a, b in zip(made[key], wanted[key]))
