@@ -175,3 +175,17 @@ def test_contexts_are_shuffled_once(spark):
     some = sorted({a for a, _ in counts})[::2]
     only = wordvec.context_counts(df, "text", 3, some)
     assert {(r.word, r.context): r.n for r in only.collect()} == {p: n for p, n in counts.items() if p[0] in some and p[1] in some}
+
+
+def test_unknown_words_are_put_together_at_once(monkeypatch):
+    """Sums over a text's unknown words equal word by word; the known words' n-grams are not sorted again for each."""
+    monkeypatch.setattr(wordvec, "PART_WORDS", 3)
+    monkeypatch.setattr(np, "isin", None)
+    rng = np.random.default_rng(2)
+    parts, seen = rng.normal(size=(64, 5)), np.unique(np.concatenate([wordvec.gram_hashes(w) for w in ("salted", "water")]))
+    words = ["salty", "qqq", "waters", "a", "", "unsalted", "salty"]
+    wanted = sum(parts[wordvec.gram_hashes(w) % 64].mean(axis=0) for w in ("salty", "waters", "unsalted", "salty"))
+    assert np.allclose(wordvec._sum_of_parts(words, parts, seen), wanted)
+    assert np.allclose(wordvec._from_parts("waters", parts, seen), parts[wordvec.gram_hashes("waters") % 64].mean(axis=0))
+    assert not wordvec._from_parts("qqq", parts, seen).any() and not wordvec._sum_of_parts([], parts, seen).any()
+    assert not wordvec._from_parts("salty", parts, seen[:0]).any()
