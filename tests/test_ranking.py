@@ -276,3 +276,19 @@ def test_blocks_give_the_factors_of_sparks_als(spark, monkeypatch):
         made, wanted = ({r["id"]: r["features"] for r in side.collect()} for side in (made, wanted))
         assert made.keys() == wanted.keys()
         assert all(abs(a - b) < 1e-5 for key in wanted for a, b in zip(made[key], wanted[key]))
+
+
+def test_injected_positives_do_not_sort_the_candidates(spark):
+    candidates = spark.createDataFrame([("u", "x", 0.5, 0), ("u", "x", 0.5, 1), (None, "y", 0.1, 0), ("v", "y", 0.3, 0)],
+                                       "user_id string, business_id string, als_score double, cf_rank int")
+    positives = spark.createDataFrame([("u", "x", 0.5), ("u", "y", 0.2), ("u", "y", 0.2), (None, "y", 0.1)], "user_id string, business_id string, als_score double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = c.inject_positives(candidates, positives, 9)
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        assert "ShuffledHashJoin" in plan and plan.count("SortMergeJoin") == 1  # positives and those found among the candidates
+        assert rows(made) == sorted([("u", "x", 0.5, 0), ("u", "x", 0.5, 1), (None, "y", 0.1, 0), ("v", "y", 0.3, 0),
+                                     ("u", "y", 0.2, 9), ("u", "y", 0.2, 9), (None, "y", 0.1, 9)], key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

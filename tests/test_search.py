@@ -374,3 +374,31 @@ def test_cells_copy_rows_by_units_not_by_pieces(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(cells, "_cut", lambda hits, k: plans.append(hits) or read(hits, k))
     assert rows(cells.cell_topk(spark, queries, folder, 5, block=8), "query_id", "item_id", "rank") == brute(q, x, 5)
     assert plans[0].rdd.getNumPartitions() <= 4
+
+
+def test_running_top_scores_in_single_precision_first(monkeypatch):
+    """Exact results where singles cannot tell items apart, where they overflow, and with pairs left out; doubles only where needed."""
+    from palate.operators import topk
+
+    whole, exact = [], topk.RunningTop._exact
+    monkeypatch.setattr(topk.RunningTop, "_exact", lambda self, *args: whole.append(1) or exact(self, *args))
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(6, 16))
+    for scale, few in ((1.0, True), (1e25, False)):
+        queries = np.concatenate([base, np.zeros((1, 16))]) * scale
+        # many items within 1e-8 of each other, below the steps of singles near their scores
+        items = np.concatenate([rng.normal(size=(300, 16)), 3 * base[rng.integers(0, 6, 200)] + rng.normal(size=(200, 16)) * 1e-8])
+        rng.shuffle(items)
+        gone = np.array([0, 0, 3, 6]), np.array([5, 120, 333, 1])
+        best = topk.RunningTop(queries, 10)
+        whole.clear()
+        for first in range(0, len(items), 50):
+            here = (gone[1] >= first) & (gone[1] < first + 50)
+            best.meet(items[first:first + 50].T, first, (gone[0][here], gone[1][here] - first), 4)
+        best.finish()
+        scores = np.round(queries @ items.T, topk.SCORE_DIGITS)
+        scores[gone] = -np.inf
+        wanted = np.argsort(-scores, axis=1, kind="stable")[:, :10]
+        assert np.allclose(best.scores, np.take_along_axis(scores, wanted, axis=1), rtol=1e-14, atol=2e-9)
+        if few:
+            assert (best.items == wanted).all() and len(whole) < 8
